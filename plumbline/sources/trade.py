@@ -11,6 +11,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plumbline.contracts import (
     CALENDAR,
@@ -41,6 +42,8 @@ CONTRACT = HealthContract(test_segment="MACHINERY", invalid_amount_at_or_below="
 
 # Skewed keys of a directory, measured once per session. They steer joins, not results.
 _HOT: dict[tuple[str, str], dict[str, list[Any]]] = {}
+# Schemas read from the parquet footers, once per session.
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
 
 
 def _currency(nation: Column, variant: str) -> Column:
@@ -64,7 +67,11 @@ class TradeFeeds:
         self.variant = variant
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        path = f"{self.directory}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in _SCHEMAS:
+            _SCHEMAS[key] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
     def hot(self, column: str) -> list[Any]:
         """Hot keys of a foreign key column of lineitem or orders."""
