@@ -6,14 +6,21 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from plumbline.contracts import CALENDAR, CATEGORIES, ORDERS, REGIONS, TARGETS, HealthContract
+from plumbline.contracts import (
+    CALENDAR,
+    CATEGORIES,
+    ORDERS,
+    REGIONS,
+    TARGETS,
+    FeedContract,
+    HealthContract,
+)
 from plumbline.sources.store import HEALTH, RUNS, TableStore
 
 _LINEAGE = ", source_system STRING, source_file STRING"
 # Columns of the published facts and the quarantine table.
-FACT_SALES = T.StructType.fromDDL(
+FACT_SALES = (
     "order_key STRING, date_key INT, region_key INT, category_key INT, "
     "gross_revenue_cad DECIMAL(18,2), returns_cad DECIMAL(18,2), net_revenue_cad DECIMAL(18,2), "
     "original_currency STRING, gross_amount_original_currency DECIMAL(12,2), "
@@ -22,12 +29,12 @@ FACT_SALES = T.StructType.fromDDL(
     "order_source_updated_at TIMESTAMP, returns_source_system STRING, fx_source_system STRING, "
     "sales_month STRING"
 )
-FACT_TARGETS = T.StructType.fromDDL(
+FACT_TARGETS = (
     "date_key INT, region_key INT, category_key INT, target_month STRING, "
     "target_cad DECIMAL(18,2), approved_by_role STRING, approved_at_utc TIMESTAMP, "
     "source_system STRING, pipeline_run_id STRING"
 )
-QUARANTINE = T.StructType.fromDDL(
+QUARANTINE = (
     "source_entity STRING, record_key STRING, quarantine_reason STRING, source_system STRING, "
     "ingested_at TIMESTAMP, pipeline_run_id STRING"
 )
@@ -58,10 +65,9 @@ class Product:
     fact_targets: DataFrame
 
 
-def _feed_schema(feed) -> T.StructType:
-    names = set(feed.column_names)
-    extra = _LINEAGE if "source_system" not in names else ", source_file STRING"
-    return T.StructType.fromDDL(", ".join(f"{c.name} {c.type}" for c in feed.columns) + extra)
+def _landed(feed: FeedContract) -> str:
+    extra = ", source_file STRING" if "source_system" in feed.column_names else _LINEAGE
+    return ", ".join(f"{c.name} {c.type}" for c in feed.columns) + extra
 
 
 def open_product(
@@ -92,8 +98,8 @@ def open_product(
         runs=runs,
         quality_results=store.quality_results(),
         quarantine=store.read("silver_quarantine", run_id, QUARANTINE),
-        bronze_orders=store.read("bronze_orders", run_id, _feed_schema(ORDERS)),
-        bronze_targets=store.read("bronze_targets", run_id, _feed_schema(TARGETS)),
+        bronze_orders=store.read("bronze_orders", run_id, _landed(ORDERS)),
+        bronze_targets=store.read("bronze_targets", run_id, _landed(TARGETS)),
         dim_date=store.read("gold_dim_date", run_id, CALENDAR.schema),
         dim_region=store.read("gold_dim_region", run_id, REGIONS.schema),
         dim_category=store.read("gold_dim_category", run_id, CATEGORIES.schema),

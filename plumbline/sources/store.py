@@ -95,7 +95,7 @@ class TableStore:
         return self.spark.read.schema(df.schema).parquet(self.path(table, run_id))
 
     def read(
-        self, table: str, run_id: str | None, schema: T.StructType | None = None
+        self, table: str, run_id: str | None, schema: T.StructType | str | None = None
     ) -> DataFrame | None:
         """The table of one run. Without the run or its files: empty if a schema is given."""
         empty = None if schema is None else self.spark.createDataFrame([], schema)
@@ -149,7 +149,12 @@ class TableStore:
 
     def current(self, table: str, history: str) -> DataFrame:
         """Latest event per key with the declared columns only."""
-        return latest_events(self.events(table, history), EVENT_KEYS[table], schema_of(table))
+        return latest_events(
+            self.events(table, history),
+            EVENT_KEYS[table],
+            schema_of(table).names,
+            ("recorded_at_utc", "event_seq"),
+        )
 
     def last_success(self, history: str) -> Any:
         """Completion time of the newest READY run."""
@@ -157,8 +162,10 @@ class TableStore:
         return runs.agg(F.max("completed_at_utc")).first()[0]
 
 
-def latest_events(events: DataFrame, key: str, schema: T.StructType) -> DataFrame:
-    """The newest event of every key, by recording time and then sequence."""
-    row = F.struct(*[F.col(name) for name in schema.names])
-    newest = F.max_by(row, F.struct("recorded_at_utc", "event_seq")).alias("_row")
+def latest_events(
+    events: DataFrame, key: str, columns: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """The newest event of every key. Partial aggregation keeps one event per key and task."""
+    row = F.struct(*[F.col(name) for name in columns])
+    newest = F.max_by(row, F.struct(*order)).alias("_row")
     return events.groupBy(F.col(key).alias("_key")).agg(newest).select("_row.*")
