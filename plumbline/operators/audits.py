@@ -91,8 +91,8 @@ def net_by_second_route(
 ) -> DataFrame:
     """Net revenue by region and category without the Silver tables.
 
-    Latest events come from an aggregate, and orders and returns of one order id meet in one
-    grouping instead of a join.
+    Latest events come from an aggregate, and orders and returns of one order id and currency
+    meet in one grouping instead of a join.
     """
     latest = silver.latest_orders_by_max(orders, contract).filter(
         F.col("quarantine_reason").isNull()
@@ -105,45 +105,36 @@ def net_by_second_route(
     rate = F.when(
         F.col("currency_code") == contract.reporting_currency, F.lit(1).cast("decimal(10,6)")
     ).otherwise(F.col("rate"))
-    head = F.struct(
-        "region_code", "category_code", "currency_code", "gross_amount", rate.alias("rate")
-    )
+    head = F.struct("region_code", "category_code", "gross_amount", rate.alias("rate"))
     order_rows = priced.select(
-        "order_id", head.alias("head"), F.lit(None).cast("string").alias("currency"),
-        F.lit(None).cast("decimal(22,2)").alias("amount"),
+        "order_id",
+        "currency_code",
+        head.alias("head"),
+        F.lit(None).cast("decimal(12,2)").alias("amount"),
     )
     return_rows = (
         silver.latest_returns(returns)
         .filter("return_amount > 0")
-        .groupBy("order_id", code(F.col("currency_code")).alias("currency"))
-        .agg(F.sum("return_amount").alias("amount"))
         .select(
             "order_id",
+            code(F.col("currency_code")).alias("currency_code"),
             F.lit(None).cast(order_rows.schema["head"].dataType).alias("head"),
-            "currency",
-            "amount",
+            F.col("return_amount").alias("amount"),
         )
     )
-    # Returns are summed per order and currency first: a group has one order row and at most
-    # one row per currency.
+    # An order meets exactly the returns in its own currency; all of them are summed map-side.
     grouped = (
         order_rows.unionByName(return_rows)
         .filter(F.col("order_id").isNotNull())
-        .groupBy("order_id")
+        .groupBy("order_id", "currency_code")
         .agg(
             F.max_by("head", F.col("head").isNotNull()).alias("head"),
-            F.collect_list(F.when(F.col("currency").isNotNull(), F.struct("currency", "amount")))
-            .alias("returned"),
+            F.coalesce(F.sum("amount"), F.lit(0).cast("decimal(22,2)")).alias("returned"),
         )
         .filter(F.col("head").isNotNull())
     )
-    returned = F.aggregate(
-        F.filter("returned", lambda r: r["currency"] == F.col("head.currency_code")),
-        F.lit(0).cast("decimal(22,2)"),
-        lambda total, r: (total + r["amount"]).cast("decimal(22,2)"),
-    )
     net = to_cents(F.col("head.gross_amount"), F.col("head.rate")) - to_cents(
-        returned, F.col("head.rate")
+        F.col("returned"), F.col("head.rate")
     )
     return grouped.groupBy(
         F.col("head.region_code").alias("region_code"),

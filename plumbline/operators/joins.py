@@ -27,7 +27,6 @@ HOT_MIN_ROWS = 1_000_000
 # Sketch size: its count error is below the hot share, so no hot key is missed.
 _SKETCH_ITEMS = 4096
 _LOOKUP_SALTS = 32
-_SPREAD = 1024
 
 
 # ---------------------------------------------------------------- hot keys
@@ -96,7 +95,7 @@ def join_unique(
         F.col(on), F.lit(0).alias("_salt"), *payload, F.lit(True).alias("_found")
     )
     is_hot = is_one_of(F.col(on), hot)
-    spread = F.when(is_hot, F.spark_partition_id() % _SPREAD + 1).otherwise(0)
+    spread = F.when(is_hot, F.spark_partition_id() + 1).otherwise(0)
     joined = (
         left.withColumn("_salt", spread).join(few, on, "left").join(many, [on, "_salt"], "left")
     )
@@ -122,7 +121,15 @@ class Lookup:
     def checked(
         frames: dict[str, DataFrame], row_limit: int = LOOKUP_ROW_LIMIT
     ) -> dict[str, Lookup]:
-        """Count all frames in one job; each count stops just above the limit."""
+        """Count all frames in one job and allow a broadcast of those within the limit."""
+        sizes = Lookup.sizes(frames, row_limit)
+        return {name: Lookup(df, sizes[name] <= row_limit) for name, df in frames.items()}
+
+    @staticmethod
+    def sizes(
+        frames: dict[str, DataFrame], row_limit: int = LOOKUP_ROW_LIMIT
+    ) -> dict[str, int]:
+        """Row counts; each count stops just above the limit."""
         counts = None
         for name, frame in frames.items():
             one = (
@@ -132,8 +139,7 @@ class Lookup:
                 .select(F.lit(name).alias("name"), "n")
             )
             counts = one if counts is None else counts.unionByName(one)
-        sizes = {} if counts is None else {r["name"]: r["n"] for r in counts.collect()}
-        return {name: Lookup(df, sizes[name] <= row_limit) for name, df in frames.items()}
+        return {} if counts is None else {r["name"]: r["n"] for r in counts.collect()}
 
     def map(self, frame: DataFrame) -> Lookup:
         """The same lookup after a projection or filter, which cannot make it larger."""

@@ -47,7 +47,6 @@ def rank_versions(
     order: Sequence[str],
     hot: Sequence[Any] = (),
     rank: str = "version_rank",
-    slices: int = 64,
 ) -> DataFrame:
     """All rows with their rank inside the key, newest first.
 
@@ -60,12 +59,10 @@ def rank_versions(
     is_hot = is_one_of(F.col(key), hot)
     position = F.row_number().over(window).cast("bigint")
     small = df.filter(~is_hot).withColumn(rank, position)
-    return small.unionByName(_rank_large(df.filter(is_hot), key, order, rank, slices))
+    return small.unionByName(_rank_large(df.filter(is_hot), key, order, rank))
 
 
-def _rank_large(
-    df: DataFrame, key: str, order: Sequence[str], rank: str, slices: int
-) -> DataFrame:
+def _rank_large(df: DataFrame, key: str, order: Sequence[str], rank: str) -> DataFrame:
     """Rank keys of any size without bringing one key into one task.
 
     1. Copies of a row collapse into one row with a count (partial aggregate).
@@ -74,6 +71,7 @@ def _rank_large(
     3. A row's first rank = rows of the key in earlier slices + rows before it in its slice.
     4. Copies are written out again, block by block.
     """
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rest = [c for c in df.columns if c != key and c not in order]
     total = [F.col(key).asc_nulls_first(), *newest_first([*order, *rest])]
     distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
@@ -101,7 +99,7 @@ def _rank_large(
     before = F.coalesce(F.sum("_copies").over(inside), F.lit(0))
     placed = (
         sliced.withColumn("_before", before)
-        # Ranges are contiguous: at most slices + hot keys pairs exist, a few hundred rows.
+        # Ranges are contiguous, so there are fewer pairs than slices plus hot keys.
         .join(
             F.broadcast(offsets),
             F.col(key).eqNullSafe(F.col("_k")) & (F.col("_slice") == F.col("_s")),

@@ -88,14 +88,7 @@ class Trade:
 
     @cached_property
     def references(self) -> dict[str, Lookup]:
-        return Lookup.checked(
-            {
-                "rates": self.feeds.fx_rates(),
-                "regions": self.feeds.regions(),
-                "categories": self.feeds.categories(),
-                "dates": self.feeds.calendar(),
-            }
-        )
+        return self.feeds.references()
 
     @cached_property
     def sales(self) -> DataFrame:

@@ -24,7 +24,13 @@ from plumbline.contracts import (
     HealthContract,
 )
 from plumbline.functions.columns import utc
-from plumbline.operators.joins import Lookup, hot_keys, join_unique, lookup
+from plumbline.operators.joins import (
+    LOOKUP_ROW_LIMIT,
+    Lookup,
+    hot_keys,
+    join_unique,
+    lookup,
+)
 from plumbline.sources.calendar import date_dimension
 from plumbline.sources.feeds import FeedSet, stamp_lineage
 
@@ -42,6 +48,8 @@ CONTRACT = HealthContract(test_segment="MACHINERY", invalid_amount_at_or_below="
 
 # Skewed keys of a directory, measured once per session. They steer joins, not results.
 _HOT: dict[tuple[str, str], dict[str, list[Any]]] = {}
+# Row counts of the small reference frames of a directory, taken once per session.
+_SIZES: dict[tuple[str, str], dict[str, int]] = {}
 # Schemas read from the parquet footers, once per session.
 _SCHEMAS: dict[tuple[str, str], StructType] = {}
 
@@ -90,6 +98,33 @@ class TradeFeeds:
 
     # ---------------------------------------------------------------- reference data
 
+    def references(self) -> dict[str, Lookup]:
+        """Reference frames with checked sizes.
+
+        Calendar and rates have one row per day between two constants; the others are counted.
+        """
+        counted = {
+            "nations": self._nations(),
+            "regions": self.regions(),
+            "categories": self.categories(),
+        }
+        key = (self.spark.sparkContext.applicationId, self.directory)
+        if key not in _SIZES:
+            _SIZES[key] = Lookup.sizes(counted)
+        sizes = _SIZES[key]
+        return {
+            "dates": Lookup(self.calendar(), True),
+            "rates": Lookup(self.fx_rates(), True),
+            **{n: Lookup(df, sizes[n] <= LOOKUP_ROW_LIMIT) for n, df in counted.items()},
+        }
+
+    def _nations(self) -> DataFrame:
+        return (
+            self.table("nation")
+            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+            .select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("region_code"))
+        )
+
     def calendar(self) -> DataFrame:
         return stamp_lineage(
             date_dimension(self.spark, FIRST_DAY, LAST_DAY), CALENDAR, "calendar"
@@ -141,9 +176,9 @@ class TradeFeeds:
             .select(F.col("year_month").alias("target_month"))
         )
         # Months x regions x categories: every factor is a small reference list.
-        refs = Lookup.checked({"r": self.regions(), "c": self.categories()})
+        refs = self.references()
         grid = months.withColumn("_all", F.lit(1))
-        for name, keep in (("r", "region"), ("c", "category")):
+        for name, keep in (("regions", "region"), ("categories", "category")):
             side = refs[name].frame.select(
                 f"{keep}_key", f"{keep}_code", F.lit(1).alias("_all")
             )
@@ -163,15 +198,9 @@ class TradeFeeds:
     # ---------------------------------------------------------------- transactions
 
     def orders(self) -> DataFrame:
-        nations = (
-            self.table("nation")
-            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("region_code"))
-        )
-        ref = Lookup.checked({"nations": nations})["nations"]
         customers = lookup(
             self.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
-            ref,
+            self.references()["nations"],
             "c_nationkey",
             "inner",
         ).withColumnRenamed("c_custkey", "o_custkey")
