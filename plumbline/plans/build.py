@@ -138,8 +138,10 @@ def publish_facts(
     targets = star.fact_targets(tables["bronze_targets"], *dims, run_id)
     sales = star.publish_or_withhold(sales, ready)
     targets = star.publish_or_withhold(targets, ready)
+    # A withheld fact is stored as an unpartitioned, empty file that keeps the columns.
+    partitions = ("sales_month",) if ready else ()
     return [
-        partial(store.write, sales, "gold_fact_sales", run_id, ("sales_month",)),
+        partial(store.write, sales, "gold_fact_sales", run_id, partitions),
         partial(store.write, targets, "gold_fact_targets", run_id),
     ]
 
