@@ -62,6 +62,18 @@ def is_one_of(column: Column, values: Sequence[Any]) -> Column:
     return hit | column.isNull() if None in values else hit
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores for an input that comes in fewer splits than there are cores.
+
+    Large inputs have many splits and are returned as they are; only a small one is hashed by
+    its (nearly unique) ``keys``.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 # ---------------------------------------------------------------- large-to-large
 
 

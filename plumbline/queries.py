@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from plumbline.contracts import ORDERS, MetricContract
 from plumbline.functions.columns import cad, money, pct
 from plumbline.operators import audits, quality, scans, silver, star
-from plumbline.operators.joins import Lookup
+from plumbline.operators.joins import Lookup, spread
 from plumbline.plans import measures as m
 from plumbline.plans import narration, serving
 from plumbline.plans.build import BuildResult, run_build
@@ -88,7 +88,7 @@ class Trade:
 
     @cached_property
     def references(self) -> dict[str, Lookup]:
-        return self.feeds.references()
+        return self.feeds.references
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -108,6 +108,18 @@ class Trade:
         ).drop("sales_month")
 
 
+# Frames are lazy plans: they are described once per session, and hold no data.
+_TRADES: dict[tuple[str, str, str], Trade] = {}
+
+
+def trade(spark: SparkSession, directory: str, variant: str) -> Trade:
+    prepare(spark)
+    key = (spark.sparkContext.applicationId, directory, variant)
+    if key not in _TRADES:
+        _TRADES[key] = Trade(spark, directory, variant)
+    return _TRADES[key]
+
+
 _PUBLISHED: dict[tuple[str, str, str], TableStore] = {}
 
 
@@ -120,7 +132,7 @@ def build(
     store = TableStore(spark, f"{base}/{uuid.uuid4().hex}")
     result = run_build(
         spark,
-        TradeFeeds(spark, directory, variant).feed_set,
+        trade(spark, directory, variant).feeds.feed_set,
         store,
         CONTRACT,
         variant,
@@ -144,11 +156,11 @@ def published(spark: SparkSession, directory: str, variant: str = "repaired") ->
 
 
 def _repaired(fn: Callable[[Trade], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, directory: fn(Trade(spark, directory, "repaired"))
+    return lambda spark, directory: fn(trade(spark, directory, "repaired"))
 
 
 def _broken(fn: Callable[[Trade], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, directory: fn(Trade(spark, directory, "broken"))
+    return lambda spark, directory: fn(trade(spark, directory, "broken"))
 
 
 def _served(
@@ -218,8 +230,9 @@ def dimensions(t: Trade) -> DataFrame:
             F.col(f"{name}_name").alias("name"),
         )
 
-    return rows(star.dim_region(t.feeds.regions()), "region").unionByName(
-        rows(star.dim_category(t.feeds.categories()), "category")
+    refs = t.references
+    return rows(star.dim_region(refs["regions"].frame), "region").unionByName(
+        rows(star.dim_category(refs["categories"].frame), "category")
     )
 
 
@@ -392,24 +405,24 @@ def measures_by_category(product: Product) -> DataFrame:
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return TradeFeeds(prepare(spark), directory).table(name)
+    return trade(spark, directory, "repaired").feeds.table(name)
 
 
 def secret_scan(spark: SparkSession, directory: str) -> DataFrame:
-    documents = _table(spark, directory, "documents")
+    documents = spread(_table(spark, directory, "documents"), "doc_id")
     return scans.scan_patterns(
         documents, "doc_id", "text", {**scans.SECRET_PATTERNS, **CALLER_PATTERNS}
     )
 
 
 def pattern_scan(spark: SparkSession, directory: str) -> DataFrame:
-    pages = _table(spark, directory, "pages")
+    pages = spread(_table(spark, directory, "pages"), "page_id")
     return scans.scan_patterns(pages, "page_id", "html", MARKUP_PATTERNS)
 
 
 def grounded_numbers(spark: SparkSession, directory: str) -> DataFrame:
     """Numbers in a page's URL that its HTML does not contain."""
-    pages = _table(spark, directory, "pages")
+    pages = spread(_table(spark, directory, "pages"), "page_id")
     checked = scans.ungrounded_numbers(pages, "url", "html")
     return checked.select(
         "page_id",
@@ -421,15 +434,15 @@ def grounded_numbers(spark: SparkSession, directory: str) -> DataFrame:
 def table_diff(spark: SparkSession, directory: str) -> DataFrame:
     """Returns of both variants, compared by return id; the delivery time is ignored."""
     wanted = ("return_id", "order_id", "return_amount", "currency_code")
-    left = Trade(spark, directory, "broken").returns.select(*wanted)
-    right = Trade(spark, directory, "repaired").returns.select(*wanted)
+    left = trade(spark, directory, "broken").returns.select(*wanted)
+    right = trade(spark, directory, "repaired").returns.select(*wanted)
     return audits.table_diff(left, right, ["return_id"])
 
 
 def row_differences(spark: SparkSession, directory: str) -> DataFrame:
     wanted = ("order_id", "currency_code")
-    left = Trade(spark, directory, "broken").orders.select(*wanted)
-    right = Trade(spark, directory, "repaired").orders.select(*wanted)
+    left = trade(spark, directory, "broken").orders.select(*wanted)
+    right = trade(spark, directory, "repaired").orders.select(*wanted)
     return audits.row_differences(left, right)
 
 
@@ -516,7 +529,7 @@ def run_history_latest(spark: SparkSession, directory: str) -> DataFrame:
 
 def date_dimension_query(spark: SparkSession, directory: str) -> DataFrame:
     """Calendar over the range of order dates."""
-    dates = _table(prepare(spark), directory, "orders").agg(
+    dates = _table(spark, directory, "orders").agg(
         F.to_date(F.min("o_orderdate")).alias("first"),
         F.to_date(F.max("o_orderdate")).alias("last"),
     )

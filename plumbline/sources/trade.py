@@ -7,6 +7,7 @@ unaccepted currency, orphan returns) and ``repaired``.
 
 from __future__ import annotations
 
+from functools import cached_property
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -30,6 +31,7 @@ from plumbline.operators.joins import (
     hot_keys,
     join_unique,
     lookup,
+    spread,
 )
 from plumbline.sources.calendar import date_dimension
 from plumbline.sources.feeds import FeedSet, stamp_lineage
@@ -43,6 +45,15 @@ ORDERS_AGE_MINUTES = 30
 RETURNS_AGE_MINUTES = {"broken": 3600, "repaired": 45}
 MISSING_RATE_DAYS = (20, 21)
 
+# Keys that spread a table with few splits over the cores.
+SPREAD_KEYS = {
+    "customer": ("c_custkey",),
+    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey"),
+    "orders": ("o_orderkey",),
+    "part": ("p_partkey",),
+    "supplier": ("s_suppkey",),
+}
+
 # Contract values of the trade variant; all other values are the defaults.
 CONTRACT = HealthContract(test_segment="MACHINERY", invalid_amount_at_or_below="1000")
 
@@ -73,14 +84,23 @@ class TradeFeeds:
         self.spark = spark
         self.directory = directory.rstrip("/")
         self.variant = variant
+        self._frames: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = self._open(name)
+        return self._frames[name]
+
+    def _open(self, name: str) -> DataFrame:
         path = f"{self.directory}/{name}.parquet"
         key = (self.spark.sparkContext.applicationId, path)
         if key not in _SCHEMAS:
             _SCHEMAS[key] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
+    def spread_table(self, name: str) -> DataFrame:
+        return spread(self.table(name), *SPREAD_KEYS[name])
+
     def hot(self, column: str) -> list[Any]:
         """Hot keys of a foreign key column of lineitem or orders."""
         key = (self.spark.sparkContext.applicationId, self.directory)
@@ -98,6 +118,7 @@ class TradeFeeds:
 
     # ---------------------------------------------------------------- reference data
 
+    @cached_property
     def references(self) -> dict[str, Lookup]:
         """Reference frames with checked sizes.
 
@@ -176,7 +197,7 @@ class TradeFeeds:
             .select(F.col("year_month").alias("target_month"))
         )
         # Months x regions x categories: every factor is a small reference list.
-        refs = self.references()
+        refs = self.references
         grid = months.withColumn("_all", F.lit(1))
         for name, keep in (("regions", "region"), ("categories", "category")):
             side = refs[name].frame.select(
@@ -199,20 +220,22 @@ class TradeFeeds:
 
     def orders(self) -> DataFrame:
         customers = lookup(
-            self.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
-            self.references()["nations"],
+            self.spread_table("customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
+            self.references["nations"],
             "c_nationkey",
             "inner",
         ).withColumnRenamed("c_custkey", "o_custkey")
         headers = join_unique(
-            self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate"),
+            self.spread_table("orders").select(
+                "o_orderkey", "o_custkey", "o_orderdate"
+            ),
             customers,
             "o_custkey",
             "inner",
             self.hot("o_custkey"),
         ).withColumnRenamed("o_orderkey", "l_orderkey")
         lines = (
-            self.table("lineitem")
+            self.spread_table("lineitem")
             .filter(F.col("l_returnflag") != "R")
             .select(
                 "l_orderkey",
@@ -224,7 +247,7 @@ class TradeFeeds:
                 "l_shipdate",
             )
         )
-        parts = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+        parts = self.spread_table("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
         events = join_unique(lines, headers, "l_orderkey", "inner", self.hot("l_orderkey"))
         events = join_unique(events, parts, "l_partkey", "inner", self.hot("l_partkey"))
         feed = events.select(
@@ -246,7 +269,7 @@ class TradeFeeds:
 
     def returns(self) -> DataFrame:
         lines = (
-            self.table("lineitem")
+            self.spread_table("lineitem")
             .filter(F.col("l_returnflag") == "R")
             .select(
                 "l_orderkey",
@@ -267,7 +290,7 @@ class TradeFeeds:
                 .distinct()
             )
             lines = join_unique(lines, known, "l_orderkey", "semi", self.hot("l_orderkey"))
-        suppliers = self.table("supplier").select(
+        suppliers = self.spread_table("supplier").select(
             F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
         )
         rows = join_unique(lines, suppliers, "l_suppkey", "inner", self.hot("l_suppkey"))
@@ -291,9 +314,9 @@ class TradeFeeds:
         return FeedSet(
             orders=self.orders(),
             returns=self.returns(),
-            fx_rates=self.fx_rates(),
+            fx_rates=self.references["rates"].frame,
             targets=self.targets(),
-            regions=self.regions(),
-            categories=self.categories(),
-            calendar=self.calendar(),
+            regions=self.references["regions"].frame,
+            categories=self.references["categories"].frame,
+            calendar=self.references["dates"].frame,
         )
