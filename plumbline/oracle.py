@@ -539,7 +539,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "order_versions": good("fo")
         + "SELECT a.order_id, a.event_id, a.event_version, a.currency_code, a.gross_amount, "
-        "rank() OVER (PARTITION BY order_id ORDER BY event_version DESC, source_updated_at DESC, "
+        "row_number() OVER (PARTITION BY order_id ORDER BY event_version DESC, source_updated_at DESC, "
         "event_id DESC, gross_amount DESC) AS version_rank, "
         "CASE WHEN customer_segment = 'MACHINERY' THEN 'TEST_TRANSACTION' "
         "WHEN gross_amount <= 1000 THEN 'INVALID_AMOUNT' END AS quarantine_reason FROM fo a",

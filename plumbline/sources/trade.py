@@ -310,7 +310,8 @@ class TradeFeeds:
         )
         return stamp_lineage(feed, RETURNS, "lineitem")
 
-    def feed_set(self) -> FeedSet:
+    @cached_property
+    def _feed_set(self) -> FeedSet:
         return FeedSet(
             orders=self.orders(),
             returns=self.returns(),
@@ -320,3 +321,6 @@ class TradeFeeds:
             categories=self.references["categories"].frame,
             calendar=self.references["dates"].frame,
         )
+
+    def feed_set(self) -> FeedSet:
+        return self._feed_set
