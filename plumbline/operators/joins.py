@@ -62,16 +62,15 @@ def is_one_of(column: Column, values: Sequence[Any]) -> Column:
     return hit | column.isNull() if None in values else hit
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores for an input that comes in fewer splits than there are cores.
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a scan that comes in fewer splits than there are cores.
 
-    Large inputs have many splits and are returned as they are; only a small one is hashed by
-    its (nearly unique) ``keys``.
+    Large inputs have many splits and are returned as they are. A small one is dealt out row by
+    row, so copies of a row do not stay together; Spark sorts before it deals, which keeps the
+    outcome the same after a task retry.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 # ---------------------------------------------------------------- large-to-large

@@ -409,20 +409,20 @@ def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def secret_scan(spark: SparkSession, directory: str) -> DataFrame:
-    documents = spread(_table(spark, directory, "documents"), "doc_id")
+    documents = spread(_table(spark, directory, "documents"))
     return scans.scan_patterns(
         documents, "doc_id", "text", {**scans.SECRET_PATTERNS, **CALLER_PATTERNS}
     )
 
 
 def pattern_scan(spark: SparkSession, directory: str) -> DataFrame:
-    pages = spread(_table(spark, directory, "pages"), "page_id")
+    pages = spread(_table(spark, directory, "pages"))
     return scans.scan_patterns(pages, "page_id", "html", MARKUP_PATTERNS)
 
 
 def grounded_numbers(spark: SparkSession, directory: str) -> DataFrame:
     """Numbers in a page's URL that its HTML does not contain."""
-    pages = spread(_table(spark, directory, "pages"), "page_id")
+    pages = spread(_table(spark, directory, "pages"))
     checked = scans.ungrounded_numbers(pages, "url", "html")
     return checked.select(
         "page_id",

@@ -45,15 +45,6 @@ ORDERS_AGE_MINUTES = 30
 RETURNS_AGE_MINUTES = {"broken": 3600, "repaired": 45}
 MISSING_RATE_DAYS = (20, 21)
 
-# Keys that spread a table with few splits over the cores.
-SPREAD_KEYS = {
-    "customer": ("c_custkey",),
-    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey"),
-    "orders": ("o_orderkey",),
-    "part": ("p_partkey",),
-    "supplier": ("s_suppkey",),
-}
-
 # Contract values of the trade variant; all other values are the defaults.
 CONTRACT = HealthContract(test_segment="MACHINERY", invalid_amount_at_or_below="1000")
 
@@ -99,7 +90,7 @@ class TradeFeeds:
         return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
     def spread_table(self, name: str) -> DataFrame:
-        return spread(self.table(name), *SPREAD_KEYS[name])
+        return spread(self.table(name))
 
     def hot(self, column: str) -> list[Any]:
         """Hot keys of a foreign key column of lineitem or orders."""
