@@ -334,12 +334,13 @@ def allocate_targets(actual: DataFrame, factor: str = "1.000", step: int = 100)
     whole = F.nullif(F.col("_total").cast("double"), F.lit(0.0))
     part = F.col("_goal").cast("double") * F.col("net_cad").cast("double") / whole / step
     rounded = (F.round(part) * step).cast("decimal(18,2)")
+    head_part = F.lit(0).cast("decimal(18,2)")
     rest = F.col("_goal") - F.sum("_part").over(region)
     return (
         actual.withColumn("_total", money(F.sum("net_cad").over(region)))
         .withColumn("_first", F.min("category_code").over(region) == F.col("category_code"))
         .withColumn("_goal", money(F.round(scaled, -3)))
-        .withColumn("_part", F.when(F.col("_first"), F.lit(0).cast("decimal(18,2)")).otherwise(rounded))
+        .withColumn("_part", F.when(F.col("_first"), head_part).otherwise(rounded))
         .select(
             "region_code",
             "category_code",

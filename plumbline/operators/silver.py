@@ -135,10 +135,8 @@ def reconcile_returns(
             (ACCEPTED, F.lit(True)),
         )
     )
-    reason = F.when(
-        ~unknown,
-        first_match((("INVALID_RETURN_AMOUNT", bad_amount), ("RETURN_CURRENCY_MISMATCH", mismatch))),
-    )
+    reasons = (("INVALID_RETURN_AMOUNT", bad_amount), ("RETURN_CURRENCY_MISMATCH", mismatch))
+    reason = F.when(~unknown, first_match(reasons))
     return matched.select(
         "return_id",
         "order_id",

@@ -429,9 +429,12 @@ def _pct(value: str) -> str:
     return f"(CASE WHEN {value} >= 0 THEN '+' WHEN {value} < 0 THEN '−' END || {text})"
 
 
-def _refusal(alias: str = "") -> str:
+def _refusal() -> str:
     """Refusal text from the health row and its reasons."""
-    plain = "list_transform(string_split({0}, ' | '), lambda r: regexp_replace(r, '^[A-Z_]+: ', ''))"
+    plain = (
+        "list_transform(string_split({0}, ' | '), "
+        "lambda r: regexp_replace(r, '^[A-Z_]+: ', ''))"
+    )
 
     def sentence(column: str) -> str:
         parts = plain.format(column)
@@ -539,8 +542,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "order_versions": good("fo")
         + "SELECT a.order_id, a.event_id, a.event_version, a.currency_code, a.gross_amount, "
-        "row_number() OVER (PARTITION BY order_id ORDER BY event_version DESC, source_updated_at DESC, "
-        "event_id DESC, gross_amount DESC) AS version_rank, "
+        "row_number() OVER (PARTITION BY order_id ORDER BY event_version DESC, "
+        "source_updated_at DESC, event_id DESC, gross_amount DESC) AS version_rank, "
         "CASE WHEN customer_segment = 'MACHINERY' THEN 'TEST_TRANSACTION' "
         "WHEN gross_amount <= 1000 THEN 'INVALID_AMOUNT' END AS quarantine_reason FROM fo a",
         "orders_latest": good("gov") + f"SELECT {gov_columns} FROM gov",
@@ -686,14 +689,19 @@ def oracle_sql() -> dict[str, str]:
         "narration_rows": good("rawa", "govf")
         + f"SELECT 'raw' AS path, {verdict} || ' its May 1998 revenue target: revenue was ' || "
         f"{_cad('revenue')} || {gap_text} || driver_name || ' drove the result, finishing ' || "
-        f"{_cad('driver_variance_cad', True)} || ' versus its category target.' AS text FROM rawa "
+        f"{_cad('driver_variance_cad', True)} || ' versus its category target.' AS text, "
+        "'Deterministic conference fallback — no live LLM' AS label FROM rawa "
         f"UNION ALL SELECT 'governed', {verdict} || ' its May 1998 target. ' || "
         f"metric_display_name || ' was ' || {_cad('net_revenue_cad')} || {gap_text} || "
         "coalesce(worst_name || ' was the largest negative contributor at ' || "
         f"{_cad('worst_variance_cad', True)} || ' versus its category target. ', "
         "'No category finished below its target. ') || 'Evidence: pipeline run ' || "
         "pipeline_run_id || ', refreshed 2001-11-05 00:00:00 UTC, data contract ' || "
-        "data_contract_version || ', status ' || status || '.' FROM govf",
+        "data_contract_version || ', status ' || status || '.', "
+        "'Deterministic conference fallback — no live LLM' FROM govf",
+        "narration_refused_b": bad("hea")
+        + f"SELECT 'governed' AS path, {_refusal()} AS text, 'Deterministic refusal — enforced in "
+        "data-access code; no model consulted' AS label FROM hea",
         "money_text": good("fo")
         + f"SELECT region_code, category_code, {_cad('total')} AS total_text, "
         f"{_cad('usd', True)} AS usd_text, {_pct('share')} AS share_text FROM "

@@ -48,7 +48,9 @@ def narrate_raw(facts: DataFrame, question: Question, region_name: str) -> DataF
         cad(F.col("driver_variance_cad"), signed=True),
         F.lit(" versus its category target."),
     )
-    return facts.select(F.lit("raw").alias("path"), text.alias("text"))
+    return facts.select(
+        F.lit("raw").alias("path"), text.alias("text"), F.lit(TEMPLATE_LABEL).alias("label")
+    )
 
 
 def narrate_governed(facts: DataFrame, question: Question, region_name: str) -> DataFrame:
@@ -78,7 +80,16 @@ def narrate_governed(facts: DataFrame, question: Question, region_name: str) ->
         F.lit("."),
     )
     return facts.filter(F.col("net_revenue_cad").isNotNull()).select(
-        F.lit("governed").alias("path"), text.alias("text")
+        F.lit("governed").alias("path"), text.alias("text"), F.lit(TEMPLATE_LABEL).alias("label")
+    )
+
+
+def narrate_refusal(refusal: DataFrame) -> DataFrame:
+    """A refusal is told in its own words."""
+    return refusal.select(
+        F.lit("governed").alias("path"),
+        F.col("message").alias("text"),
+        F.lit(REFUSAL_LABEL).alias("label"),
     )
 
 

@@ -339,10 +339,11 @@ def source_lineage(product: Product, question: Question) -> DataFrame:
 def lineage_systems(product: Product, question: Question) -> DataFrame:
     """Distinct contributing systems in name order, placeholders left out."""
     systems = F.array("order_source_system", "returns_source_system", "fx_source_system")
+    system = F.col("source_system")
     return (
         source_lineage(product, question)
         .select(F.explode(systems).alias("source_system"))
-        .filter((F.col("source_system") != NO_RETURN) & ~F.col("source_system").startswith("none ("))
+        .filter((system != NO_RETURN) & ~system.startswith("none ("))
         .distinct()
         .orderBy("source_system")
     )
@@ -566,14 +567,12 @@ def comparison_series(raw: DataFrame, governed: DataFrame) -> DataFrame:
 
     The governed figure is missing unless the product is READY.
     """
-    first = raw.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("Naive raw revenue").alias("measure"), F.col("revenue").alias("cad")),
-                F.struct(F.lit("Target").alias("measure"), F.col("target_cad").alias("cad")),
-            )
-        )
-    )
+
+    def point(name: str, column: str) -> Column:
+        return F.struct(F.lit(name).alias("measure"), F.col(column).alias("cad"))
+
+    points = F.array(point("Naive raw revenue", "revenue"), point("Target", "target_cad"))
+    first = raw.select(F.inline(points))
     last = governed.filter(F.col("net_revenue_cad").isNotNull()).select(
         F.lit("Governed net revenue").alias("measure"), F.col("net_revenue_cad").alias("cad")
     )

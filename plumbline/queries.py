@@ -6,10 +6,10 @@ feeds; serving queries read a published build of the same directory.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -372,6 +372,10 @@ def narration_rows(product: Product) -> DataFrame:
     )
 
 
+def narration_refused(product: Product) -> DataFrame:
+    return narration.narrate_refusal(serving.refusal_message(product))
+
+
 def money_text(t: Trade) -> DataFrame:
     """Text forms of every category's naive total against its target share."""
     totals = t.orders.groupBy("region_code", "category_code").agg(
@@ -610,6 +614,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "measures_total": _served(m.measures),
         "measures_trusted_b": _served(m.measures, "broken"),
         "narration_rows": _served(narration_rows),
+        "narration_refused_b": _served(narration_refused, "broken"),
         "money_text": _repaired(money_text),
         "secret_scan": secret_scan,
         "pattern_scan": pattern_scan,

@@ -10,9 +10,10 @@ from pyspark.sql import SparkSession
 def prepare(spark: SparkSession) -> SparkSession:
     """UTC timestamps, and a checkpoint folder where the cluster names none."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    if not checkpoint_dir(spark):
-        # Only local test sessions come here; a cluster sets spark.checkpoint.dir.
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="plumbline-"))
+    if not spark.sparkContext.getCheckpointDir():
+        # A cluster names spark.checkpoint.dir; only local test sessions need a new folder.
+        folder = checkpoint_dir(spark) or tempfile.mkdtemp(prefix="plumbline-")
+        spark.sparkContext.setCheckpointDir(folder)
     return spark
 
 
