@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ GAP = r"[\x20\x09-\x0D]+"
 BROADCAST_BYTES = 32 << 20
 
 
+def shipped(module: str) -> None:
+    """Send the module's functions to executors with each job, so they need no copy of this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -82,3 +89,14 @@ def prefix_sums(
         same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
     joined = local.join(offsets, same, "inner")
     return joined.select(*df.columns, (F.col("_base") + F.col("_local")).alias(out))
+
+
+def literal_rows(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small frame of constants, made inside the plan."""
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names, strict=True)]) for row in rows]
+    return spark.range(1).select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+
+
+def joined_small(left: DataFrame, right: DataFrame, on, how: str, fits: bool) -> DataFrame:
+    """A join whose right side is broadcast only where its measured size allows it (``small``)."""
+    return left.join(F.broadcast(right) if fits else right, on, how)

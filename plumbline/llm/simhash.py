@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import written
+from plumbline.llm.common import shipped, written
 from plumbline.llm.components import components
 
 RADIUS = 3
@@ -269,3 +269,6 @@ def keep_first(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) ->
     parts = [F.col(f"c{i}") for i in range(len(docs.columns))]
     nameless = nameless.groupBy("_fp").agg(F.min_by(F.struct(*parts), F.struct(parts[docs.columns.index("text")])).alias("_row"))
     return kept.unionByName(nameless.select("_row.*").toDF(*docs.columns))
+
+
+shipped(__name__)
