@@ -236,8 +236,9 @@ def quality(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = S
     A text without words is rejected as short. Repeated rows are judged alike and all kept or all
     dropped; an empty table stays empty; other columns are carried whatever their names.
     """
-    kept = verdicts(docs, rank(docs, rules, sample_rows)).filter("kept")
-    return kept.select("_row.*")
+    judged = verdicts(docs, rank(docs, rules, sample_rows))
+    # Not a filter: the optimizer would push it below the cascade and multiply the rules' expressions.
+    return judged.select(F.explode(F.when(F.col("kept"), F.array("_row"))).alias("_row")).select("_row.*")
 
 
 def digest(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
