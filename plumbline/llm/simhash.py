@@ -65,7 +65,7 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, keep: list[str], shingle: int = SHINGLE) -> DataFrame:
-    """The ``keep`` columns and ``fp``, the fingerprint as a signed 64-bit integer. One pass, no shuffle."""
+    """The ``keep`` columns as c0, c1, ... and ``fp``, the fingerprint as a signed 64-bit integer. One pass, no shuffle."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,8 +73,9 @@ def fingerprints(docs: DataFrame, keep: list[str], shingle: int = SHINGLE) -> Da
             values = np.fromiter((fingerprint(t.as_py(), shingle) for t in texts), np.uint64, len(texts))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(values.view(np.int64))], schema.names)
 
-    schema = docs.select(*[F.col(f"`{c}`") for c in keep]).withColumn("fp", F.lit(0).cast("bigint")).schema
-    given = docs.select(F.col("text").cast("string").alias("_text"), *[F.col(f"`{c}`") for c in keep])
+    names = [f"c{k}" for k in range(len(keep))]
+    given = docs.select(F.col("text").cast("string"), *[F.col(f"`{c}`") for c in keep]).toDF("text", *names)
+    schema = given.select(*names, F.lit(0).cast("bigint").alias("fp")).schema
     return given.mapInArrow(rows, schema)
 
 
@@ -230,7 +231,7 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
 
 def _labelled(docs: DataFrame, radius: int, shingle: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, fp) of all rows, and (fp, root, component_id) of all distinct fingerprints."""
-    marked = written(fingerprints(docs, ["doc_id"], shingle), "fingerprints")
+    marked = written(fingerprints(docs, ["doc_id"], shingle).withColumnRenamed("c0", "doc_id"), "fingerprints")
     distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct")
     groups = components(links(distinct, radius)).withColumnRenamed("node", "fp")
     rooted = distinct.join(groups, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -260,14 +261,13 @@ def keep_first(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) ->
     marked, labels = _labelled(docs, radius, shingle)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     named = labels.filter("component_id is not null").select(F.col("component_id").alias("_kept_id")).distinct()
-    kept = docs.join(named, docs["doc_id"] == F.col("_kept_id"), "left_semi")
+    kept = docs.join(named, docs["doc_id"] == named["_kept_id"], "left_semi")
     kept = kept.groupBy("doc_id").agg(F.min_by(whole, F.struct("text")).alias("_row")).select("_row.*")
     roots = labels.filter("component_id is null").select(F.col("root").alias("_root")).distinct()
-    nameless = fingerprints(docs.filter(F.col("doc_id").isNull()), docs.columns, shingle).withColumnRenamed("fp", "_fp")
-    nameless = nameless.toDF(*[f"c{i}" for i in range(len(docs.columns))], "_fp")
-    nameless = nameless.join(roots, F.col("_fp") == F.col("_root"), "left_semi")
+    nameless = fingerprints(docs.filter(F.col("doc_id").isNull()), docs.columns, shingle)
+    nameless = nameless.join(roots, F.col("fp") == F.col("_root"), "left_semi")
     parts = [F.col(f"c{i}") for i in range(len(docs.columns))]
-    nameless = nameless.groupBy("_fp").agg(F.min_by(F.struct(*parts), F.struct(parts[docs.columns.index("text")])).alias("_row"))
+    nameless = nameless.groupBy("fp").agg(F.min_by(F.struct(*parts), F.struct(parts[docs.columns.index("text")])).alias("_row"))
     return kept.unionByName(nameless.select("_row.*").toDF(*docs.columns))
 
 
