@@ -12,10 +12,16 @@ is as parallel as the files.
 
 from __future__ import annotations
 
+import json
 import math
+import os
+import re
 import struct
+import sys
+import types
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +36,7 @@ END_ID = 2
 #: Bits of the upper part between two sampled counts.
 BLOCK_BITS = 512
 #: Words whose ids a task remembers, and tokens read at once.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 READ_TOKENS = 1 << 20
 _SEQUENCE = "<QQBQ"
 _FOOTER = "<QQQqBQQ8s"
@@ -103,9 +109,21 @@ class EliasFano:
 # ---------------------------------------------------------------- tokenizing
 
 
+#: Fixed value: the split of tokenizers for which runs of letters are pieces of their own.
+LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LETTERS = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0x100)) if c not in (0xD7, 0xF7)]
+#: Latin letters, then punctuation other than apostrophes and brackets of special tokens.
+_PLAIN_WORD = re.compile(r"([A-Za-z\xC0-\xD6\xD8-\xF6\xF8-\xFF]*)([!-&(-/:;=?@\[-`{}~]*)")
+
+
 class Encoder:
     """Texts to id arrays. ``by_words``: the tokenizer never joins across ASCII white space and drops it,
-    so the ids of a text are those of its words one after another, and words are remembered."""
+    so the ids of a text are those of its words one after another, and words are remembered.
+
+    Most words are a run of Latin letters with some punctuation behind it. If the tokenizer's own
+    description says that it splits there, such runs go to its merge model directly, in the form
+    that its normalizer and byte mapping give each letter; all other words take the whole way.
+    """
 
     def __init__(self, path: str, by_words: bool):
         from tokenizers import Tokenizer
@@ -113,26 +131,88 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._by_words = by_words
         self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self._known: dict[bytes, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
+        self._code = "H" if self.dtype.itemsize == 2 else "I"
+        self._words = Words(self.learn)
+        self._runs: dict[str, bytes] = {}
+        self._forms = self._letter_forms() if by_words else None
+
+    def _letter_forms(self) -> dict[int, str] | None:
+        """How each Latin letter reaches the merge model, or None where runs of letters are not pieces."""
+        said = json.loads(self._tokenizer.to_str())
+        normal, split = said.get("normalizer") or {}, said.get("pre_tokenizer") or {}
+        steps = [x["type"] for x in normal.get("normalizers", [])]
+        pieces = split.get("pretokenizers", [{}])
+        first = pieces[0]
+        known = (
+            steps == ["NFC", "Replace", "Lowercase"]
+            and [x.get("type") for x in pieces] == ["Split", "ByteLevel"]
+            and (first.get("pattern"), first.get("behavior"), first.get("invert")) == ({"Regex": LETTER_RUNS}, "Removed", True)
+            and not pieces[1].get("add_prefix_space")
+            and not pieces[1].get("use_regex")
+            and not said.get("post_processor")
+            and said["model"]["type"] == "BPE"
+        )
+        if not known:
+            return None
+        whole = {c: self._tokenizer.normalizer.normalize_str(c) for c in _LETTERS}
+        return {ord(c): "".join(p for p, _ in self._tokenizer.pre_tokenizer.pre_tokenize_str(n)) for c, n in whole.items()}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [self._packed(e.ids) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return array(self._code, ids).tobytes()
+
+    def _run(self, letters: str) -> bytes:
+        form = letters.translate(self._forms)
+        ids = self._runs.get(form)
+        if ids is None:
+            if len(self._runs) >= CACHE_WORDS:
+                self._runs.clear()
+            ids = self._runs[form] = self._packed([t.id for t in self._tokenizer.model.tokenize(form)])
+        return ids
+
+    def learn(self, token: bytes) -> bytes:
+        """The ids of a word that is not remembered."""
+        word = token.decode()
+        plain = _PLAIN_WORD.fullmatch(word) if self._forms else None
+        if plain is None:
+            return self._whole([word])[0]
+        letters, marks = plain.groups()
+        if not letters:
+            return self._whole([marks])[0]
+        return self._run(letters) + (self._words[marks.encode()] if marks else b"")
 
     def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
         if not self._by_words:
-            yield from self._ids([t.decode() for t in texts])
+            yield from self._whole([t.decode() for t in texts])
             return
-        known = self._known
         for text in texts:
-            tokens = text.split()
-            missing = [t for t in set(tokens) if t not in known]
-            if missing:
-                if len(known) + len(missing) > CACHE_WORDS:
-                    known.clear()
-                    missing = list(set(tokens))
-                known.update(zip(missing, self._ids([t.decode() for t in missing]), strict=True))
-            yield b"".join([known[t] for t in tokens])
+            if len(self._words) > CACHE_WORDS:
+                self._words.clear()
+            yield b"".join(map(self._words.__getitem__, text.split()))
+
+
+class Words(dict):
+    """Ids by word; a word not yet there is learnt."""
+
+    def __init__(self, learn: Callable[[bytes], bytes]):
+        super().__init__()
+        self._learn = learn
+
+    def __missing__(self, token: bytes) -> bytes:
+        ids = self[token] = self._learn(token)
+        return ids
+
+
+def encoder(path: str, by_words: bool) -> Encoder:
+    """The encoder of this worker process: later tasks find the words that earlier ones learnt."""
+    # This module is shipped by value with each job, so the place to keep it is one that outlives jobs.
+    place = sys.modules.setdefault("_token_encoders", types.ModuleType("_token_encoders"))
+    kept = place.__dict__.setdefault("kept", {})
+    if (path, by_words) not in kept:
+        kept[path, by_words] = Encoder(path, by_words)
+    return kept[path, by_words]
 
 
 # ---------------------------------------------------------------- writing
@@ -145,8 +225,6 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, by
     are ordered by the text. An empty table writes no file. Other columns are ignored. ``first`` is
     the number of ids in all earlier files.
     """
-    import os
-
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +240,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, by
             if not batch.num_rows:
                 continue
             if out is None:
-                encode, out = Encoder(tokenizer, by_words), AtomicFile(folder, f"part-{part:06d}.tokens")
+                encode, out = encoder(tokenizer, by_words), AtomicFile(folder, f"part-{part:06d}.tokens")
                 end = np.array([end_id], dtype=encode.dtype).tobytes()
             width = encode.dtype.itemsize
             sizes = []
