@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.contracts import FeedContract, HealthContract
 from plumbline.functions.columns import age_minutes, code, money, to_cents, utc
@@ -64,6 +65,37 @@ def same_rows(left: DataFrame, right: DataFrame, ignore: Sequence[str] = ()) ->
 # ---------------------------------------------------------------- manifest
 
 
+# Leading hexadecimal digits of a row's md5 that count in the content hash.
+HASH_DIGITS = 15
+
+
+def value_text(name: str, kind: T.DataType) -> Column:
+    """Text form of a value that any engine can make.
+
+    NULL is ``\\N``; fractions are whole millionths, half up; times are microseconds since 1970;
+    lists are their values between commas.
+    """
+
+    def millionths(value: Column) -> Column:
+        return F.floor(value.cast("double") * 1e6 + 0.5).cast("bigint").cast("string")
+
+    column = F.col(f"`{name}`")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        text = millionths(column)
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        text = F.unix_micros(column.cast("timestamp")).cast("string")
+    elif isinstance(kind, T.ArrayType):
+        text = F.array_join(F.transform(column, millionths), ",")
+    else:
+        text = column.cast("string")
+    return F.coalesce(text, F.lit("\\N"))
+
+
+def row_text(df: DataFrame) -> Column:
+    """The values of a row in column order, separated by unit separators."""
+    return F.concat_ws("\x1f", *[value_text(f.name, f.dataType) for f in df.schema.fields])
+
+
 def table_manifest(tables: Mapping[str, DataFrame], sums: Mapping[str, str]) -> DataFrame:
     """Row count, an exact sum and an order-free content hash per table.
 
@@ -71,8 +103,9 @@ def table_manifest(tables: Mapping[str, DataFrame], sums: Mapping[str, str]) ->
     """
 
     def one(name: str, df: DataFrame) -> DataFrame:
-        # The sum of row hashes wraps around in a decimal that cannot overflow.
-        row_hash = F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(20,0)")
+        digest = F.substring(F.md5(row_text(df)), 1, HASH_DIGITS)
+        # The decimal holds the sum of more than 10^19 such numbers.
+        row_hash = F.conv(digest, 16, 10).cast("decimal(20,0)")
         cents = F.round(F.col(sums[name]).cast("decimal(18,4)") * 100, 0)
         return df.agg(
             F.count(F.lit(1)).alias("rows"),

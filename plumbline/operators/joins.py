@@ -13,18 +13,20 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-# A lookup above this many rows is not broadcast.
+# A lookup above this many rows or bytes is not broadcast.
 LOOKUP_ROW_LIMIT = 1_000_000
-# A key is hot when it holds at least this share of the rows: at most 500 keys can.
-HOT_SHARE = 1 / 500
-# Below this many rows a key is never worth a special path.
-HOT_MIN_ROWS = 1_000_000
-# Sketch size: its count error is below the hot share, so no hot key is missed.
+LOOKUP_BYTE_LIMIT = 64 << 20
+# A key is hot when it has this many times the rows that a reducer gets on average.
+HOT_FACTOR = 2
+# Least sketch size; it grows with the number of keys that can be hot, so no hot key is missed.
 _SKETCH_ITEMS = 4096
 _LOOKUP_SALTS = 32
 
@@ -35,19 +37,22 @@ _LOOKUP_SALTS = 32
 def hot_keys(
     df: DataFrame,
     *columns: str,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
+    share: float | None = None,
+    min_rows: int = 0,
 ) -> dict[str, list[Any]]:
     """Values of each column that hold a large share of all rows (NULL included as ``None``).
 
-    One pass with a mergeable frequent-items sketch, so nothing is shuffled by key. The result
-    has at most ``1 / share`` values per column and only steers the physical path: every list,
-    even an empty one, gives the same rows.
+    ``share`` is by default ``HOT_FACTOR`` times what one of the session's shuffle partitions
+    gets. One pass with a mergeable frequent-items sketch, so nothing is shuffled by key. The
+    result has at most ``1 / share`` values per column and only steers the physical path: every
+    list, even an empty one, gives the same rows.
     """
+    if share is None:
+        reducers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        share = min(1.0, HOT_FACTOR / reducers)
     top = int(1 / share) + 1
-    sketches = [
-        F.expr(f"approx_top_k(`{c}`, {top}, {_SKETCH_ITEMS})").alias(c) for c in columns
-    ]
+    items = min(1_000_000, max(_SKETCH_ITEMS, 8 * top))
+    sketches = [F.expr(f"approx_top_k(`{c}`, {top}, {items})").alias(c) for c in columns]
     row = df.select(*columns).agg(F.count(F.lit(1)).alias("_rows"), *sketches).first()
     floor = max(min_rows, row["_rows"] * share)
     return {
@@ -62,15 +67,10 @@ def is_one_of(column: Column, values: Sequence[Any]) -> Column:
     return hit | column.isNull() if None in values else hit
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a scan that comes in fewer splits than there are cores.
-
-    Large inputs have many splits and are returned as they are. A small one is dealt out row by
-    row, so copies of a row do not stay together; Spark sorts before it deals, which keeps the
-    outcome the same after a task retry.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+def busiest_keys(df: DataFrame, column: str, n: int) -> list[Any]:
+    """The ``n`` most frequent values of a column, the smaller first among equally frequent ones."""
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    return [r[column] for r in counts.orderBy(F.desc("_n"), column).limit(n).collect()]
 
 
 # ---------------------------------------------------------------- large-to-large
@@ -121,6 +121,13 @@ def join_unique(
 # ---------------------------------------------------------------- lookups
 
 
+def _width(frame: DataFrame, column: str) -> Column:
+    """Bytes of a value in a broadcast: eight for the slot, and the text itself."""
+    if isinstance(frame.schema[column].dataType, StringType):
+        return F.coalesce(F.octet_length(column), F.lit(0)).cast("bigint") + 8
+    return F.lit(8).cast("bigint")
+
+
 @dataclass(frozen=True)
 class Lookup:
     """A reference frame and whether its counted size allows a broadcast."""
@@ -140,17 +147,24 @@ class Lookup:
     def sizes(
         frames: dict[str, DataFrame], row_limit: int = LOOKUP_ROW_LIMIT
     ) -> dict[str, int]:
-        """Row counts; each count stops just above the limit."""
+        """Row counts; each count stops just above the limit.
+
+        A frame whose values take more than ``LOOKUP_BYTE_LIMIT`` counts as above the limit.
+        """
         counts = None
         for name, frame in frames.items():
+            width = reduce(add, [_width(frame, c) for c in frame.columns])
             one = (
-                frame.select(F.lit(1).alias("x"))
+                frame.select(width.alias("x"))
                 .limit(row_limit + 1)
-                .agg(F.count("x").alias("n"))
-                .select(F.lit(name).alias("name"), "n")
+                .agg(F.count("x").alias("n"), F.coalesce(F.sum("x"), F.lit(0)).alias("bytes"))
+                .select(F.lit(name).alias("name"), "n", "bytes")
             )
             counts = one if counts is None else counts.unionByName(one)
-        return {} if counts is None else {r["name"]: r["n"] for r in counts.collect()}
+        found = [] if counts is None else counts.collect()
+        return {
+            r["name"]: r["n"] if r["bytes"] <= LOOKUP_BYTE_LIMIT else row_limit + 1 for r in found
+        }
 
     def map(self, frame: DataFrame) -> Lookup:
         """The same lookup after a projection or filter, which cannot make it larger."""

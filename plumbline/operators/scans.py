@@ -23,6 +23,10 @@ SECRET_PATTERNS = {
 }
 
 
+# Everything that ends a line; a carriage return before a line feed is part of one end.
+LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
+
+
 def scan_patterns(
     df: DataFrame, key: str, text: str, patterns: Mapping[str, str] = SECRET_PATTERNS
 ) -> DataFrame:
@@ -35,7 +39,7 @@ def scan_patterns(
         F.array(*[F.when(line.rlike(p), F.lit(name)) for name, p in patterns.items()])
     )
     lines = df.select(
-        key, F.posexplode(F.split(F.col(text), r"\r?\n")).alias("_position", "_line")
+        key, F.posexplode(F.split(F.col(text), LINE_END)).alias("_position", "_line")
     )
     return lines.select(
         key,

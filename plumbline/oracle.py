@@ -6,18 +6,52 @@ correlated tests instead of joins, and so on.
 
 from __future__ import annotations
 
+from plumbline.operators.audits import HASH_DIGITS
 from plumbline.operators.scans import SECRET_PATTERNS
 from plumbline.queries import (
     ALLOCATION_FACTOR,
     CALLER_PATTERNS,
     MANIFEST,
     MARKUP_PATTERNS,
+    MONTH,
     WATERMARK,
     run_id,
 )
 
 D18 = "DECIMAL(18,2)"
 
+# The columns of the given tables; * fractions, @ times, + lists of fractions.
+TABLE_COLUMNS = {
+    "benchmark": "item_id text",
+    "conversations": "conv_id turn role text",
+    "customer": "c_custkey c_name c_nationkey c_acctbal* c_mktsegment",
+    "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding+ label",
+    "events": "event_id ts@ user_id event_type value* props",
+    "labels": "doc_id quality toxic",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity* l_extendedprice* "
+    "l_discount* l_tax* l_returnflag l_linestatus l_shipdate@",
+    "nation": "n_nationkey n_name n_regionkey",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice* o_orderdate@ o_orderpriority",
+    "pages": "page_id url html",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice*",
+    "region": "r_regionkey r_name",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal*",
+}
+TABLE_COLUMNS = {table: columns.split() for table, columns in TABLE_COLUMNS.items()}
+
+
+def _value_text(column: str) -> str:
+    """Text form of a value: whole millionths, microseconds since 1970, plain text."""
+    name, kind = column.rstrip("*@+"), column[-1]
+    whole = "CAST(CAST(floor(CAST({0} AS DOUBLE) * 1000000 + 0.5) AS BIGINT) AS VARCHAR)"
+    form = {
+        "*": whole.format(name),
+        "@": f"CAST(epoch_us({name}) AS VARCHAR)",
+        "+": f"array_to_string([{whole.format('x')} FOR x IN {name}], ',')",
+    }.get(kind, f"CAST({name} AS VARCHAR)")
+    return f"coalesce({form}, '\\N')"
+
 
 def _cte(*names: str, variant: str) -> str:
     """WITH clause of the named steps and everything they need, in order."""
@@ -33,8 +67,9 @@ def _cte(*names: str, variant: str) -> str:
     currency = "CASE {0} % 4 WHEN 2 THEN 'USD' WHEN 3 THEN '" + third + "' ELSE 'CAD' END"
     steps = {
         "days": (
-            "SELECT CAST(g AS DATE) AS d FROM "
-            "generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY) t(g)",
+            "SELECT CAST(unnest(generate_series(date_trunc('month', min(o_orderdate)), "
+            "CAST(last_day(max(o_orderdate)) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d "
+            "FROM orders",
             (),
         ),
         "cal": (
@@ -460,7 +495,9 @@ _MEASURES = (
 )
 
 
-def _measures(keys: dict[str, tuple[str, str]], where: str, variant: str = "repaired") -> str:
+def _measures(
+    keys: dict[str, tuple[str, str]], where: str, variant: str = "repaired", goals: str | None = None
+) -> str:
     """Measures per group; ``keys`` maps shown name to (fact column, target column)."""
     sales_keys = ", ".join(f"{s} AS {k}" for k, (s, _) in keys.items())
     goal_keys = ", ".join(f"{t} AS {k}" for k, (_, t) in keys.items())
@@ -468,9 +505,10 @@ def _measures(keys: dict[str, tuple[str, str]], where: str, variant: str = "repa
     both = (
         "SELECT {k} gross_revenue_cad AS g, returns_cad AS r, net_revenue_cad AS n, "
         "CAST(NULL AS DECIMAL(18,2)) AS t, category_name AS c FROM fact {w} "
-        "UNION ALL SELECT {q} NULL, NULL, NULL, target_cad, category_name FROM ft {w}"
+        "UNION ALL SELECT {q} NULL, NULL, NULL, target_cad, category_name FROM ft {v}"
     ).format(
-        k=sales_keys + "," if keys else "", q=goal_keys + "," if keys else "", w=where
+        k=sales_keys + "," if keys else "", q=goal_keys + "," if keys else "", w=where,
+        v=where if goals is None else goals,
     )
     select = "".join(f"{k}, " for k in keys)
     group = f"GROUP BY {names}" if keys else ""
@@ -489,6 +527,14 @@ def _measures(keys: dict[str, tuple[str, str]], where: str, variant: str = "repa
 
 
 def oracle_sql() -> dict[str, str]:
+    sql = _written()
+    # The split paths must give what the plain ones give.
+    for name in ("order_versions", "returns_reconciled_b"):
+        sql[name.removesuffix("_b") + "_split"] = sql[name]
+    return sql
+
+
+def _written() -> dict[str, str]:
     def good(*names: str) -> str:
         return _cte(*names, variant="repaired")
 
@@ -501,6 +547,17 @@ def oracle_sql() -> dict[str, str]:
         "category_code, currency_code, gross_amount, customer_segment, source_updated_at, "
         "ingested_at"
     )
+    event_columns = (
+        "order_id, event_id, event_version, order_timestamp_utc, region_code, category_code, "
+        "currency_code, gross_amount, customer_segment, source_updated_at, ingested_at, "
+        "'azure_sql.sales.orders' AS source_system, 'lineitem' AS source_file"
+    )
+    return_columns = (
+        "return_id, order_id, return_timestamp_utc, return_amount, currency_code, "
+        "source_updated_at, right(repeat('0', 20) || l_partkey, 20) || '/' || "
+        "right(repeat('0', 20) || l_suppkey, 20) AS return_reason, "
+        "'sqlserver.dbo.returns' AS source_system, 'lineitem' AS source_file"
+    )
     fact_columns = (
         "order_key, date_key, region_key, category_key, gross_revenue_cad, returns_cad, "
         "net_revenue_cad, original_currency, gross_amount_original_currency, applied_fx_rate, "
@@ -541,8 +598,7 @@ def oracle_sql() -> dict[str, str]:
     net_cad = f"CAST(sum(gross_revenue_cad - returns_cad) AS {D18}) AS net_cad"
     return {
         "order_versions": good("fo")
-        + "SELECT a.order_id, a.event_id, a.event_version, a.currency_code, a.gross_amount, "
-        "row_number() OVER (PARTITION BY order_id ORDER BY event_version DESC, "
+        + "SELECT a.*, 'azure_sql.sales.orders' AS source_system, row_number() OVER (PARTITION BY order_id ORDER BY event_version DESC, "
         "source_updated_at DESC, event_id DESC, gross_amount DESC) AS version_rank, "
         "CASE WHEN customer_segment = 'MACHINERY' THEN 'TEST_TRANSACTION' "
         "WHEN gross_amount <= 1000 THEN 'INVALID_AMOUNT' END AS quarantine_reason FROM fo a",
@@ -577,6 +633,7 @@ def oracle_sql() -> dict[str, str]:
         "upper(substr(split_part(r_name, ' ', 2), 1, 1)) || "
         "lower(substr(split_part(r_name, ' ', 2), 2)) FROM region WHERE r_name LIKE '% %'",
         "fact_sales": good("fact") + f"SELECT {fact_columns} FROM fact",
+        "fact_sales_unbroadcast": good("fact") + f"SELECT {fact_columns} FROM fact",
         "published_fact": good("fact") + f"SELECT {fact_columns} FROM fact",
         "withheld_fact_b": bad("fact") + f"SELECT {fact_columns} FROM fact WHERE false",
         "fact_targets": good("ft")
@@ -673,6 +730,11 @@ def oracle_sql() -> dict[str, str]:
         "measures_by_region_month": _measures(
             {"region_code": ("region_code",) * 2, "year_month": ("year_month", "target_month")}, ""
         ),
+        "measures_one_month": _measures(
+            {"region_code": ("region_code",) * 2, "category_code": ("category_code",) * 2},
+            f"WHERE year_month = '{MONTH}'",
+            goals=f"WHERE target_month = '{MONTH}'",
+        ),
         "measures_by_category": _measures(
             {"category_code": ("category_code",) * 2}, "WHERE region_code = 'AMERICA'"
         ),
@@ -727,10 +789,10 @@ def oracle_sql() -> dict[str, str]:
         "AS numbers FROM pages p LEFT JOIN miss USING (page_id) GROUP BY p.page_id",
         "table_diff": "WITH l AS (SELECT * FROM ("
         + bad("fr")
-        + "SELECT return_id, order_id, return_amount, currency_code FROM fr)), "
+        + f"SELECT {return_columns} FROM fr)), "
         "r AS (SELECT * FROM ("
         + good("fr")
-        + "SELECT return_id, order_id, return_amount, currency_code FROM fr)), "
+        + f"SELECT {return_columns} FROM fr)), "
         "d AS (SELECT return_id, 1 AS a, 0 AS b FROM (SELECT * FROM l EXCEPT ALL SELECT * FROM r) "
         "UNION ALL SELECT return_id, 0, 1 FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM l)) "
         "SELECT return_id, CASE WHEN sum(b) = 0 THEN 'left_only' WHEN sum(a) = 0 "
@@ -738,13 +800,21 @@ def oracle_sql() -> dict[str, str]:
         "CAST(sum(b) AS BIGINT) AS right_rows FROM d GROUP BY return_id",
         "row_differences": "WITH l AS (SELECT * FROM ("
         + bad("fo")
-        + "SELECT order_id, currency_code FROM fo)), r AS (SELECT * FROM ("
+        + f"SELECT {event_columns} FROM fo)), r AS (SELECT * FROM ("
         + good("fo")
-        + "SELECT order_id, currency_code FROM fo)) "
-        "SELECT order_id, currency_code, count(*) AS left_surplus, CAST(0 AS BIGINT) "
+        + f"SELECT {event_columns} FROM fo)) "
+        "SELECT *, count(*) AS left_surplus, CAST(0 AS BIGINT) "
         "AS right_surplus FROM (SELECT * FROM l EXCEPT ALL SELECT * FROM r) GROUP BY ALL "
-        "UNION ALL SELECT order_id, currency_code, 0, count(*) FROM "
+        "UNION ALL SELECT *, 0, count(*) FROM "
         "(SELECT * FROM r EXCEPT ALL SELECT * FROM l) GROUP BY ALL",
+        "table_manifest_hash": " UNION ALL ".join(
+            f"SELECT '{table}' AS table_name, count(*) AS rows, CAST(coalesce(sum(round(CAST("
+            f"{MANIFEST[table]} AS DECIMAL(18,4)) * 100, 0)), 0) AS DECIMAL(38,0)) AS cents, "
+            "CAST(sum(CAST('0x' || substr(md5(concat_ws(chr(31), "
+            + ", ".join(_value_text(c) for c in columns)
+            + f")), 1, {HASH_DIGITS}) AS BIGINT)) AS DECIMAL(38,0)) AS content_hash FROM {table}"
+            for table, columns in TABLE_COLUMNS.items()
+        ),
         "table_manifest": " UNION ALL ".join(
             f"SELECT '{table}' AS table_name, count(*) AS rows, CAST(sum(round(CAST({column} "
             f"AS DECIMAL(18,4)) * 100, 0)) AS DECIMAL(38,0)) AS cents FROM {table}"

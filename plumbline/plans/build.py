@@ -11,6 +11,7 @@ from datetime import datetime, timezone
 from functools import partial
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,7 +58,9 @@ def _naive(moment: datetime) -> datetime:
 def together(*steps: Callable[[], Any]) -> list[Any]:
     """Run independent Spark actions at the same time; results in the given order."""
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
-        return [running.result() for running in [pool.submit(step) for step in steps]]
+        # The caller's job group and scheduler pool hold for the steps too.
+        started = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        return [running.result() for running in started]
 
 
 def land(store: TableStore, feeds: FeedSet, run_id: str) -> dict[str, DataFrame]:

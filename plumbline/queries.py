@@ -17,20 +17,18 @@ from pyspark.sql import functions as F
 from plumbline.contracts import ORDERS, MetricContract
 from plumbline.functions.columns import cad, money, pct
 from plumbline.operators import audits, quality, scans, silver, star
-from plumbline.operators.joins import Lookup, spread
+from plumbline.operators.joins import Lookup, busiest_keys
 from plumbline.plans import measures as m
 from plumbline.plans import narration, serving
 from plumbline.plans.build import BuildResult, run_build
 from plumbline.plans.product import Product, Question, open_product
 from plumbline.session import prepare
-from plumbline.sources.calendar import date_dimension
+from plumbline.sources.calendar import calendar_between
 from plumbline.sources.feeds import snapshot_at
 from plumbline.sources.store import TableStore, latest_events
 from plumbline.sources.trade import (
     AS_OF,
     CONTRACT,
-    FIRST_DAY,
-    LAST_DAY,
     MONTH,
     REGION,
     TradeFeeds,
@@ -96,15 +94,15 @@ class Trade:
             self.governed, self.reconciled, self.references["rates"], CONTRACT
         )
 
-    def fact_sales(self) -> DataFrame:
+    def fact_sales(self, fits: bool | None = None) -> DataFrame:
+        """The fact; ``fits`` overrides whether the references are small enough for a broadcast."""
         refs = self.references
+        sales = self.sales
+        if fits is not None:
+            refs = {name: Lookup(ref.frame, fits) for name, ref in refs.items()}
+            sales = silver.price_sales(self.governed, self.reconciled, refs["rates"], CONTRACT)
         return star.fact_sales(
-            self.sales,
-            refs["dates"],
-            refs["regions"],
-            refs["categories"],
-            CONTRACT,
-            run_id(self.variant),
+            sales, refs["dates"], refs["regions"], refs["categories"], CONTRACT, run_id(self.variant)
         ).drop("sales_month")
 
 
@@ -169,20 +167,30 @@ def _served(
     return lambda spark, directory: fn(published(spark, directory, variant))
 
 
-VERSION_OUTPUT = (
-    "order_id",
-    "event_id",
-    "event_version",
-    "currency_code",
-    "gross_amount",
-    "version_rank",
-    "quarantine_reason",
-)
+# Keys that the *_split queries treat as hot, whatever their share.
+FORCED_HOT_KEYS = 40
 
 
 def order_versions(t: Trade) -> DataFrame:
-    hot = t.feeds.hot_order_ids()
-    return silver.order_versions(t.orders, CONTRACT, hot).select(*VERSION_OUTPUT)
+    return silver.order_versions(t.orders, CONTRACT, t.feeds.hot_order_ids())
+
+
+def _busiest_orders(t: Trade) -> list[str | None]:
+    return [
+        None if key is None else str(key)
+        for key in busiest_keys(t.feeds.table("lineitem"), "l_orderkey", FORCED_HOT_KEYS)
+    ]
+
+
+def order_versions_split(t: Trade) -> DataFrame:
+    """The same ranks with the busiest orders taken through the path for hot keys."""
+    return silver.order_versions(t.orders, CONTRACT, _busiest_orders(t))
+
+
+def returns_reconciled_split(t: Trade) -> DataFrame:
+    """The same reconciliation with the busiest orders joined by the path for hot keys."""
+    reconciled = silver.reconcile_returns(t.returns, t.latest, _busiest_orders(t))
+    return reconciled.drop("source_system", "return_reason")
 
 
 def orders_latest(t: Trade) -> DataFrame:
@@ -401,6 +409,11 @@ def measures_by_region_month(product: Product) -> DataFrame:
     return m.measures(product, ["region", "month"])
 
 
+def measures_one_month(product: Product) -> DataFrame:
+    """One month by region and category; reads that month of the fact only."""
+    return m.measures(product, ["region", "category"], {"month": [MONTH]})
+
+
 def measures_by_category(product: Product) -> DataFrame:
     return m.measures(product, ["category"], {"region": [REGION]})
 
@@ -413,20 +426,20 @@ def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def secret_scan(spark: SparkSession, directory: str) -> DataFrame:
-    documents = spread(_table(spark, directory, "documents"))
+    documents = _table(spark, directory, "documents")
     return scans.scan_patterns(
         documents, "doc_id", "text", {**scans.SECRET_PATTERNS, **CALLER_PATTERNS}
     )
 
 
 def pattern_scan(spark: SparkSession, directory: str) -> DataFrame:
-    pages = spread(_table(spark, directory, "pages"))
+    pages = _table(spark, directory, "pages")
     return scans.scan_patterns(pages, "page_id", "html", MARKUP_PATTERNS)
 
 
 def grounded_numbers(spark: SparkSession, directory: str) -> DataFrame:
     """Numbers in a page's URL that its HTML does not contain."""
-    pages = spread(_table(spark, directory, "pages"))
+    pages = _table(spark, directory, "pages")
     checked = scans.ungrounded_numbers(pages, "url", "html")
     return checked.select(
         "page_id",
@@ -437,25 +450,33 @@ def grounded_numbers(spark: SparkSession, directory: str) -> DataFrame:
 
 def table_diff(spark: SparkSession, directory: str) -> DataFrame:
     """Returns of both variants, compared by return id; the delivery time is ignored."""
-    wanted = ("return_id", "order_id", "return_amount", "currency_code")
-    left = trade(spark, directory, "broken").returns.select(*wanted)
-    right = trade(spark, directory, "repaired").returns.select(*wanted)
+    left = trade(spark, directory, "broken").returns.drop("ingested_at")
+    right = trade(spark, directory, "repaired").returns.drop("ingested_at")
     return audits.table_diff(left, right, ["return_id"])
 
 
 def row_differences(spark: SparkSession, directory: str) -> DataFrame:
-    wanted = ("order_id", "currency_code")
-    left = trade(spark, directory, "broken").orders.select(*wanted)
-    right = trade(spark, directory, "repaired").orders.select(*wanted)
+    """Order events of both variants, compared over all columns."""
+    left = trade(spark, directory, "broken").orders
+    right = trade(spark, directory, "repaired").orders
     return audits.row_differences(left, right)
 
 
+# The given tables and the number that is summed of each.
 MANIFEST = {
+    "benchmark": "item_id",
+    "conversations": "turn",
     "customer": "c_acctbal",
+    "documents": "n_chars",
+    "embeddings": "label",
     "events": "value",
+    "labels": "quality",
     "lineitem": "l_extendedprice",
+    "nation": "n_regionkey",
     "orders": "o_totalprice",
+    "pages": "page_id",
     "part": "p_retailprice",
+    "region": "r_regionkey",
     "supplier": "s_acctbal",
 }
 
@@ -533,12 +554,10 @@ def run_history_latest(spark: SparkSession, directory: str) -> DataFrame:
 
 def date_dimension_query(spark: SparkSession, directory: str) -> DataFrame:
     """Calendar over the range of order dates."""
-    dates = _table(spark, directory, "orders").agg(
-        F.to_date(F.min("o_orderdate")).alias("first"),
-        F.to_date(F.max("o_orderdate")).alias("last"),
+    day = F.to_date("o_orderdate")
+    return calendar_between(
+        _table(spark, directory, "orders").agg(F.min(day).alias("first"), F.max(day).alias("last"))
     )
-    row = dates.first()
-    return date_dimension(spark, row["first"], row["last"])
 
 
 def contract_metadata(spark: SparkSession, directory: str) -> DataFrame:
@@ -568,6 +587,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "date_dimension": date_dimension_query,
         "dimensions": _repaired(dimensions),
         "fact_sales": _repaired(Trade.fact_sales),
+        "fact_sales_unbroadcast": _repaired(lambda t: t.fact_sales(fits=False)),
+        "order_versions_split": _repaired(order_versions_split),
+        "returns_reconciled_split": _broken(returns_reconciled_split),
+        "measures_one_month": _served(measures_one_month),
         "fact_targets": _repaired(fact_targets),
         "fx_gap_days_b": _broken(fx_gap_days),
         "check_freshness_b": _broken(check_freshness),

@@ -11,8 +11,12 @@ def prepare(spark: SparkSession) -> SparkSession:
     """UTC timestamps, and a checkpoint folder where the cluster names none."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     if not spark.sparkContext.getCheckpointDir():
-        # A cluster names spark.checkpoint.dir; only local test sessions need a new folder.
-        folder = checkpoint_dir(spark) or tempfile.mkdtemp(prefix="plumbline-")
+        folder = checkpoint_dir(spark)
+        if not folder:
+            # Only a local session may use a folder of its machine: executors must share it.
+            if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="plumbline-")
         spark.sparkContext.setCheckpointDir(folder)
     return spark
 

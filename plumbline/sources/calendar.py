@@ -12,10 +12,15 @@ from plumbline.functions.columns import date_key
 
 def date_dimension(spark: SparkSession, first: date | str, last: date | str) -> DataFrame:
     """One row per day from ``first`` to ``last``, both included."""
-    day = F.explode(
-        F.sequence(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
-    ).alias("calendar_date")
-    days = spark.range(1).select(day)
+    bounds = spark.range(1).select(
+        F.lit(str(first)).cast("date").alias("first"), F.lit(str(last)).cast("date").alias("last")
+    )
+    return calendar_between(bounds)
+
+
+def calendar_between(bounds: DataFrame) -> DataFrame:
+    """One row per day of the one row (first, last), both included; no day if either is NULL."""
+    days = bounds.select(F.explode(F.sequence("first", "last")).alias("calendar_date"))
     d = F.col("calendar_date")
     return days.select(
         date_key(d).alias("date_key"),

@@ -153,7 +153,7 @@ class TableStore:
             self.events(table, history),
             EVENT_KEYS[table],
             schema_of(table).names,
-            ("recorded_at_utc", "event_seq"),
+            ("recorded_at_utc", "event_seq", "pipeline_run_id"),
         )
 
     def last_success(self, history: str) -> Any:

@@ -31,14 +31,11 @@ from plumbline.operators.joins import (
     hot_keys,
     join_unique,
     lookup,
-    spread,
 )
-from plumbline.sources.calendar import date_dimension
+from plumbline.sources.calendar import calendar_between
 from plumbline.sources.feeds import FeedSet, stamp_lineage
 
 AS_OF = "2001-11-05 00:00:00"
-FIRST_DAY = "1995-01-01"
-LAST_DAY = "2001-12-31"
 REGION = "AMERICA"
 MONTH = "1998-05"
 ORDERS_AGE_MINUTES = 30
@@ -50,8 +47,6 @@ CONTRACT = HealthContract(test_segment="MACHINERY", invalid_amount_at_or_below="
 
 # Skewed keys of a directory, measured once per session. They steer joins, not results.
 _HOT: dict[tuple[str, str], dict[str, list[Any]]] = {}
-# Row counts of the small reference frames of a directory, taken once per session.
-_SIZES: dict[tuple[str, str], dict[str, int]] = {}
 # Schemas read from the parquet footers, once per session.
 _SCHEMAS: dict[tuple[str, str], StructType] = {}
 
@@ -89,9 +84,6 @@ class TradeFeeds:
             _SCHEMAS[key] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
-    def spread_table(self, name: str) -> DataFrame:
-        return spread(self.table(name))
-
     def hot(self, column: str) -> list[Any]:
         """Hot keys of a foreign key column of lineitem or orders."""
         key = (self.spark.sparkContext.applicationId, self.directory)
@@ -111,23 +103,17 @@ class TradeFeeds:
 
     @cached_property
     def references(self) -> dict[str, Lookup]:
-        """Reference frames with checked sizes.
-
-        Calendar and rates have one row per day between two constants; the others are counted.
-        """
+        """Reference frames with checked sizes."""
         counted = {
+            "dates": self.calendar(),
+            "rates": self.fx_rates(),
             "nations": self._nations(),
             "regions": self.regions(),
             "categories": self.categories(),
         }
-        key = (self.spark.sparkContext.applicationId, self.directory)
-        if key not in _SIZES:
-            _SIZES[key] = Lookup.sizes(counted)
-        sizes = _SIZES[key]
+        sizes = Lookup.sizes(counted)
         return {
-            "dates": Lookup(self.calendar(), True),
-            "rates": Lookup(self.fx_rates(), True),
-            **{n: Lookup(df, sizes[n] <= LOOKUP_ROW_LIMIT) for n, df in counted.items()},
+            name: Lookup(df, sizes[name] <= LOOKUP_ROW_LIMIT) for name, df in counted.items()
         }
 
     def _nations(self) -> DataFrame:
@@ -137,17 +123,23 @@ class TradeFeeds:
             .select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("region_code"))
         )
 
-    def calendar(self) -> DataFrame:
-        return stamp_lineage(
-            date_dimension(self.spark, FIRST_DAY, LAST_DAY), CALENDAR, "calendar"
+    def days(self) -> DataFrame:
+        """Every day of the whole months from the first to the last order."""
+        day = F.to_date("o_orderdate")
+        bounds = self.table("orders").agg(
+            F.trunc(F.min(day), "month").alias("first"), F.last_day(F.max(day)).alias("last")
         )
+        return calendar_between(bounds)
+
+    def calendar(self) -> DataFrame:
+        return stamp_lineage(self.days(), CALENDAR, "calendar")
 
     def regions(self) -> DataFrame:
         region = self.table("region").select(
             F.col("r_regionkey").alias("region_key"),
             F.col("r_name").alias("region_code"),
             F.initcap("r_name").alias("region_name"),
-            F.substring("r_name", 1, 2).alias("country_code"),
+            F.col("r_name").alias("country_code"),
         )
         return stamp_lineage(region, REGIONS, "region")
 
@@ -165,7 +157,7 @@ class TradeFeeds:
 
     def fx_rates(self) -> DataFrame:
         """One made-up USD rate per calendar day, a function of the day of the year."""
-        days = date_dimension(self.spark, FIRST_DAY, LAST_DAY)
+        days = self.days()
         if self.variant == "broken":
             days = days.filter(~F.col("day_of_month").isin(*MISSING_RATE_DAYS))
         step = (F.dayofyear("calendar_date") * 13) % 80
@@ -183,7 +175,7 @@ class TradeFeeds:
 
     def targets(self) -> DataFrame:
         months = (
-            date_dimension(self.spark, FIRST_DAY, LAST_DAY)
+            self.days()
             .filter("day_of_month = 1")
             .select(F.col("year_month").alias("target_month"))
         )
@@ -211,13 +203,13 @@ class TradeFeeds:
 
     def orders(self) -> DataFrame:
         customers = lookup(
-            self.spread_table("customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
+            self.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
             self.references["nations"],
             "c_nationkey",
             "inner",
         ).withColumnRenamed("c_custkey", "o_custkey")
         headers = join_unique(
-            self.spread_table("orders").select(
+            self.table("orders").select(
                 "o_orderkey", "o_custkey", "o_orderdate"
             ),
             customers,
@@ -226,7 +218,7 @@ class TradeFeeds:
             self.hot("o_custkey"),
         ).withColumnRenamed("o_orderkey", "l_orderkey")
         lines = (
-            self.spread_table("lineitem")
+            self.table("lineitem")
             .filter(F.col("l_returnflag") != "R")
             .select(
                 "l_orderkey",
@@ -238,7 +230,7 @@ class TradeFeeds:
                 "l_shipdate",
             )
         )
-        parts = self.spread_table("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+        parts = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
         events = join_unique(lines, headers, "l_orderkey", "inner", self.hot("l_orderkey"))
         events = join_unique(events, parts, "l_partkey", "inner", self.hot("l_partkey"))
         feed = events.select(
@@ -260,7 +252,7 @@ class TradeFeeds:
 
     def returns(self) -> DataFrame:
         lines = (
-            self.spread_table("lineitem")
+            self.table("lineitem")
             .filter(F.col("l_returnflag") == "R")
             .select(
                 "l_orderkey",
@@ -281,7 +273,7 @@ class TradeFeeds:
                 .distinct()
             )
             lines = join_unique(lines, known, "l_orderkey", "semi", self.hot("l_orderkey"))
-        suppliers = self.spread_table("supplier").select(
+        suppliers = self.table("supplier").select(
             F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
         )
         rows = join_unique(lines, suppliers, "l_suppkey", "inner", self.hot("l_suppkey"))

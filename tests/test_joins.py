@@ -6,7 +6,14 @@ import pytest
 from conftest import multiset
 from pyspark.sql import functions as F
 
-from plumbline.operators.joins import Lookup, hot_keys, join_unique, lookup
+from plumbline.operators.joins import (
+    LOOKUP_BYTE_LIMIT,
+    Lookup,
+    busiest_keys,
+    hot_keys,
+    join_unique,
+    lookup,
+)
 
 
 @pytest.fixture(scope="module")
@@ -72,3 +79,16 @@ def test_only_a_fitting_lookup_is_broadcast(sides):
     small = lookup(left, Lookup(right, True), "k")
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in big._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_follows_the_rows_of_a_reducer(spark):
+    skewed = spark.range(100).selectExpr("if(id < 60, 7, id) as k")
+    assert hot_keys(skewed, "k")["k"] == [7]  # four shuffle partitions: above half of all rows
+    assert hot_keys(skewed.filter("k != 7"), "k")["k"] == []
+    assert busiest_keys(skewed, "k", 2) == [7, 60]
+
+
+def test_wide_lookups_do_not_fit(spark):
+    wide = spark.range(3).selectExpr("id", f"repeat('x', {LOOKUP_BYTE_LIMIT // 2}) as text")
+    assert not Lookup.checked({"wide": wide})["wide"].fits
+    assert Lookup.checked({"small": spark.range(3)})["small"].fits
