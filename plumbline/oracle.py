@@ -14,6 +14,7 @@ from plumbline.queries import (
     MANIFEST,
     MARKUP_PATTERNS,
     MONTH,
+    MONTH_BELOW,
     WATERMARK,
     run_id,
 )
@@ -531,6 +532,9 @@ def oracle_sql() -> dict[str, str]:
     # The split paths must give what the plain ones give.
     for name in ("order_versions", "returns_reconciled_b"):
         sql[name.removesuffix("_b") + "_split"] = sql[name]
+    # The same questions asked of a cell with categories below target.
+    for name in ("largest_negative", "category_variance"):
+        sql[f"{name}_below"] = sql[name].replace(f"'{MONTH}'", f"'{MONTH_BELOW}'")
     return sql
 
 

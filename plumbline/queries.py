@@ -35,6 +35,9 @@ from plumbline.sources.trade import (
 )
 
 QUESTION = Question(REGION, MONTH)
+# A cell with categories below their targets.
+MONTH_BELOW = "2001-08"
+QUESTION_BELOW = Question(REGION, MONTH_BELOW)
 REGION_NAME = REGION.title()
 WATERMARK = "1999-06-30 00:00:00"
 ALLOCATION_FACTOR = "1.015"
@@ -625,6 +628,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "category_variance": _served(lambda p: serving.category_variance(p, question)),
         "largest_negative": _served(lambda p: serving.largest_negative(p, question)),
         "largest_negative_by_cell": _served(largest_negative_by_cell),
+        "largest_negative_below": _served(lambda p: serving.largest_negative(p, QUESTION_BELOW)),
+        "category_variance_below": _served(lambda p: serving.category_variance(p, QUESTION_BELOW)),
         "source_lineage": _served(lambda p: serving.source_lineage(p, question)),
         "lineage_systems": _served(lambda p: serving.lineage_systems(p, question)),
         "governed_or_refusal": _served(lambda p: serving.ask_governed(p, question)),
