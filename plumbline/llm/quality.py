@@ -146,7 +146,7 @@ RULES = (
     Rule("repeated_windows", ("repeats",), f"100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"),
     Rule("symbols", ("symbols",), "10 * n_symbols > n_words"),
     Rule("word_length", ("word_chars",), "word_chars < 3 * n_words or word_chars > 12 * n_words"),
-    Rule("duplicate_lines", ("lines",), "10 * n_dup_lines > 3 * n_lines"),
+    Rule("duplicate_lines", ("lines",), "n_dup_lines > 2 and 10 * n_dup_lines > 3 * n_lines"),
     Rule("no_letters", ("letters",), "5 * n_no_letter_words > n_words"),
     Rule("shouting", ("capitals", "word_chars"), "2 * n_capitals > word_chars"),
 )
@@ -237,8 +237,10 @@ def quality(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = S
     dropped; an empty table stays empty; other columns are carried whatever their names.
     """
     judged = verdicts(docs, rank(docs, rules, sample_rows))
-    # Not a filter: the optimizer would push it below the cascade and multiply the rules' expressions.
-    return judged.select(F.explode(F.when(F.col("kept"), F.array("_row"))).alias("_row")).select("_row.*")
+    # The number holds the filter above the cascade: pushed below it, every rule's expression would
+    # be copied into the filter again and again, and into the scan.
+    numbered = judged.withColumn("_number", F.monotonically_increasing_id())
+    return numbered.filter("kept and _number >= 0").select("_row.*")
 
 
 def digest(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -278,5 +280,5 @@ f AS (SELECT w.rid, w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(arr
 b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR 10 * n_symbols > n_words OR word_chars NOT BETWEEN 3 * n_words AND 12 * n_words
-            OR 10 * n_dup_lines > 3 * n_lines OR 5 * no_letter > n_words OR 2 * capitals > word_chars) AS kept
+            OR (n_dup_lines > 2 AND 10 * n_dup_lines > 3 * n_lines) OR 5 * no_letter > n_words OR 2 * capitals > word_chars) AS kept
 FROM b"""
