@@ -36,21 +36,42 @@ _RUN = 1 << 16
 # ---------------------------------------------------------------- permutation
 
 
-def _hash(a: str, b: str) -> str:
-    return f"(((({a}) % {_PRIME}) * 48271 + (({b}) + 1) * 69621) % {_PRIME} * 16807 % {_PRIME})"
+def _mixed(a: str, b: str) -> str:
+    return f"(((cast({a} as bigint) % {_PRIME}) * 48271 + (({b}) + 1) * 69621) % {_PRIME} * 16807 % {_PRIME})"
 
 
-def _swap_or_not(x: str, r: str, seed: str, n: str) -> str:
-    """One round: ``x`` or its mirror image about a keyed point, by a keyed bit of the larger of the two."""
-    point = f"(({_hash(seed, r)} * {_PRIME} + {_hash(f'{seed} + 7919', f'{r} + 31')}) % ({n}))"
+def _point(seed: str, r: str, n: str) -> str:
+    """Twice the centre of round ``r``'s mirror."""
+    return f"(({_mixed(seed, r)} * {_PRIME} + {_mixed(f'({seed} + 7919)', f'{r} + 31')}) % ({n}))"
+
+
+def _key(seed: str, r: str) -> str:
+    return _mixed(_mixed(seed, r), f"{r} + 101")
+
+
+def _swap_or_not(x: str, point: str, key: str, n: str) -> str:
+    """One round: ``x`` or its mirror image, by a keyed bit of the larger of the two.
+
+    Squaring keeps neighbours from having related bits.
+    """
     mirror = f"(({point} + ({n}) - {x}) % ({n}))"
-    coin = f"(cast(floor({_hash(_hash(f'greatest({x}, {mirror})', f'{r} + 101'), seed)} / 4096) as bigint) % 2)"
+    larger = f"(greatest({x}, {mirror}) % {_PRIME})"
+    coin = f"(cast(floor(((({larger} * {larger}) % {_PRIME} + {key}) % {_PRIME} * 16807 % {_PRIME}) / 4096) as bigint) % 2)"
     return f"case when {coin} = 1 then {mirror} else {x} end"
 
 
-def permuted(x: str, seed: str, n: str) -> Column:
-    """The image of 0 <= ``x`` < ``n`` under the permutation of ``seed`` (SQL expressions)."""
-    return F.expr(f"aggregate(sequence(0, {_ROUNDS - 1}), {x}, (x, r) -> {_swap_or_not('x', 'r', seed, n)})")
+def rounds(seed: str, n: str) -> tuple[Column, Column]:
+    """The mirrors and keys of all rounds, two arrays to be made once for each permutation."""
+    steps = f"sequence(0L, {_ROUNDS - 1}L)"
+    return (
+        F.expr(f"transform({steps}, r -> {_point(seed, 'r', n)})"),
+        F.expr(f"transform({steps}, r -> {_key(seed, 'r')})"),
+    )
+
+
+def permuted(x: str, points: str, keys: str, n: str) -> Column:
+    """The image of 0 <= ``x`` < ``n`` under the permutation of ``rounds`` (SQL expressions of bigint)."""
+    return F.expr(f"aggregate(sequence(0, {_ROUNDS - 1}), {x}, (x, r) -> {_swap_or_not('x', f'{points}[r]', f'{keys}[r]', n)})")
 
 
 # ---------------------------------------------------------------- targets
@@ -102,13 +123,18 @@ def _with_plan(df: DataFrame, plan: DataFrame, columns: list[str]) -> DataFrame:
 def slots(plan: DataFrame) -> DataFrame:
     """(shard, slot, source_rank, epoch, block): the mix as a list of slots, in any order."""
     total = plan.agg(F.sum("slots").alias("n")).first()["n"] or 0
-    runs = plan.filter("slots > 0").select("rank", "blocks", "slots", "first_slot", F.explode(F.expr(f"sequence(0, (slots - 1) div {_RUN})")).alias("run"))
+    whole = f"cast({max(total, 1)} as bigint)"
+    for name, seed, n in (("place", f"{SEED}", whole), ("block", f"({SEED} + rank)", "greatest(blocks, 1L)")):
+        points, keys = rounds(seed, n)
+        plan = plan.withColumn(f"{name}_points", points).withColumn(f"{name}_keys", keys)
+    runs = plan.filter("slots > 0").withColumn("run", F.explode(F.expr(f"sequence(0, (slots - 1) div {_RUN})")))
     runs = runs.repartition("rank", "run")
     each = runs.withColumn("j", F.explode(F.expr(f"sequence(run * {_RUN}, least(slots, (run + 1) * {_RUN}) - 1)")))
-    place = permuted("first_slot + j", str(SEED), f"cast({max(total, 1)} as bigint)")
-    return each.select(
-        place.alias("place"), "rank", F.expr("j div blocks").alias("epoch"), permuted("j % blocks", f"{SEED} + rank", "blocks").alias("block")
-    ).select(F.expr(f"place div {SLOTS_PER_SHARD}").alias("shard"), F.expr(f"place % {SLOTS_PER_SHARD}").alias("slot"), F.col("rank").alias("source_rank"), "epoch", "block")
+    place = permuted("first_slot + j", "place_points", "place_keys", whole)
+    block = permuted("j % blocks", "block_points", "block_keys", "blocks")
+    return each.select(place.alias("place"), F.col("rank").alias("source_rank"), F.expr("j div blocks").alias("epoch"), block.alias("block")).select(
+        F.expr(f"place div {SLOTS_PER_SHARD}").alias("shard"), F.expr(f"place % {SLOTS_PER_SHARD}").alias("slot"), "source_rank", "epoch", "block"
+    )
 
 
 # ---------------------------------------------------------------- documents
@@ -139,7 +165,8 @@ def pieces(rows: DataFrame, plan: DataFrame) -> DataFrame:
         F.expr("greatest(0, block * block_words - start)").alias("low"),
         F.expr("least(size, (block + 1) * block_words - start)").alias("high"),
     )
-    return slots(plan).join(cut, ["source_rank", "block"]).select("shard", "slot", "source_rank", "epoch", "start", "low", "high")
+    # Slots are made from the few rows of the plan, so their size is far above what Spark would guess.
+    return slots(plan).hint("merge").join(cut, ["source_rank", "block"]).select("shard", "slot", "source_rank", "epoch", "start", "low", "high")
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -193,7 +220,8 @@ def mix(docs: DataFrame) -> DataFrame:
 
 def oracle() -> str:
     """The same mix without shards: a source's whole epochs, and the blocks of its last, unfinished one."""
-    perm = f"list_reduce(range({_ROUNDS}), lambda x, r: {_swap_or_not('x', 'r', f'{SEED} + rank', 'blocks')}, j)"
+    seed = f"({SEED} + rank)"
+    perm = f"list_reduce(range({_ROUNDS}), lambda x, r: {_swap_or_not('x', 'points[r + 1]', 'keys[r + 1]', 'blocks')}, j)"
     weights = "[" + ", ".join(map(str, WEIGHTS)) + "]"
     return f"""
 WITH RECURSIVE t AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text,
@@ -211,7 +239,8 @@ s4 AS (SELECT *, CAST(ceil(source_size / bw) AS BIGINT) AS blocks FROM s3),
 s5 AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target * blocks / source_size + 0.5) AS BIGINT) ELSE 0 END AS slots FROM s4),
 d AS (SELECT t.*, s5.rank, s5.source_size, s5.target, s5.bw, s5.blocks, s5.slots, CAST(coalesce(sum(size) OVER (PARTITION BY t.source ORDER BY doc_id
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM t JOIN s5 ON t.source IS NOT DISTINCT FROM s5.source),
-last AS (SELECT rank, blocks, unnest(range(slots % greatest(blocks, 1))) AS j FROM s5),
+keyed AS (SELECT *, [{_point(seed, 'r', 'greatest(blocks, 1)')} FOR r IN range({_ROUNDS})] AS points, [{_key(seed, 'r')} FOR r IN range({_ROUNDS})] AS keys FROM s5),
+last AS (SELECT rank, blocks, points, keys, unnest(range(slots % greatest(blocks, 1))) AS j FROM keyed),
 extra AS (SELECT rank, {perm} AS block FROM last),
 more AS (SELECT rid, sum(least(start + size, (block + 1) * bw) - greatest(start, block * bw)) AS n
          FROM d JOIN extra USING (rank) WHERE size > 0 AND block * bw < start + size AND (block + 1) * bw > start GROUP BY rid)

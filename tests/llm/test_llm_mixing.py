@@ -57,11 +57,17 @@ def test_digest(corpus):
         assert abs(taken[s] - want[s]) <= max(sizes[s] / 60, 2)
 
 
+def permutation(spark, n):
+    points, keys = mixing.rounds("77", f"{n}L")
+    ids = spark.range(n).withColumn("points", points).withColumn("keys", keys)
+    return [r.p for r in ids.select("id", mixing.permuted("id", "points", "keys", f"{n}L").alias("p")).orderBy("id").collect()]
+
+
 def test_permutation_is_one(spark):
     for n in (1, 2, 3, 64, 1000):
-        got = spark.range(n).select(mixing.permuted("id", "77", f"cast({n} as bigint)").alias("p")).collect()
-        assert sorted(r.p for r in got) == list(range(n))
-    shuffled = [r.p for r in spark.range(1000).select(mixing.permuted("id", "77", "1000L").alias("p")).orderBy("id").collect()]
+        got = permutation(spark, n)
+        assert sorted(got) == list(range(n))
+    shuffled = permutation(spark, 1000)
     steps = Counter((b - a) % 1000 for a, b in zip(shuffled, shuffled[1:], strict=False))
     assert max(steps.values()) < 20
 
