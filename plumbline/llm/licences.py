@@ -137,9 +137,12 @@ def canonical(text: Column) -> Column:
     out = F.regexp_replace(F.coalesce(text, F.lit("")), COPYRIGHT_LINE, "")
     out = F.concat(F.lit(" "), F.regexp_replace(F.lower(out), _NOT_WORD, "  "), F.lit(" "))
     # Every word has a blank of its own on either side, so spellings are replaced as whole words.
+    # Few texts hold any, and one search tells.
+    unified = out
     for old, new in SPELLINGS:
-        out = F.replace(out, F.lit(f" {old} "), F.lit(f" {new} "))
-    return F.trim(F.replace(out, F.lit("  "), F.lit(" ")))
+        unified = F.replace(unified, F.lit(f" {old} "), F.lit(f" {new} "))
+    some = out.rlike(f" (?:{'|'.join(old for old, _ in SPELLINGS)}) ")
+    return F.trim(F.replace(F.when(some, unified).otherwise(out), F.lit("  "), F.lit(" ")))
 
 
 def digest(text: Column) -> Column:
