@@ -22,8 +22,10 @@ WINDOW = 5
 COVER = 0.8
 #: Literal tokens that a window needs, so that placeholders alone never match.
 MIN_LITERALS = 3
-#: Occurrences may shift by inserted or left-out tokens within a band of this width.
+#: Occurrences may shift by inserted or left-out tokens within a band of this width, or of these multiples of
+#: the item's length. Bands overlap by half, so runs of up to twice the item's length may be inserted anywhere.
 BAND = 8
+SPANS = (1, 4)
 #: The benchmark's distinct window hashes are broadcast up to this size, else joined by shuffle.
 HASH_BYTES = 128 << 20
 
@@ -121,7 +123,11 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: flo
     places = places.select("key", "body", "n", "dpos", F.expr("slice(dt, dpos + 1, n)").alias("dt"), F.expr("slice(dv, dpos + 1, n)").alias("dv"))
     placed = places.withColumn("h", F.xxhash64("dt")).join(items, ["h", "n"]).filter("dt = t").join(enough, ["key", "item_id"], "left_semi")
     shift = F.col("dpos") - F.col("ipos")
-    bands = F.array(F.floor(shift / BAND) * 2, F.floor((shift + BAND // 2) / BAND) * 2 + 1)
+    widths = [F.lit(BAND), *[F.col("length") * k for k in SPANS]]
+    bands = F.array(*[
+        F.struct(F.lit(k).alias("scale"), (F.floor((shift + half * w / 2) / w) * 2 + half).alias("number"))
+        for k, w in enumerate(widths) for half in (0, 1)
+    ])
     matched = written(placed.select("body", "item_id", "length", "n", "dpos", "ipos", "dv", "v", "t", F.explode(bands).alias("band")), "matches")
 
     # 3. Slots: what each benchmark value stands for, by majority within the occurrence.

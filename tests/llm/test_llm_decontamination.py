@@ -79,3 +79,10 @@ def test_one_item_in_many_documents(spark):
     docs = [(k, f"{prose(k, 30)} {QUESTION} {prose(k + 500, 30)}", None) for k in range(150)]
     got = marked(spark, docs, [(1, QUESTION), (2, OTHER)])
     assert all(v == (True, "1,2") for v in got.values())
+
+
+def test_items_with_inserted_runs(spark):
+    item = prose(2, 40).split()
+    docs = [(k * 100 + at, " ".join([prose(77, at + 1), *item[:20], prose(88, k), *item[20:], prose(99, 30)]), None) for k in (5, 8, 25, 60) for at in range(8)]
+    got = marked(spark, docs, [(1, " ".join(item))])
+    assert all(v == (True, "1") for v in got.values()) and len(got) == 32
