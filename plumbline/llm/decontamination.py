@@ -4,7 +4,8 @@ Numbers, names and units become typed placeholders, so a question that was asked
 values keeps its template. Windows of template tokens are hash-joined to those of the benchmark.
 For documents with enough matching windows the values behind the placeholders are compared: within
 one occurrence a benchmark value must always stand for the same document value, and windows that
-break this do not count. A document is contaminated if the remaining windows cover enough of an item.
+break this do not count. Windows of the plain tokens are joined as well, so what was copied word for word
+counts whatever it consists of. A document is contaminated if the remaining windows cover enough of an item.
 
 Everything is built-in string and array functions, joins and aggregates. Windows are exploded and
 filtered against the benchmark's window hashes before anything is shuffled.
@@ -20,7 +21,7 @@ from plumbline.llm.common import joined_small, small, written
 WINDOW = 5
 #: Share of an item's tokens that consistent windows must cover.
 COVER = 0.8
-#: Literal tokens that a window needs, so that placeholders alone never match.
+#: Literal tokens that a window of template tokens needs, so that placeholders alone never match.
 MIN_LITERALS = 3
 #: Occurrences may shift by inserted or left-out tokens within a band of this width, or of these multiples of
 #: the item's length. Bands overlap by half, so runs of up to twice the item's length may be inserted anywhere.
@@ -62,30 +63,62 @@ def _tokens(text: Column) -> Column:
     return F.array_remove(F.split(text, " "), "")
 
 
-def _window_hashes(tokens: Column, n: int) -> Column:
-    starts = F.sequence(F.lit(1), F.size(tokens) - (n - 1))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(tokens, i, n)))
-    return F.when(F.size(tokens) >= n, hashes).otherwise(F.array().cast("array<bigint>"))
+def _literal(token: Column) -> Column:
+    return ~token.isin(NAME, NUMBER, UNIT)
+
+
+def _parsed(rows: DataFrame) -> DataFrame:
+    """Adds ``w`` (plain tokens) and ``t`` (template tokens), one for one, from the text with marks ``vt``."""
+    plain = F.regexp_replace("vt", f"[{NAME}{NUMBER}]", "")
+    return rows.withColumn("w", _tokens(plain)).withColumn("t", _tokens(template_text(F.col("vt"))))
+
+
+def _templates(rows: DataFrame) -> DataFrame:
+    """Adds ``l``: 1 for literal and 0 for placeholder tokens of ``t``."""
+    return rows.withColumn("l", F.transform("t", lambda x: _literal(x).cast("int")))
+
+
+def _literals(i: Column, n: int) -> Column:
+    """Literals among the ``n`` template tokens from the one-based position ``i``."""
+    out = F.get("l", i - 1)
+    for k in range(1, n):
+        out = out + F.get("l", i - 1 + k)
+    return out
+
+
+def _window_hashes(n: int) -> list[Column]:
+    """Arrays of hashes: plain windows, and template windows that have a placeholder and enough literals."""
+    starts = F.sequence(F.lit(1), F.size("w") - (n - 1))
+    none = F.array().cast("array<bigint>")
+    # Items of very few tokens are looked up as whole texts only.
+    fits = F.size("w") >= n if n >= MIN_LITERALS else F.size("w") == n
+    plain = F.when(fits, F.transform(starts, lambda i: F.xxhash64(F.slice("w", i, n)))).otherwise(none)
+    if n < MIN_LITERALS:
+        return [plain]
+    some = F.filter(starts, lambda i: _literals(i, n).between(MIN_LITERALS, n - 1))
+    return [plain, F.when(fits, F.transform(some, lambda i: F.xxhash64(F.slice("t", i, n)))).otherwise(none)]
+
+
+def _window_rows(rows: DataFrame, position: str) -> DataFrame:
+    """A row for each window of ``n`` tokens from ``position`` and kind: ``m`` (tokens to match) and ``w`` (plain tokens)."""
+    cut = rows.withColumn("t", F.expr(f"slice(t, {position} + 1, n)")).withColumn("w", F.expr(f"slice(w, {position} + 1, n)"))
+    literals = F.size(F.filter("t", _literal))
+    kinds = F.when((literals >= MIN_LITERALS) & (literals < F.col("n")), F.array("w", "t")).otherwise(F.array("w"))
+    return cut.withColumn("m", F.explode(kinds)).drop("t").withColumn("h", F.xxhash64("m"))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, n, length, ipos, h, t, v): windows of each item with enough literal tokens.
+    """(item_id, n, length, ipos, h, m, v): windows of each item, of plain tokens and of template tokens.
 
     ``length`` is the item's tokens, ``n`` the window's, smaller only for items shorter than a window.
-    ``t`` and ``v`` are the window's template tokens and values. Items with fewer literals than a
-    window needs have no windows and are never found.
+    ``m`` are the tokens to match and ``v`` the plain ones. Windows of template tokens have enough
+    literals. Items without any literal (numbers, names and units alone) have no windows and are never found.
     """
     texts = benchmark.select("item_id", values_text(F.col("text").cast("string")).alias("vt")).distinct()
-    parsed = texts.withColumn("v", _tokens(F.col("vt"))).withColumn("t", _tokens(template_text(F.col("vt"))))
-    parsed = parsed.filter(F.size("t") > 0).withColumn("n", F.least(F.lit(window), F.size("t"))).withColumn("length", F.size("t"))
+    parsed = _parsed(texts).filter(F.exists("t", _literal))
+    parsed = parsed.withColumn("n", F.least(F.lit(window), F.size("t"))).withColumn("length", F.size("t"))
     spread = parsed.withColumn("ipos", F.explode(F.sequence(F.lit(0), F.col("length") - F.col("n"))))
-    cut = spread.select(
-        "item_id", "n", "length", "ipos",
-        F.expr("slice(t, ipos + 1, n)").alias("t"),
-        F.expr("slice(v, ipos + 1, n)").alias("v"),
-    )
-    literals = F.size(F.filter("t", lambda x: ~x.isin(NAME, NUMBER, UNIT)))
-    return cut.filter(literals >= MIN_LITERALS).withColumn("h", F.xxhash64("t"))
+    return _window_rows(spread, "ipos").select("item_id", "n", "length", "ipos", "h", "m", F.col("w").alias("v"))
 
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: float = COVER) -> DataFrame:
@@ -100,11 +133,9 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: flo
     empty = F.array().cast("array<bigint>")
 
     # 1. Candidates: texts that share enough windows with an item.
-    def hashes(tokens: Column) -> Column:
-        return F.concat(empty, *[_window_hashes(tokens, n) for n in lengths])
-
-    prepared = texts.select(F.xxhash64("text").alias("key"), _tokens(template_text(values_text(F.col("text")))).alias("t"))
-    windows = prepared.select("key", F.explode(hashes(F.col("t"))).alias("h"))
+    prepared = _templates(_parsed(texts.select(F.xxhash64("text").alias("key"), values_text(F.col("text")).alias("vt"))))
+    hashes = F.concat(empty, *[h for n in lengths for h in _window_hashes(n)])
+    windows = prepared.select("key", F.explode(hashes).alias("h"))
     wanted = items.select("h").distinct()
     hit = joined_small(windows, wanted, "h", "left_semi", small(wanted, limit=HASH_BYTES)).distinct()
     own = items.select("h", "item_id", "ipos", "n", "length")
@@ -117,29 +148,29 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: flo
     bodies = bodies.select("key", F.md5("text").alias("body"), values_text(F.col("text")).alias("vt")).distinct()
 
     # 2. Alignment: equal windows, token for token, at (document position, item position).
-    bodies = bodies.withColumn("dv", _tokens(F.col("vt"))).withColumn("dt", _tokens(template_text(F.col("vt")))).drop("vt")
+    bodies = _parsed(bodies).drop("vt")
     places = bodies.withColumn("n", F.explode(F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>")))
-    places = places.filter("size(dt) >= n").withColumn("dpos", F.explode(F.expr("sequence(0, size(dt) - n)")))
-    places = places.select("key", "body", "n", "dpos", F.expr("slice(dt, dpos + 1, n)").alias("dt"), F.expr("slice(dv, dpos + 1, n)").alias("dv"))
-    placed = places.withColumn("h", F.xxhash64("dt")).join(items, ["h", "n"]).filter("dt = t").join(enough, ["key", "item_id"], "left_semi")
+    places = places.filter(f"size(t) = n or size(t) > n and n >= {MIN_LITERALS}").withColumn("dpos", F.explode(F.expr("sequence(0, size(t) - n)")))
+    places = _window_rows(places, "dpos").select("key", "body", "n", "dpos", "h", F.col("m").alias("dm"), F.col("w").alias("dv"))
+    placed = places.join(items, ["h", "n"]).filter("dm = m").join(enough, ["key", "item_id"], "left_semi")
     shift = F.col("dpos") - F.col("ipos")
     widths = [F.lit(BAND), *[F.col("length") * k for k in SPANS]]
     bands = F.array(*[
         F.struct(F.lit(k).alias("scale"), (F.floor((shift + half * w / 2) / w) * 2 + half).alias("number"))
         for k, w in enumerate(widths) for half in (0, 1)
     ])
-    matched = written(placed.select("body", "item_id", "length", "n", "dpos", "ipos", "dv", "v", "t", F.explode(bands).alias("band")), "matches")
+    matched = written(placed.select("body", "item_id", "length", "n", "dpos", "ipos", "dv", "v", "m", F.explode(bands).alias("band")), "matches")
 
     # 3. Slots: what each benchmark value stands for, by majority within the occurrence.
     occurrence = ["body", "item_id", "band"]
-    slots = F.filter(F.arrays_zip("t", "v", "dv"), lambda s: s["t"].isin(NAME, NUMBER, UNIT))
-    filled = matched.select(*occurrence, "dpos", "ipos", F.explode(slots).alias("s")).select(
-        *occurrence, "dpos", "ipos", F.concat("s.t", "s.v").alias("slot"), F.col("s.dv").alias("value")
+    slots = F.filter(F.arrays_zip("m", "v", "dv"), lambda s: ~_literal(s["m"]))
+    filled = matched.select(*occurrence, "dpos", "ipos", "m", F.explode(slots).alias("s")).select(
+        *occurrence, "dpos", "ipos", "m", F.concat("s.m", "s.v").alias("slot"), F.col("s.dv").alias("value")
     )
     votes = filled.groupBy(*occurrence, "slot", "value").agg(F.count(F.lit(1)).alias("n"))
     chosen = votes.groupBy(*occurrence, "slot").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("choice"))
-    broken = filled.join(chosen, [*occurrence, "slot"]).filter("value != choice").select(*occurrence, "dpos", "ipos").distinct()
-    sound = matched.join(broken, [*occurrence, "dpos", "ipos"], "left_anti")
+    broken = filled.join(chosen, [*occurrence, "slot"]).filter("value != choice").select(*occurrence, "dpos", "ipos", "m").distinct()
+    sound = matched.join(broken, [*occurrence, "dpos", "ipos", "m"], "left_anti")
 
     # 4. Coverage of the item by sound windows of one occurrence.
     covered = sound.select(*occurrence, "length", F.explode(F.expr("sequence(ipos, ipos + n - 1)")).alias("token"))

@@ -86,3 +86,16 @@ def test_items_with_inserted_runs(spark):
     docs = [(k * 100 + at, " ".join([prose(77, at + 1), *item[:20], prose(88, k), *item[20:], prose(99, 30)]), None) for k in (5, 8, 25, 60) for at in range(8)]
     got = marked(spark, docs, [(1, " ".join(item))])
     assert all(v == (True, "1") for v in got.values()) and len(got) == 32
+
+
+def test_items_of_numbers_and_names_copied_word_for_word(spark):
+    short, listed = "What is 12 + 35 + 48 + 19 + 77?", f"{prose(1, 9)} 3 8 1 9 4 7 2 6 5 12 17 11 {prose(2, 9)}"
+    items = [(1, short), (2, listed), (3, "Add 7")]
+    docs = [
+        (1, f"{prose(70, 20)} {short} {prose(71, 20)}", None),
+        (2, f"{prose(72, 20)} {listed} {prose(73, 20)}", None),
+        (3, "What is 13 + 36 + 49 + 20 + 78?", None),
+        (4, " add  7.", None),
+        (5, f"{prose(74, 20)} add 7 {prose(75, 20)}", None),
+    ]
+    assert marked(spark, docs, items) == {1: (True, "1"), 2: (True, "2"), 3: (False, ""), 4: (True, "3"), 5: (False, "")}
