@@ -5,7 +5,8 @@ values keeps its template. Windows of template tokens are hash-joined to those o
 For documents with enough matching windows the values behind the placeholders are compared: within
 one occurrence a benchmark value must always stand for the same document value, and windows that
 break this do not count. Windows of the plain tokens are joined as well, so what was copied word for word
-counts whatever it consists of. A document is contaminated if the remaining windows cover enough of an item.
+counts whatever it consists of, and windows in which every capitalised word is a name, as a name may start
+a sentence. A document is contaminated if the remaining windows cover enough of an item.
 
 Everything is built-in string and array functions, joins and aggregates. Windows are exploded and
 filtered against the benchmark's window hashes before anything is shuffled.
@@ -40,14 +41,15 @@ UNITS = (
 NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
 
 
-def values_text(text: Column) -> Column:
+def values_text(text: Column, everywhere: bool = False) -> Column:
     """Tokens in lower case separated by single blanks; names and numbers carry a mark in front.
 
     A name is a capitalised word after a lower-case letter, digit or comma and a blank, that is, not
-    at the start of a sentence. A number may hold points and commas between its digits.
+    at the start of a sentence, or ``everywhere`` any capitalised word. A number may hold points and commas between its digits.
     """
     out = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{NAME}{NUMBER}{UNIT}]+", " ")
-    out = F.regexp_replace(out, r"(?<=[\p{Ll}\p{N},;)][ \t\n])(?=\p{Lu}\p{Ll})", NAME)
+    before = r"(?<![\p{L}\p{M}\p{N}])" if everywhere else r"(?<=[\p{Ll}\p{N},;)][ \t\n])"
+    out = F.regexp_replace(out, before + r"(?=\p{Lu}\p{Ll})", NAME)
     out = F.regexp_replace(out, r"(?<![\p{L}\p{M}\p{N}.,])(?=[0-9])", NUMBER)
     out = F.regexp_replace(out, rf"[.,](?![0-9])|(?<![0-9])[.,]|[^\p{{L}}\p{{M}}\p{{N}}{NAME}{NUMBER}.,]+", " ")
     return F.trim(F.regexp_replace(F.lower(out), " {2,}", " "))
@@ -67,22 +69,30 @@ def _literal(token: Column) -> Column:
     return ~token.isin(NAME, NUMBER, UNIT)
 
 
+def _marked(rows: DataFrame, text: Column) -> DataFrame:
+    """Adds ``vt`` and ``vt2``: the text with marks, names in the middle of sentences or everywhere."""
+    return rows.withColumn("vt", values_text(text)).withColumn("vt2", values_text(text, everywhere=True))
+
+
 def _parsed(rows: DataFrame) -> DataFrame:
-    """Adds ``w`` (plain tokens) and ``t`` (template tokens), one for one, from the text with marks ``vt``."""
+    """Adds ``w`` (plain tokens), ``t`` and ``t2`` (template tokens), one for one, from the texts with marks, which go."""
     plain = F.regexp_replace("vt", f"[{NAME}{NUMBER}]", "")
-    return rows.withColumn("w", _tokens(plain)).withColumn("t", _tokens(template_text(F.col("vt"))))
+    out = rows.withColumn("w", _tokens(plain)).withColumn("t", _tokens(template_text(F.col("vt"))))
+    return out.withColumn("t2", _tokens(template_text(F.col("vt2")))).drop("vt", "vt2")
 
 
 def _templates(rows: DataFrame) -> DataFrame:
-    """Adds ``l``: 1 for literal and 0 for placeholder tokens of ``t``."""
-    return rows.withColumn("l", F.transform("t", lambda x: _literal(x).cast("int")))
+    """Adds ``l`` and ``l2``: 1 for literal and 0 for placeholder tokens of ``t`` and ``t2``."""
+    for k in ("", "2"):
+        rows = rows.withColumn(f"l{k}", F.transform(f"t{k}", lambda x: _literal(x).cast("int")))
+    return rows
 
 
-def _literals(i: Column, n: int) -> Column:
+def _literals(l: str, i: Column, n: int) -> Column:
     """Literals among the ``n`` template tokens from the one-based position ``i``."""
-    out = F.get("l", i - 1)
+    out = F.get(l, i - 1)
     for k in range(1, n):
-        out = out + F.get("l", i - 1 + k)
+        out = out + F.get(l, i - 1 + k)
     return out
 
 
@@ -95,16 +105,20 @@ def _window_hashes(n: int) -> list[Column]:
     plain = F.when(fits, F.transform(starts, lambda i: F.xxhash64(F.slice("w", i, n)))).otherwise(none)
     if n < MIN_LITERALS:
         return [plain]
-    some = F.filter(starts, lambda i: _literals(i, n).between(MIN_LITERALS, n - 1))
-    return [plain, F.when(fits, F.transform(some, lambda i: F.xxhash64(F.slice("t", i, n)))).otherwise(none)]
+    some = F.filter(starts, lambda i: _literals("l", i, n).between(MIN_LITERALS, n - 1))
+    # What is a name in the middle of a sentence is one everywhere, so equal counts are equal windows.
+    more = F.filter(starts, lambda i: _literals("l2", i, n).between(MIN_LITERALS, _literals("l", i, n) - 1))
+    hashed = [F.transform(some, lambda i: F.xxhash64(F.slice("t", i, n))), F.transform(more, lambda i: F.xxhash64(F.slice("t2", i, n)))]
+    return [plain, *[F.when(fits, h).otherwise(none) for h in hashed]]
 
 
 def _window_rows(rows: DataFrame, position: str) -> DataFrame:
     """A row for each window of ``n`` tokens from ``position`` and kind: ``m`` (tokens to match) and ``w`` (plain tokens)."""
-    cut = rows.withColumn("t", F.expr(f"slice(t, {position} + 1, n)")).withColumn("w", F.expr(f"slice(w, {position} + 1, n)"))
-    literals = F.size(F.filter("t", _literal))
-    kinds = F.when((literals >= MIN_LITERALS) & (literals < F.col("n")), F.array("w", "t")).otherwise(F.array("w"))
-    return cut.withColumn("m", F.explode(kinds)).drop("t").withColumn("h", F.xxhash64("m"))
+    cut = rows
+    for c in ("w", "t", "t2"):
+        cut = cut.withColumn(c, F.expr(f"slice({c}, {position} + 1, n)"))
+    kinds = F.array_distinct(F.array("w", *[F.when(F.size(F.filter(t, _literal)) >= MIN_LITERALS, F.col(t)).otherwise(F.col("w")) for t in ("t", "t2")]))
+    return cut.withColumn("m", F.explode(kinds)).drop("t", "t2").withColumn("h", F.xxhash64("m"))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -114,7 +128,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     ``m`` are the tokens to match and ``v`` the plain ones. Windows of template tokens have enough
     literals. Items without any literal (numbers, names and units alone) have no windows and are never found.
     """
-    texts = benchmark.select("item_id", values_text(F.col("text").cast("string")).alias("vt")).distinct()
+    texts = _marked(benchmark, F.col("text").cast("string")).select("item_id", "vt", "vt2").distinct()
     parsed = _parsed(texts).filter(F.exists("t", _literal))
     parsed = parsed.withColumn("n", F.least(F.lit(window), F.size("t"))).withColumn("length", F.size("t"))
     spread = parsed.withColumn("ipos", F.explode(F.sequence(F.lit(0), F.col("length") - F.col("n"))))
@@ -133,7 +147,7 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: flo
     empty = F.array().cast("array<bigint>")
 
     # 1. Candidates: texts that share enough windows with an item.
-    prepared = _templates(_parsed(texts.select(F.xxhash64("text").alias("key"), values_text(F.col("text")).alias("vt"))))
+    prepared = _templates(_parsed(_marked(texts, F.col("text")).select(F.xxhash64("text").alias("key"), "vt", "vt2")))
     hashes = F.concat(empty, *[h for n in lengths for h in _window_hashes(n)])
     windows = prepared.select("key", F.explode(hashes).alias("h"))
     wanted = items.select("h").distinct()
@@ -145,10 +159,10 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: flo
     few = enough.select("key").distinct()
     bodies = joined_small(texts.withColumn("key", F.xxhash64("text")), few, "key", "left_semi", small(few))
     # Copies are verified once.
-    bodies = bodies.select("key", F.md5("text").alias("body"), values_text(F.col("text")).alias("vt")).distinct()
+    bodies = _marked(bodies.select("key", "text").distinct(), F.col("text")).withColumn("body", F.md5("text")).drop("text")
 
     # 2. Alignment: equal windows, token for token, at (document position, item position).
-    bodies = _parsed(bodies).drop("vt")
+    bodies = _parsed(bodies)
     places = bodies.withColumn("n", F.explode(F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>")))
     places = places.filter(f"size(t) = n or size(t) > n and n >= {MIN_LITERALS}").withColumn("dpos", F.explode(F.expr("sequence(0, size(t) - n)")))
     places = _window_rows(places, "dpos").select("key", "body", "n", "dpos", "h", F.col("m").alias("dm"), F.col("w").alias("dv"))

@@ -99,3 +99,14 @@ def test_items_of_numbers_and_names_copied_word_for_word(spark):
         (5, f"{prose(74, 20)} add 7 {prose(75, 20)}", None),
     ]
     assert marked(spark, docs, items) == {1: (True, "1"), 2: (True, "2"), 3: (False, ""), 4: (True, "3"), 5: (False, "")}
+
+
+def test_names_at_the_start_of_sentences(spark):
+    item = "Tom has 5 apples. Tom eats 2. Tom buys 7 more. How many does Tom have?"
+    other = "Lea owned 30 red marbles. Lea lost 4 of them in the park. Lea then found 9 more of them. How many are left now?"
+    docs = [
+        (1, f"{prose(70, 20)}. {item.replace('Tom', 'Anna')} {prose(71, 20)}", None),
+        (2, other.replace("Lea", "Omar").replace("30", "12"), None),
+        (3, item.upper(), None),
+    ]
+    assert marked(spark, docs, [(1, item), (2, other)]) == {1: (True, "1"), 2: (True, "2"), 3: (True, "1")}
