@@ -37,18 +37,19 @@ SENSITIVE = {
     "apikey": 1.0, "accesskey": 1.0, "privatekey": 1.0, "authtoken": 1.0, "accesstoken": 1.0, "token": 0.9, "credential": 0.9,
     "credentials": 0.9, "bearer": 0.8, "signingkey": 1.0, "encryptionkey": 1.0, "clientsecret": 1.0, "auth": 0.5, "salt": 0.4,
 }
-#: Texts without any of these have no sensitive name.
-_HINTS = ("pass", "pwd", "secret", "apikey", "api_key", "api-key", "accesskey", "access_key", "access-key", "privatekey", "private_key",
-          "private-key", "token", "credential", "bearer", "signing", "encryption", "auth", "salt")
+#: Texts without any of these, separators within names left out, have no sensitive name.
+_HINTS = ("pass", "pwd", "secret", "apikey", "accesskey", "privatekey", "token", "credential", "bearer", "signing", "encryption", "auth", "salt")
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|-+|<.*>|\$\{.*\}|\{\{.*\}\}|%.*%|change_?me.*|your[_-].*|example.*|test|dummy|none|null|true|false|undefined|todo|redacted)$")
 LEAST_LITERAL = 8
 THRESHOLD = 1.0
 
 _STRING = r""""(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`"""
 _NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*"
-#: name, separator, then strings (adjacent or added) or one bare word.
+#: A type between a name and ``=``; before a bare value it needs a blank behind it, as ``a: b=c`` may be one value.
+_TYPE = rf""":(?!:)[\x20\t]*(?:&(?:'[a-z]+[\x20\t]+)?)?[A-Za-z_][\w.\[\]|<>,?\x20\t]{{0,60}}?(?:[\x20\t]+(?==(?!=))|(?==[\x20\t]*["'`]))"""
+#: name, type if any, separator, then strings (adjacent or added) or one bare word.
 _PAIR = re.compile(
-    rf"""(?<![A-Za-z0-9_.\-])({_NAME})["'`]?\]?[\x20\t]*(?::=|=>|=(?!=)|:(?!:))[\x20\t]*(?:((?:{_STRING})(?:[\x20\t]*\+?[\x20\t]*(?:{_STRING}))*)|([^\s"'`,;<>()\[\]{{}}]+))"""
+    rf"""(?<![A-Za-z0-9_.\-])({_NAME})["'`]?\]?[\x20\t]*(?:{_TYPE})?(?::=|=>|=(?!=)|:(?!:))[\x20\t]*(?:((?:{_STRING})(?:[\x20\t]*\+?[\x20\t]*(?:{_STRING}))*)|([^\s"'`,;<>()\[\]{{}}]+))"""
 )
 _ELEMENT = re.compile(rf"<({_NAME})>([^<>\n]+)</\1>")
 _PIECE = re.compile(_STRING)
@@ -94,9 +95,12 @@ def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int]] | str]]:
             continue
         head = text[text.rfind("\n", 0, m.start()) + 1 : m.start()] if m.start() else ""
         if not _LINE_HEAD.match(head):
-            continue  # a bare value in the middle of a line is prose
-        if _BARE_NAME.match(m[3]):
-            yield m[1], m[3]
+            # A bare value in the middle of a line is prose, but among arguments or entries a name may be meant.
+            if head.rstrip(" \t\"'`")[-1:] in "([{," and (given := _BARE_NAME.match(m[3].rpartition("=")[2])):
+                yield m[1], given[0]
+            continue
+        if (given := _BARE_NAME.match(m[3])):
+            yield m[1], given[0]
         tail = text[m.end(3) : m.end(3) + 200].split("\n", 1)[0]
         if not tail.strip(" \t\r,;"):
             yield m[1], [(m.start(3), m.end(3))]
@@ -134,7 +138,8 @@ def literal_spans(text: str) -> set[tuple[int, int]]:
 def scan_text(text: str) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, int]]]:
     """Base spans, and base spans with those of the method, both by start and kind."""
     base = base_spans(text)
-    if not any(h in text.lower() for h in _HINTS):
+    bare = text.lower().replace("_", "").replace(".", "").replace("-", "")
+    if not any(h in bare for h in _HINTS):
         return base, base
     inside = [(s, e) for s, _, e in base]
     more = [(s, "literal", e) for s, e in literal_spans(text) if not any(a <= s and e <= b for a, b in inside)]

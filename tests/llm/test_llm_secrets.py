@@ -85,3 +85,17 @@ def test_cyclic_constants_end():
 def test_prose_has_no_span_and_long_runs_are_fast(spark):
     text = prose(1, 2000) + " token " + "a.b_" * 50_000 + " password" + " " * 50_000
     assert secrets.scan_text(text) == ([], [])
+
+
+def test_dotted_names_types_and_arguments():
+    from plumbline.llm.secrets import scan_text
+
+    secret = "h7Gk2pQz9LmX"
+    for text in (
+        f"stripe.api.key={secret}", f"my.access.key = {secret}", f'password: str = "{secret}"', f'const apiKey: string = "{secret}";',
+        f'let password: &str = "{secret}";', f'password: Optional[str]="{secret}"', f'DB_PW = "{secret}"\nconnect(user, password=DB_PW)',
+        f'DB_PW = "{secret}"\nopts = {{"password": DB_PW}}', f'DB_PW = "{secret}"\ndef f(password: str=DB_PW): pass',
+    ):
+        at = text.index(secret)
+        assert [s for s in scan_text(text)[1] if s[0] <= at and s[2] >= at + len(secret)], text
+    assert scan_text('password: foo=bar1')[1] == [] and scan_text(f'name: str = "{secret}" # no password')[1] == []
