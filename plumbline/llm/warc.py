@@ -6,7 +6,8 @@ its own. Equal payloads are found by digest before; one record is the response,
 Reading: a record is accepted only after its checks (gzip sums, version line, headers, length, block
 and payload digest). After a failed check the reader searches for the next gzip member or version
 line, accepts it only if a whole valid record starts there, and logs the bytes between as a
-quarantined gap. Files are read through a window of bounded size; one record is in memory at a time.
+quarantined gap. Of a member with several records the valid ones are accepted, and the member is logged as
+a gap as well. Files are read through a window; one member or plain record is in memory at a time, of any size.
 """
 
 from __future__ import annotations
@@ -33,13 +34,11 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2020-01-01T00:00:00Z"
 GZIP = b"\x1f\x8b\x08"
 _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r?\n")
+_HEADER = re.compile(rb"[!#$%&'*+.^_`|~0-9A-Za-z-]+:")
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 #: Bytes read at once, and fed to the decompressor at once.
 WINDOW = 1 << 20
 STEP = 1 << 14
-#: Headers, and records as a whole, larger than this fail their check.
-MOST_HEADER = 1 << 16
-MOST_RECORD = 1 << 30
 
 
 # ---------------------------------------------------------------- records
@@ -121,7 +120,7 @@ def _checked(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     version = _VERSION_LINE.match(data, at)
     if not version:
         raise Damaged("no version line")
-    end = data.find(b"\r\n\r\n", version.end() - 2, at + MOST_HEADER)
+    end = data.find(b"\r\n\r\n", version.end() - 2)
     if end < 0:
         raise Damaged("headers do not end")
     headers: dict[str, str] = {}
@@ -156,7 +155,7 @@ def payload_of(block: bytes) -> bytes:
 
 def _unpacked(window: Window, at: int) -> tuple[bytes, int]:
     """The content of the gzip member at ``at``, its sums checked, and where it ends."""
-    packer, out, total, pos = zlib.decompressobj(31), [], 0, at
+    packer, out, pos = zlib.decompressobj(31), [], at
     while not packer.eof:
         piece = window.get(pos, STEP)
         if not len(piece):
@@ -165,29 +164,41 @@ def _unpacked(window: Window, at: int) -> tuple[bytes, int]:
             data = packer.decompress(piece)
         except zlib.error as error:
             raise Damaged("gzip: " + str(error).rpartition(": ")[2]) from None
-        total += len(data)
-        if total > MOST_RECORD:
-            raise Damaged("member too large")
         out.append(data)
         pos += len(piece)
     return b"".join(out), pos - len(packer.unused_data)
 
 
+def _plain_head(window: Window, at: int) -> bytes:
+    """Version line and headers at ``at`` with the blank line; read on only as long as lines look like headers."""
+    n = STEP
+    while True:
+        head = bytes(window.get(at, n))
+        end = head.find(b"\r\n\r\n")
+        if end >= 0:
+            return head[: end + 4]
+        lines = head.split(b"\r\n")[1:]
+        # The last line may be cut off before its colon.
+        if len(head) < n or not lines or not all(_HEADER.match(x) for x in lines[:-1]) or not (_HEADER.match(lines[-1]) or len(lines[-1]) < 256):
+            raise Damaged("headers do not end")
+        n *= 4
+
+
 def _plain(window: Window, at: int) -> tuple[bytes, int]:
     """The bytes of the uncompressed record at ``at``, as long as its headers say."""
-    head = bytes(window.get(at, MOST_HEADER))
-    length = re.search(rb"(?i)\r\ncontent-length:[ \t]*([0-9]{1,10})[ \t]*\r\n", head)
-    end = head.find(b"\r\n\r\n")
-    if not length or end < 0 or length.start() > end:
+    head = _plain_head(window, at)
+    length = re.search(rb"(?i)\r\ncontent-length:[ \t]*([0-9]{1,18})[ \t]*\r\n", head)
+    end = len(head) - 4
+    if not length:
         raise Damaged("headers do not end")
     size = end + 4 + int(length[1]) + 4
-    if size > MOST_RECORD or at + size > window.size:
+    if at + size > window.size:
         raise Damaged("record is cut off")
     return bytes(window.get(at, size)), at + size
 
 
 def _at(window: Window, at: int) -> tuple[list[Found], int]:
-    """The records of the member or plain record at ``at``, and where it ends."""
+    """The valid records of the member or plain record at ``at``, a gap if it has others as well, and where it ends."""
     start = bytes(window.get(at, 16))
     if start.startswith(GZIP):
         data, end = _unpacked(window, at)
@@ -195,11 +206,19 @@ def _at(window: Window, at: int) -> tuple[list[Found], int]:
         data, end = _plain(window, at)
     else:
         raise Damaged("no member or version line")
-    found, pos = [], 0
+    found, pos, damage = [], 0, None
     while pos < len(data):
-        headers, block, pos = _checked(data, pos)
+        try:
+            headers, block, pos = _checked(data, pos)
+        except Damaged as failed:
+            damage = damage or failed
+            following = _VERSION_LINE.search(data, pos + 1)
+            pos = following.start() if following else len(data)
+            continue
         found.append(Found(at, end - at, "", headers, block))
-    return found, end
+    if damage and not found:
+        raise damage
+    return [*found, *([Found(at, end - at, str(damage))] if damage else [])], end
 
 
 def _next_start(window: Window, at: int) -> int:

@@ -114,3 +114,19 @@ def test_damaged_archives_in_a_job(spark, tmp_path):
     assert Counter(r.file[-6:] for r in found if r.gap is None) == Counter({"arc.gz": 4, "b.warc": 2})
     assert [(r.offset, r.length) for r in found if r.gap] == [(len(parts[0]), len(parts[1]))]
     assert io.BytesIO(bytes(hurt)).read(2) == b"\x1f\x8b"
+
+
+def test_headers_of_any_size(spark):
+    rows = [(1, "http://long/?" + "q" * 200_000, BIG), (2, "data:text/html," + " é" * 50_000, "short"), (3, "http://c/", None)]
+    assert Counter(tuple(r) for r in warc.round_trip(pages(spark, rows)).drop("file", "offset").collect()) == want(rows)
+    plain = b"".join(warc.page_record(i, u, b"x", hashlib.sha1(b"x").hexdigest(), None) for i, u, _ in rows)
+    good, gaps = salvaged(plain)
+    assert len(good) == 3 and not gaps
+
+
+def test_good_records_of_a_member_outlive_a_bad_one():
+    parts = [warc.page_record(i, "http://m/", b"body %d" % i, hashlib.sha1(b"body %d" % i).hexdigest(), None) for i in range(4)]
+    parts[1] = parts[1].replace(b"body 1", b"BODY 1")
+    found = list(warc.salvage(pa.BufferReader(warc.member(b"".join(parts)))))
+    assert [f.headers["x-page-id"] for f in found if not f.reason] == ["0", "2", "3"]
+    assert [f.reason for f in found if f.reason] == ["wrong block digest"]
