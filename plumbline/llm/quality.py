@@ -166,7 +166,15 @@ def measure(docs: DataFrame, features: Sequence[str] = tuple(FEATURES)) -> DataF
         add, columns = FEATURES[name]
         df = add(df)
         names += columns
-    return df.select("_row", *names)
+    return df.select("_row", *[_held(c) for c in names])
+
+
+def _held(name: str) -> Column:
+    """The column, tied to the running row number: filters and joins of callers stay above what computes it.
+
+    Pushed below, they would copy the nested expressions of every feature and rule again and again.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, F.col(name)).alias(name)
 
 
 # ---------------------------------------------------------------- cascade
@@ -227,7 +235,7 @@ def verdicts(docs: DataFrame, rules: Sequence[Rule], also: Sequence[str] = ()) -
                 have.append(name)
         df = df.withColumn("kept", F.col("kept") & ~F.coalesce(F.expr(rule.rejects), F.lit(False)))
     columns = [c for name in also for c in FEATURES[name][1]]
-    return df.select("_row", "kept", "n_words", *columns)
+    return df.select("_row", *[_held(c) for c in ("kept", "n_words", *columns)])
 
 
 def quality(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -236,11 +244,7 @@ def quality(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = S
     A text without words is rejected as short. Repeated rows are judged alike and all kept or all
     dropped; an empty table stays empty; other columns are carried whatever their names.
     """
-    judged = verdicts(docs, rank(docs, rules, sample_rows))
-    # The number holds the filter above the cascade: pushed below it, every rule's expression would
-    # be copied into the filter again and again, and into the scan.
-    numbered = judged.withColumn("_number", F.monotonically_increasing_id())
-    return numbered.filter("kept and _number >= 0").select("_row.*")
+    return verdicts(docs, rank(docs, rules, sample_rows)).filter("kept").select("_row.*")
 
 
 def digest(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -5,8 +5,8 @@ Fingerprints are 64-bit. Two documents are linked when their fingerprints differ
 
 Equal fingerprints are merged first. The distinct ones are cut into ``RADIUS + 2`` bit blocks: two
 fingerprints within the radius agree in at least two whole blocks, so every pair of blocks makes a
-key under which all true neighbours meet. Rows of one key value form a tile, or, if there are more
-than ``TILE`` of them, several tiles by population count and hash. Tile pairs whose population
+key under which all true neighbours meet. These complete keys are the first step, tiles the second:
+rows of one key value form a tile, or, if there are more than ``TILE`` of them, several tiles by population count and hash. Tile pairs whose population
 counts differ by more than the radius cannot hold neighbours and are never formed. A tile pair is
 compared exactly with numpy exclusive-or and bit counts, and yields a spanning forest of its links,
 never all pairs. Any radius, key value or group size takes the same path.
@@ -14,7 +14,7 @@ never all pairs. Any radius, key value or group size takes the same path.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -229,9 +229,9 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     )
 
 
-def _labelled(docs: DataFrame, radius: int, shingle: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fp) of all rows, and (fp, root, component_id) of all distinct fingerprints."""
-    marked = written(fingerprints(docs, ["doc_id"], shingle).withColumnRenamed("c0", "doc_id"), "fingerprints")
+def _labelled(docs: DataFrame, radius: int, shingle: int, also: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp and the columns ``also``) of all rows, and (fp, root, component_id) of all distinct fingerprints."""
+    marked = written(fingerprints(docs, ["doc_id", *also], shingle).toDF("doc_id", *also, "fp"), "fingerprints")
     distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct")
     groups = components(links(distinct, radius)).withColumnRenamed("node", "fp")
     rooted = distinct.join(groups, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -253,22 +253,22 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
 
 
 def keep_first(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """Of each group of near-duplicates one row, with all columns of ``docs``: that with the smallest doc_id.
+    """Of each group of near-duplicates exactly one row, with all columns of ``docs``: that with the smallest doc_id.
 
-    Of several rows with that doc_id, the one with the smallest text stays. A group that has only
-    NULL ids keeps one row; NULL ids lose against others. An empty table gives no rows.
+    NULL ids lose against others; of several rows with one doc_id the text with the smallest md5 stays, so
+    different texts under one id each count for their own group. NULL and empty texts are one text.
+    An empty table gives no rows; other columns are carried whatever their names.
     """
-    marked, labels = _labelled(docs, radius, shingle)
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    named = labels.filter("component_id is not null").select(F.col("component_id").alias("_kept_id")).distinct()
-    kept = docs.join(named, docs["doc_id"] == named["_kept_id"], "left_semi")
-    kept = kept.groupBy("doc_id").agg(F.min_by(whole, F.struct("text")).alias("_row")).select("_row.*")
-    roots = labels.filter("component_id is null").select(F.col("root").alias("_root")).distinct()
-    nameless = fingerprints(docs.filter(F.col("doc_id").isNull()), docs.columns, shingle)
-    nameless = nameless.join(roots, F.col("fp") == F.col("_root"), "left_semi")
-    parts = [F.col(f"c{i}") for i in range(len(docs.columns))]
-    nameless = nameless.groupBy("fp").agg(F.min_by(F.struct(*parts), F.struct(parts[docs.columns.index("text")])).alias("_row"))
-    return kept.unionByName(nameless.select("_row.*").toDF(*docs.columns))
+    id_text, text = F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    key = F.concat_ws(":", id_text, F.md5(text))
+    # Narrow rows choose; the whole rows move once, to the key they are kept by.
+    given = docs.select("doc_id", text.alias("text"), key.alias("key"))
+    marked, labels = _labelled(given, radius, shingle, ["key"])
+    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
+    chosen = marked.join(labels, "fp").groupBy("root").agg(F.min(rank).alias("least")).select(F.col("least.key").alias("_key"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key.alias("_key"))
+    kept = rows.join(chosen, "_key", "left_semi").groupBy("_key").agg(F.first("_row").alias("_row"))
+    return kept.select("_row.*")
 
 
 shipped(__name__)

@@ -63,3 +63,14 @@ def test_each_rule_rejects_its_kind(spark):
     }
     docs = documents(spark, [(0, good, None), *[(i, t, None) for i, t in bad.items()]])
     assert [r.doc_id for r in quality.quality(docs).collect()] == [0]
+
+
+def test_results_can_be_filtered_and_joined(spark):
+    rows = [(i, prose(i, 40 + i) + (" one two three" * 30 if i % 3 == 0 else ""), None) for i in range(60)]
+    found = quality.digest(documents(spark, rows))
+    all_rows = {r.doc_id: r for r in found.collect()}
+    for condition, want in [("kept", lambda r: r.kept), ("not kept", lambda r: not r.kept), ("base_failed", lambda r: r.base_failed), ("n_repeat_words > 10", lambda r: r.n_repeat_words > 10)]:
+        assert {r.doc_id for r in found.filter(condition).collect()} == {i for i, r in all_rows.items() if want(r)}
+    other = found.filter("kept").withColumnRenamed("doc_id", "other").select("other")
+    joined = found.join(other, found["doc_id"] == other["other"]).filter("not base_failed")
+    assert joined.count() == sum(r.kept for r in all_rows.values())

@@ -110,3 +110,9 @@ def test_components_of_chains_stars_and_noise(spark):
     got = {r.node: r.root for r in components(edges).collect()}
     assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 160)}}
     assert components(edges.filter(F.lit(False))).count() == 0
+
+
+def test_keep_first_with_one_id_for_different_texts(spark):
+    a, b = prose(1, 80), prose(2, 80)
+    kept = simhash.keep_first(documents(spark, [(1, a, None), (1, b, None), (0, b, None), (1, a, None), (None, a, None)]))
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(1, a), (0, b)])
