@@ -9,33 +9,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import decontamination, jaccard, mixing, quality, token_files
+from plumbline.llm import decontamination, mixing, quality, simhash, token_files
 from plumbline.llm.common import shared_folder, table
 from plumbline.llm.queries import tokenizer_file
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: documents that a rule rejects go."""
+    """Operator 6: documents that a rule rejects go, NULL and empty texts among them; repeated rows are judged alike."""
     return quality.quality(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: five-word shingles, Jaccard similarity 0.8 or more."""
-    return jaccard.keep_first(docs)
+    """Operator 7: of each group of linked fingerprints (its own shingle length and radius) one document stays.
+
+    Texts without words are one group; NULL ids lose against others; an empty table stays empty.
+    """
+    return simhash.keep_first(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: documents that hold a benchmark item go."""
+    """Operator 5: documents that hold a benchmark item go; NULL and empty texts and an empty benchmark drop nothing."""
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: a row for each document and epoch that the mix takes, with the words it takes."""
+    """Operator 8: a row for each document and epoch that the mix takes, with the words it takes.
+
+    Texts without words are never taken; a NULL source is a source; an empty table stays empty.
+    """
     return mixing.mix(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: token files; a row for each document of them (doc_id, start, n_tokens, ids_crc32)."""
+    """Operator 4: token files; a row for each document of them (doc_id, start, n_tokens, ids_crc32).
+
+    NULL and empty texts hold the end id alone; rows with a NULL doc_id come first; no rows, no files.
+    """
     return token_files.tokenize(docs, tokenizer_file())
 
 
