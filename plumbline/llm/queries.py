@@ -11,6 +11,7 @@ from plumbline.llm import (
     decontamination,
     licences,
     mixing,
+    pieces,
     quality,
     secrets,
     sharding,
@@ -71,6 +72,10 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"), licences.known_digests(spark))
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
