@@ -18,6 +18,7 @@ from plumbline.llm import (
     simhash,
     token_files,
     urls,
+    vector_codes,
     warc,
 )
 from plumbline.llm.common import table
@@ -72,6 +73,10 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"), licences.known_digests(spark))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digest(table(spark, sf_dir, "embeddings"))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -88,4 +93,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_quality_rules": quality.oracle(),
         "op8_mixing": mixing.oracle(),
         "op10_licence_scan": licences.oracle(),
+        "op11_vector_codes": vector_codes.oracle(),
     }
