@@ -16,6 +16,7 @@ from plumbline.llm import (
     secrets,
     sharding,
     simhash,
+    spelling,
     token_files,
     urls,
     vector_codes,
@@ -77,6 +78,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.digest(table(spark, sf_dir, "embeddings"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -94,4 +99,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_mixing": mixing.oracle(),
         "op10_licence_scan": licences.oracle(),
         "op11_vector_codes": vector_codes.oracle(),
+        "op12_spelling_variants": spelling.oracle(),
     }
