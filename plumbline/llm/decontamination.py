@@ -8,13 +8,14 @@ break this do not count. Windows of the plain tokens are joined as well, so what
 counts whatever it consists of, and windows in which every capitalised word is a name, as a name may start
 a sentence. A document is contaminated if the remaining windows cover enough of an item.
 
-Everything is built-in string and array functions, joins and aggregates. Windows are exploded and
-filtered against the benchmark's window hashes before anything is shuffled.
+Everything is built-in string and array functions, joins and aggregates. A text is marked once and every
+token hashed once; windows are combined hashes, exploded and filtered against the benchmark's windows
+before anything is shuffled. Only matches, narrow rows, are grouped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import joined_small, small, written
@@ -24,10 +25,12 @@ WINDOW = 5
 COVER = 0.8
 #: Literal tokens that a window of template tokens needs, so that placeholders alone never match.
 MIN_LITERALS = 3
-#: Occurrences may shift by inserted or left-out tokens within a band of this width, or of these multiples of
-#: the item's length. Bands overlap by half, so runs of up to twice the item's length may be inserted anywhere.
+#: Items of fewer tokens are found as whole lines or sentences instead of anywhere.
+MIN_TOKENS = 3
+#: Matches of one occurrence lie in a band of shifts of this width, or follow each other within this many lengths
+#: of the item. Plain windows count together wherever they stand in a text.
 BAND = 8
-SPANS = (1, 4)
+GAP_LENGTHS = 2
 #: The benchmark's distinct window hashes are broadcast up to this size, else joined by shuffle.
 HASH_BYTES = 128 << 20
 
@@ -38,27 +41,39 @@ UNITS = (
     "weeks week months month years year kmh mph hz khz mhz ghz w kw mw kwh j kj cal kcal v a k c f percent degrees degree "
     "dollars dollar usd euros euro eur cents pounds kb mb gb tb bytes bits"
 ).split()
-NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
+#: Signs of names within sentences, numbers, units, and capitalised words that may be names at the start of a sentence.
+NAME, NUMBER, UNIT, START = "\u0001", "\u0002", "\u0003", "\u0004"
+_SIGNS = NAME + NUMBER + UNIT + START
+#: Kinds of windows.
+_PLAIN, _TEMPLATE = 0, 1
 
 
-def values_text(text: Column, everywhere: bool = False) -> Column:
-    """Tokens in lower case separated by single blanks; names and numbers carry a mark in front.
+def values_text(text: Column) -> Column:
+    """Tokens in lower case separated by single blanks; names, numbers and capitalised words carry a sign in front.
 
     A name is a capitalised word after a lower-case letter, digit or comma and a blank, that is, not
-    at the start of a sentence, or ``everywhere`` any capitalised word. A number may hold points and commas between its digits.
+    at the start of a sentence. A number may hold points and commas between its digits.
     """
-    out = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{NAME}{NUMBER}{UNIT}]+", " ")
-    before = r"(?<![\p{L}\p{M}\p{N}])" if everywhere else r"(?<=[\p{Ll}\p{N},;)][ \t\n])"
-    out = F.regexp_replace(out, before + r"(?=\p{Lu}\p{Ll})", NAME)
+    out = F.translate(F.coalesce(text, F.lit("")), _SIGNS, " " * len(_SIGNS))
+    out = F.regexp_replace(out, r"(?<=[\p{Ll}\p{N},;)][ \t\n])(?=\p{Lu}\p{Ll})", NAME)
+    out = F.regexp_replace(out, rf"(?<![\p{{L}}\p{{M}}\p{{N}}{NAME}])(?=\p{{Lu}}\p{{Ll}})", START)
     out = F.regexp_replace(out, r"(?<![\p{L}\p{M}\p{N}.,])(?=[0-9])", NUMBER)
-    out = F.regexp_replace(out, rf"[.,](?![0-9])|(?<![0-9])[.,]|[^\p{{L}}\p{{M}}\p{{N}}{NAME}{NUMBER}.,]+", " ")
+    out = F.regexp_replace(out, rf"[.,](?![0-9])|(?<![0-9])[.,]|[^\p{{L}}\p{{M}}\p{{N}}{NAME}{NUMBER}{START}.,]+", " ")
     return F.trim(F.regexp_replace(F.lower(out), " {2,}", " "))
 
 
-def template_text(values: Column) -> Column:
-    """The same tokens, one for one, with placeholders for names, numbers and units after numbers."""
+def plain_text(values: Column) -> Column:
+    return F.translate(values, _SIGNS, "")
+
+
+def template_texts(values: Column) -> tuple[Column, Column]:
+    """The same tokens, one for one, with placeholders for names, numbers and units after numbers.
+
+    In the second form every capitalised word is a name.
+    """
     out = F.regexp_replace(values, f"({NUMBER}[^ ]+) (?:{'|'.join(UNITS)})(?= |$)", f"$1 {UNIT}")
-    return F.regexp_replace(out, f"([{NAME}{NUMBER}])[^ ]+", "$1")
+    out = F.regexp_replace(out, f"([{NAME}{NUMBER}])[^ ]+", "$1")
+    return F.translate(out, START, ""), F.regexp_replace(out, f"{START}[^ ]+", NAME)
 
 
 def _tokens(text: Column) -> Column:
@@ -69,70 +84,88 @@ def _literal(token: Column) -> Column:
     return ~token.isin(NAME, NUMBER, UNIT)
 
 
-def _marked(rows: DataFrame, text: Column) -> DataFrame:
-    """Adds ``vt`` and ``vt2``: the text with marks, names in the middle of sentences or everywhere."""
-    return rows.withColumn("vt", values_text(text)).withColumn("vt2", values_text(text, everywhere=True))
+def _parsed(rows: DataFrame, text: str) -> DataFrame:
+    """Adds ``w`` (plain tokens), ``t`` and ``t2`` (template tokens), one for one. Forms that say no more than others are empty."""
+    rows = rows.withColumn("_vt", values_text(F.col(text)))
+    first, second = template_texts(F.col("_vt"))
+    rows = rows.withColumn("_w", plain_text(F.col("_vt"))).withColumn("_t", first).withColumn("_t2", second)
+    none = F.array().cast("array<string>")
+    return (
+        rows.withColumn("w", _tokens(F.col("_w")))
+        .withColumn("t", F.when(F.col("_t") != F.col("_w"), _tokens(F.col("_t"))).otherwise(none))
+        .withColumn("t2", F.when(F.col("_t2") != F.col("_t"), _tokens(F.col("_t2"))).otherwise(none))
+        .drop("_vt", "_w", "_t", "_t2")
+    )
 
 
-def _parsed(rows: DataFrame) -> DataFrame:
-    """Adds ``w`` (plain tokens), ``t`` and ``t2`` (template tokens), one for one, from the texts with marks, which go."""
-    plain = F.regexp_replace("vt", f"[{NAME}{NUMBER}]", "")
-    out = rows.withColumn("w", _tokens(plain)).withColumn("t", _tokens(template_text(F.col("vt"))))
-    return out.withColumn("t2", _tokens(template_text(F.col("vt2")))).drop("vt", "vt2")
+def _starts(tokens: str, n: int) -> Column:
+    """Positions of all windows of ``n`` tokens."""
+    none = F.array().cast("array<int>")
+    return F.when(F.size(tokens) >= n, F.sequence(F.lit(0), F.size(tokens) - n)).otherwise(none)
 
 
-def _templates(rows: DataFrame) -> DataFrame:
-    """Adds ``l`` and ``l2``: 1 for literal and 0 for placeholder tokens of ``t`` and ``t2``."""
-    for k in ("", "2"):
-        rows = rows.withColumn(f"l{k}", F.transform(f"t{k}", lambda x: _literal(x).cast("int")))
-    return rows
+def _combined(kind: Column, hashes: list[Column]) -> Column:
+    return F.xxhash64(kind, *hashes)
 
 
-def _literals(l: str, i: Column, n: int) -> Column:
-    """Literals among the ``n`` template tokens from the one-based position ``i``."""
-    out = F.get(l, i - 1)
-    for k in range(1, n):
-        out = out + F.get(l, i - 1 + k)
-    return out
+def _window_hashes(n: int) -> list[Column]:
+    """Arrays of the hashes of all windows of ``n`` tokens, from the token hashes hw, ht and ht2."""
 
+    def of(hashes: str, kind: int) -> Column:
+        return F.transform(_starts(hashes, n), lambda i: _combined(F.lit(kind), [F.get(hashes, i + k) for k in range(n)]))
 
-def _window_hashes(n: int) -> list[Column]:
-    """Arrays of hashes: plain windows, and template windows that have a placeholder and enough literals."""
-    starts = F.sequence(F.lit(1), F.size("w") - (n - 1))
-    none = F.array().cast("array<bigint>")
-    # Items of very few tokens are looked up as whole texts only.
-    fits = F.size("w") >= n if n >= MIN_LITERALS else F.size("w") == n
-    plain = F.when(fits, F.transform(starts, lambda i: F.xxhash64(F.slice("w", i, n)))).otherwise(none)
-    if n < MIN_LITERALS:
-        return [plain]
-    some = F.filter(starts, lambda i: _literals("l", i, n).between(MIN_LITERALS, n - 1))
-    # What is a name in the middle of a sentence is one everywhere, so equal counts are equal windows.
-    more = F.filter(starts, lambda i: _literals("l2", i, n).between(MIN_LITERALS, _literals("l", i, n) - 1))
-    hashed = [F.transform(some, lambda i: F.xxhash64(F.slice("t", i, n))), F.transform(more, lambda i: F.xxhash64(F.slice("t2", i, n)))]
-    return [plain, *[F.when(fits, h).otherwise(none) for h in hashed]]
-
-
-def _window_rows(rows: DataFrame, position: str) -> DataFrame:
-    """A row for each window of ``n`` tokens from ``position`` and kind: ``m`` (tokens to match) and ``w`` (plain tokens)."""
-    cut = rows
-    for c in ("w", "t", "t2"):
-        cut = cut.withColumn(c, F.expr(f"slice({c}, {position} + 1, n)"))
-    kinds = F.array_distinct(F.array("w", *[F.when(F.size(F.filter(t, _literal)) >= MIN_LITERALS, F.col(t)).otherwise(F.col("w")) for t in ("t", "t2")]))
-    return cut.withColumn("m", F.explode(kinds)).drop("t", "t2").withColumn("h", F.xxhash64("m"))
+    return [of("hw", _PLAIN), of("ht", _TEMPLATE), of("ht2", _TEMPLATE)]
+
+
+def _window_rows(rows: DataFrame, n: int) -> DataFrame:
+    """A row for each window of ``n`` tokens: kind, ``pos``, ``m`` (tokens to match) and ``v`` (plain tokens)."""
+
+    def of(form: int, tokens: str, kind: int) -> Column:
+        return F.transform(_starts(tokens, n), lambda i: F.struct(F.lit(form).alias("form"), F.lit(kind).alias("kind"), i.alias("pos")))
+
+    at = rows.withColumn("_at", F.explode(F.concat(of(0, "w", _PLAIN), of(1, "t", _TEMPLATE), of(2, "t2", _TEMPLATE))))
+    chosen = F.when(F.col("_at.form") == 0, F.col("w")).when(F.col("_at.form") == 1, F.col("t")).otherwise(F.col("t2"))
+    cut = at.select(
+        *[c for c in rows.columns if c not in ("w", "t", "t2")],
+        F.col("_at.kind").alias("kind"),
+        F.col("_at.pos").alias("pos"),
+        F.slice(chosen, F.col("_at.pos") + 1, n).alias("m"),
+        F.slice("w", F.col("_at.pos") + 1, n).alias("v"),
+    )
+    return cut
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, n, length, ipos, h, m, v): windows of each item, of plain tokens and of template tokens.
+    """(item, n, length, ipos, kind, h, m, v): windows of each distinct item text, of plain and of template tokens.
 
-    ``length`` is the item's tokens, ``n`` the window's, smaller only for items shorter than a window.
-    ``m`` are the tokens to match and ``v`` the plain ones. Windows of template tokens have enough
-    literals. Items without any literal (numbers, names and units alone) have no windows and are never found.
+    ``item`` is the md5 of the text, ``length`` its tokens, ``n`` the window's, smaller only for items shorter
+    than a window. ``m`` are the tokens to match and ``v`` the plain ones. Windows of template tokens have a
+    placeholder and enough literals; windows of plain tokens consist of whatever the item does.
     """
-    texts = _marked(benchmark, F.col("text").cast("string")).select("item_id", "vt", "vt2").distinct()
-    parsed = _parsed(texts).filter(F.exists("t", _literal))
-    parsed = parsed.withColumn("n", F.least(F.lit(window), F.size("t"))).withColumn("length", F.size("t"))
-    spread = parsed.withColumn("ipos", F.explode(F.sequence(F.lit(0), F.col("length") - F.col("n"))))
-    return _window_rows(spread, "ipos").select("item_id", "n", "length", "ipos", "h", "m", F.col("w").alias("v"))
+    texts = benchmark.select(F.col("text").cast("string").alias("text")).distinct().withColumn("item", F.md5("text"))
+    parsed = _parsed(texts.filter(F.col("text").isNotNull()), "text").drop("text").withColumn("length", F.size("w"))
+    literals = F.size(F.filter("m", _literal))
+    out = None
+    for n in range(MIN_TOKENS, window + 1):
+        own = F.col("length") == n if n < window else F.col("length") >= n
+        rows = _window_rows(parsed.filter(own), n).withColumn("n", F.lit(n))
+        rows = rows.filter((F.col("kind") == _PLAIN) | (literals.between(MIN_LITERALS, n - 1)))
+        rows = rows.withColumn("h", _combined(F.col("kind"), [F.xxhash64(F.get("m", F.lit(k))) for k in range(n)]))
+        out = rows if out is None else out.unionByName(rows)
+    return out.select("item", "n", "length", F.col("pos").alias("ipos"), "kind", "h", "m", "v").dropDuplicates(["item", "ipos", "kind", "m"])
+
+
+def short_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(body, item, coverage): items of one or two tokens in texts that hold them as a whole line or sentence."""
+    given = benchmark.select(F.col("text").cast("string").alias("text")).distinct()
+    form = F.array_join(_tokens(plain_text(values_text(F.col("text")))), " ")
+    few = given.withColumn("form", form).filter((F.size(F.split("form", " ")) < MIN_TOKENS) & (F.col("form") != ""))
+    items = written(few.select("form", F.md5("text").alias("item")), "short-items")
+    if not items.limit(1).count():
+        return items.select(F.col("item").alias("body"), "item", F.lit(1.0).alias("coverage"))
+    lines = docs.select(F.md5("text").alias("body"), F.explode(F.split("text", r"[\n\r]+|[.!?;:]+(?=\s|$)")).alias("text"))
+    said = lines.select("body", form.alias("form"))
+    return joined_small(said, items, "form", "inner", small(items, "form")).select("body", "item", F.lit(1.0).alias("coverage")).distinct()
 
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: float = COVER) -> DataFrame:
@@ -142,62 +175,95 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: flo
     """
     items = written(benchmark_windows(benchmark, window), "windows")
     # At most ``window`` lengths occur: the full one and those of shorter items.
-    lengths = [r["n"] for r in items.select("n").distinct().collect()]
+    lengths = sorted(r["n"] for r in items.select("n").distinct().collect())
     texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    empty = F.array().cast("array<bigint>")
-
-    # 1. Candidates: texts that share enough windows with an item.
-    prepared = _templates(_parsed(_marked(texts, F.col("text")).select(F.xxhash64("text").alias("key"), "vt", "vt2")))
-    hashes = F.concat(empty, *[h for n in lengths for h in _window_hashes(n)])
-    windows = prepared.select("key", F.explode(hashes).alias("h"))
+    named = benchmark.select(F.md5(F.col("text").cast("string")).alias("item"), "item_id").distinct()
+    found = short_items(texts, benchmark)
+    if lengths:
+        found = found.unionByName(_occurrences(texts, items, lengths, cover))
+    found = found.groupBy("body", "item").agg(F.max("coverage").alias("coverage"))
+    return joined_small(found, named, "item", "inner", small(named, "item")).select("body", "item_id", "coverage")
+
+
+def _candidates(texts: DataFrame, items: DataFrame, lengths: list[int], cover: float) -> DataFrame:
+    """(key, item): texts, by hash, that share enough windows with an item."""
+    hashed = _parsed(texts.select(F.xxhash64("text").alias("key"), "text"), "text")
+    hashed = hashed.select("key", *[F.transform(c, lambda x: F.xxhash64(x)).alias(f"h{c}") for c in ("w", "t", "t2")])
+    windows = hashed.select("key", F.explode(F.concat(*[h for n in lengths for h in _window_hashes(n)])).alias("h"))
     wanted = items.select("h").distinct()
     hit = joined_small(windows, wanted, "h", "left_semi", small(wanted, limit=HASH_BYTES)).distinct()
-    own = items.select("h", "item_id", "ipos", "n", "length")
-    shared = hit.join(own, "h").groupBy("key", "item_id").agg(F.countDistinct("ipos").alias("hits"), F.min("n").alias("n"), F.min("length").alias("length"))
+    own = items.select("h", "item", "ipos", "n", "length")
+    shared = joined_small(hit, own, "h", "inner", small(own, "item", limit=HASH_BYTES)).groupBy("key", "item")
+    shared = shared.agg(F.countDistinct("ipos").alias("hits"), F.min("n").alias("n"), F.min("length").alias("length"))
     # Windows of n tokens must be at least this many to cover the share.
-    enough = written(shared.filter(F.col("hits") * F.col("n") >= cover * F.col("length")).select("key", "item_id"), "candidates")
+    return written(shared.filter(F.col("hits") * F.col("n") >= cover * F.col("length")).select("key", "item"), "candidates")
+
+
+def _matches(texts: DataFrame, items: DataFrame, enough: DataFrame, lengths: list[int]) -> DataFrame:
+    """(body, item, length, n, kind, dpos, ipos, slots): equal windows of candidates, token for token.
+
+    ``slots`` names for each placeholder the benchmark's value and the document's.
+    """
     few = enough.select("key").distinct()
-    bodies = joined_small(texts.withColumn("key", F.xxhash64("text")), few, "key", "left_semi", small(few))
+    keyed = texts.select(F.xxhash64("text").alias("key"), "text")
     # Copies are verified once.
-    bodies = _marked(bodies.select("key", "text").distinct(), F.col("text")).withColumn("body", F.md5("text")).drop("text")
-
-    # 2. Alignment: equal windows, token for token, at (document position, item position).
-    bodies = _parsed(bodies)
-    places = bodies.withColumn("n", F.explode(F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>")))
-    places = places.filter(f"size(t) = n or size(t) > n and n >= {MIN_LITERALS}").withColumn("dpos", F.explode(F.expr("sequence(0, size(t) - n)")))
-    places = _window_rows(places, "dpos").select("key", "body", "n", "dpos", "h", F.col("m").alias("dm"), F.col("w").alias("dv"))
-    placed = places.join(items, ["h", "n"]).filter("dm = m").join(enough, ["key", "item_id"], "left_semi")
-    shift = F.col("dpos") - F.col("ipos")
-    widths = [F.lit(BAND), *[F.col("length") * k for k in SPANS]]
-    bands = F.array(*[
-        F.struct(F.lit(k).alias("scale"), (F.floor((shift + half * w / 2) / w) * 2 + half).alias("number"))
-        for k, w in enumerate(widths) for half in (0, 1)
-    ])
-    matched = written(placed.select("body", "item_id", "length", "n", "dpos", "ipos", "dv", "v", "m", F.explode(bands).alias("band")), "matches")
-
-    # 3. Slots: what each benchmark value stands for, by majority within the occurrence.
-    occurrence = ["body", "item_id", "band"]
+    bodies = joined_small(keyed, few, "key", "left_semi", small(few)).distinct().withColumn("body", F.md5("text"))
+    bodies = _parsed(bodies, "text").drop("text")
+    fits, pairs_fit = small(items, "m", "v", "item", limit=HASH_BYTES), small(enough, "item")
     slots = F.filter(F.arrays_zip("m", "v", "dv"), lambda s: ~_literal(s["m"]))
-    filled = matched.select(*occurrence, "dpos", "ipos", "m", F.explode(slots).alias("s")).select(
-        *occurrence, "dpos", "ipos", "m", F.concat("s.m", "s.v").alias("slot"), F.col("s.dv").alias("value")
-    )
+    slots = F.transform(slots, lambda s: F.struct(F.concat(s["m"], s["v"]).alias("slot"), s["dv"].alias("value")))
+    out = None
+    for n in lengths:
+        places = _window_rows(bodies, n).select("key", "body", "kind", F.col("pos").alias("dpos"), "m", F.col("v").alias("dv"))
+        own = items.filter(F.col("n") == n).drop("h")
+        placed = joined_small(joined_small(places, own, ["kind", "m"], "inner", fits), enough, ["key", "item"], "left_semi", pairs_fit)
+        rows = placed.select("body", "item", "length", "n", "kind", "dpos", "ipos", slots.alias("slots"))
+        out = rows if out is None else out.unionByName(rows)
+    return written(out, "matches")
+
+
+def _occurrences(texts: DataFrame, items: DataFrame, lengths: list[int], cover: float) -> DataFrame:
+    """(body, item, coverage) of what sound windows of one occurrence cover.
+
+    Three views of what belongs to one occurrence: a band of shifts (inserted or left-out tokens, other
+    matches beside it), an island of matches (any number of inserted runs), and, for plain windows, the text.
+    """
+    matched = _matches(texts, items, _candidates(texts, items, lengths, cover), lengths)
+    inside = Window.partitionBy("body", "item").orderBy("dpos", "ipos")
+    apart = F.coalesce(F.col("dpos") - F.lag("dpos").over(inside) > GAP_LENGTHS * F.col("length"), F.lit(False))
+    islands = matched.withColumn("_new", apart.cast("int")).withColumn("island", F.sum("_new").over(inside))
+    shift = F.col("dpos") - F.col("ipos")
+
+    def view(scope: str, number: Column) -> Column:
+        return F.struct(F.lit(scope).alias("scope"), number.cast("bigint").alias("number"))
+
+    views = [view("band", F.floor((shift + half * BAND / 2) / BAND) * 2 + half) for half in (0, 1)]
+    views += [view("island", F.col("island")), F.when(F.col("kind") == _PLAIN, view("text", F.lit(0)))]
+    spread = islands.withColumn("seen", F.explode(F.array_compact(F.array(*views)))).drop("_new", "island")
+
+    # Slots: what each benchmark value stands for, by majority within the occurrence.
+    occurrence = ["body", "item", "seen"]
+    filled = spread.filter(F.size("slots") > 0).select(*occurrence, "dpos", "ipos", F.explode("slots").alias("s")).select(*occurrence, "dpos", "ipos", "s.slot", "s.value")
     votes = filled.groupBy(*occurrence, "slot", "value").agg(F.count(F.lit(1)).alias("n"))
     chosen = votes.groupBy(*occurrence, "slot").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("choice"))
-    broken = filled.join(chosen, [*occurrence, "slot"]).filter("value != choice").select(*occurrence, "dpos", "ipos", "m").distinct()
-    sound = matched.join(broken, [*occurrence, "dpos", "ipos", "m"], "left_anti")
+    broken = filled.join(chosen, [*occurrence, "slot"]).filter("value != choice").select(*occurrence, "dpos", "ipos").distinct()
+    sound = spread.filter(F.size("slots") == 0).select(*occurrence, "length", "n", "ipos").unionByName(
+        spread.filter(F.size("slots") > 0).join(broken, [*occurrence, "dpos", "ipos"], "left_anti").select(*occurrence, "length", "n", "ipos")
+    )
 
-    # 4. Coverage of the item by sound windows of one occurrence.
-    covered = sound.select(*occurrence, "length", F.explode(F.expr("sequence(ipos, ipos + n - 1)")).alias("token"))
+    # Coverage of the item by sound windows of one occurrence.
+    covered = sound.distinct().select(*occurrence, "length", F.explode(F.sequence(F.col("ipos"), F.col("ipos") + F.col("n") - 1)).alias("token"))
     shares = covered.groupBy(*occurrence).agg((F.countDistinct("token") / F.min("length")).alias("coverage"))
-    return shares.filter(F.col("coverage") >= cover).groupBy("body", "item_id").agg(F.max("coverage").alias("coverage"))
+    return shares.filter(F.col("coverage") >= cover).select("body", "item", "coverage")
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: float = COVER) -> DataFrame:
     """One row for each row of ``docs``: doc_id, contaminated, items (ascending ids, comma-joined), coverage.
 
     NULL, empty and word-less texts are clean. Texts decide, so repeated rows and rows with a NULL
-    doc_id are judged like any other. Items with NULL or too short texts match nothing; an empty
-    benchmark leaves all documents clean; an empty table gives no rows; other columns are ignored.
+    doc_id are judged like any other. Items with NULL or word-less texts match nothing, those with a NULL
+    item_id mark a text without being listed; an empty benchmark leaves all documents clean; an empty table
+    gives no rows; other columns are ignored.
     """
     found = written(find(docs, benchmark, window, cover), "contaminated")
     hits = found.groupBy("body").agg(F.array_sort(F.collect_set("item_id")).alias("ids"), F.max("coverage").alias("coverage"))
@@ -208,7 +274,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: flo
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: float = COVER) -> DataFrame:
-    """The rows of ``docs`` whose text holds no benchmark item, with all their columns."""
+    """The rows of ``docs`` whose text holds no benchmark item, with all their columns; NULL and empty texts stay."""
     bad = written(find(docs, benchmark, window, cover).select(F.col("body").alias("_body")).distinct(), "contaminated")
     body = F.md5(F.coalesce(docs["text"].cast("string"), F.lit("")))
     right = F.broadcast(bad) if small(bad, "_body") else bad
