@@ -17,7 +17,6 @@ from __future__ import annotations
 import hashlib
 import sys
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,8 +30,9 @@ PARTS = 4
 ENTRIES = 256
 ROUNDS = 4
 SCALE = 1024
-#: Coefficients that are added up before entries are first eliminated, and between later eliminations.
-FIRST, STEP = 4, 2
+#: Share of the coefficients that is added up for all entries, in tiles, before entries are eliminated, and
+#: coefficients between later eliminations, which gather what is left.
+FIRST, STEP = (3, 4), 4
 #: Vectors that are compared at once.
 BLOCK = 1024
 _LONG = (1 << 63) - 1
@@ -72,12 +72,21 @@ def nearest(parts: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndar
     The lower index wins a tie. Arrays of 64-bit integers or of Python's unbounded ones (object).
     """
     n, scale = len(parts), parts.shape[1]
-    first = min(FIRST, scale)
-    sums = reduce(np.add, ((parts[:, c, None] - entries[None, :, c]) ** 2 for c in range(first)))
+    first = max(1, scale * FIRST[0] // FIRST[1])
+    kind = parts.dtype
+    largest = max(int(np.abs(parts).max(initial=0)), int(np.abs(entries).max(initial=0)))
+    if first * (2 * largest) ** 2 < 1 << 31:
+        kind = np.dtype(np.int32)  # the tiles' sums fit, in half the memory
+    left_side, right_side = parts[:, :first].astype(kind), entries[:, :first].T.astype(kind)
+    sums = np.zeros((n, len(entries)), kind)
+    for c in range(first):
+        gap = left_side[:, c, None] - right_side[c]
+        gap *= gap
+        sums += gap
     leader = sums.argmin(1)
     bound = ((parts - entries[leader]) ** 2).sum(1)
     row, entry = np.nonzero(sums <= bound[:, None])
-    sums = sums[row, entry]
+    sums = sums[row, entry].astype(parts.dtype)
     for c in range(first, scale, STEP):
         sums = sums + ((parts[row, c : c + STEP] - entries[entry, c : c + STEP]) ** 2).sum(1)
         left = sums <= bound[row]
