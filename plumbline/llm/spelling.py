@@ -6,8 +6,9 @@ unchanged in every near word, at the same place or one further. With all bigrams
 ones first, every word has a prefix (its first three bigrams, with all that equal the third) and two
 disjoint pivots chosen within it by dynamic programming for the least total frequency. Of two near
 words, the pivots of that with the lesser prefix end meet the other's prefix; so pivots are joined
-with prefixes on bigram, place and length, shifted as the difference in length allows, and the pairs
-that meet are verified. No pair is lost, and no two words meet for a common bigram alone.
+with prefixes on bigram, place and length, shifted as the difference in length allows, and on what stands
+on one side of the bigram, for the edit is on the other. The pairs that meet are verified. No pair is
+lost, and no two words meet for a common bigram alone.
 
 Words are counted in the tasks that hold the texts, then by one aggregate; all else runs on distinct words.
 """
@@ -20,6 +21,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -128,38 +130,52 @@ def _gram_order(words: DataFrame) -> dict[str, int]:
     return {r["gram"]: k for k, r in enumerate(sorted(counts.collect(), key=lambda r: (r["n"], r["gram"])))}
 
 
-def _keys(words: DataFrame, order: dict[str, int], pivots: bool) -> DataFrame:
-    """(word, n, gram, place, length): where a word's prefix stands, or where its pivots stand in words near it.
+def stands(word: str, pivots: Sequence[tuple[int, int]]) -> list[tuple]:
+    """Where pivots stand in near words: (gram, place, length, side that is equal, its letters).
 
-    In a word of equal length a gram that the edit leaves stands at the same place; in one that is longer
-    by one, at the same or the next; in one that is shorter, at the same or the one before.
+    In a word of equal length a gram that the edit leaves stands at the same place, with equal letters on
+    the left or on the right. If the word is longer or shorter by one, it stands at the same place with
+    equal letters on the left, or is moved by one with equal letters on the right.
     """
+    n, found = len(word), []
+    for gram, place in pivots:
+        left, right = word[:place], word[place + GRAM :]
+        found += [(gram, place, n + more, "<", left) for more in (0, 1, -1)]
+        found += [(gram, place + more, n + more, ">", right) for more in (0, 1, -1)]
+    return found
+
+
+def own_stands(word: str, prefix: Sequence[tuple[int, int]]) -> list[tuple]:
+    """Where a word's own grams stand, in the form of ``stands``."""
+    n = len(word)
+    return [x for g, p in prefix for x in ((g, p, n, "<", word[:p]), (g, p, n, ">", word[p + GRAM :]))]
+
+
+def _keys(words: DataFrame, order: dict[str, int], pivots: bool) -> DataFrame:
+    """(word, n, h): a row for each hash of where the word's pivots stand in near words, or its prefix in itself."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         for batch in batches:
-            row, gram, place, length = [], [], [], []
+            row, hashes = [], []
             for k, word in enumerate(batch.column(0).to_pylist()):
-                n = len(word)
                 prefix, chosen = signature(word, order)
-                stands = [(g, p + d, n + more) for g, p in chosen for more, d in ((0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1))] if pivots else [(g, p, n) for g, p in prefix]
-                row += [k] * len(stands)
-                for g, p, m in stands:
-                    gram.append(g)
-                    place.append(p)
-                    length.append(m)
-            columns = [c.take(pa.array(row, pa.int32())) for c in batch.columns]
-            columns += [pa.array(c, pa.int32()) for c in (gram, place, length)]
-            yield pa.RecordBatch.from_arrays(columns, ["word", "n", "gram", "place", "length"])
+                for x in stands(word, chosen) if pivots else own_stands(word, prefix):
+                    row.append(k)
+                    hashes.append(xxhash.xxh64_intdigest("%d %d %d %s%s" % x))
+            keys = pa.array(np.array(hashes, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*[c.take(pa.array(row, pa.int32())) for c in batch.columns], keys], ["word", "n", "h"])
 
-    return words.select("word", "n").mapInArrow(made, "word string, n bigint, gram int, place int, length int")
+    return words.select("word", "n").mapInArrow(made, "word string, n bigint, h bigint")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """(a, na, b, nb) for all pairs of near words, each once with a < b. ``words``: (word, n), distinct, of six letters or more."""
     order = _gram_order(words)
-    left = _keys(words, order, True).select(F.col("word").alias("p"), F.col("n").alias("np"), "gram", "place", "length")
-    right = _keys(words, order, False).select(F.col("word").alias("q"), F.col("n").alias("nq"), "gram", "place", "length")
-    met = left.join(right, ["gram", "place", "length"]).filter((F.col("p") != F.col("q")) & (F.levenshtein("p", "q", EDITS) == EDITS))
+    left = _keys(words, order, True).select(F.col("word").alias("p"), F.col("n").alias("np"), "h")
+    right = _keys(words, order, False).select(F.col("word").alias("q"), F.col("n").alias("nq"), "h")
+    met = left.join(right, "h").filter((F.col("p") != F.col("q")) & (F.levenshtein("p", "q", EDITS) == EDITS))
     ordered = F.when(F.col("p") < F.col("q"), F.struct("p", "np", "q", "nq")).otherwise(
         F.struct(F.col("q").alias("p"), F.col("nq").alias("np"), F.col("p").alias("q"), F.col("np").alias("nq"))
     )

@@ -68,9 +68,8 @@ def test_pivots_of_near_words_always_meet_a_prefix():
         order = {"".join(g): k for k, g in enumerate(rng.sample(list(itertools.product("abc", repeat=2)), 9))}
 
         def meets(x, y):
-            prefix = set(spelling.signature(y, order)[0])
-            shifts = {0: (0,), 1: (0, 1), -1: (0, -1)}[len(y) - len(x)]
-            return any((g, p + d) in prefix for g, p in spelling.signature(x, order)[1] for d in shifts)
+            own = spelling.own_stands(y, spelling.signature(y, order)[0])
+            return not set(own).isdisjoint(spelling.stands(x, spelling.signature(x, order)[1]))
 
         assert meets(w, v) or meets(v, w)
 
