@@ -118,6 +118,44 @@ def join_unique(
     )
 
 
+@dataclass(frozen=True)
+class Stored:
+    """A table stored in buckets of ``key``, rows of hot keys apart.
+
+    ``cold`` is read bucket by bucket, so joins and groupings on the key need no shuffle; ``hot``
+    holds the rows of the ``keys`` that are too many for one task and is read in ordinary splits.
+    """
+
+    cold: DataFrame
+    hot: DataFrame
+    key: str
+    keys: tuple[Any, ...] = ()
+
+    @staticmethod
+    def split(table: DataFrame, flag: str, key: str, keys: Sequence[Any]) -> Stored:
+        """``flag`` is the partition column that keeps hot rows in files of their own."""
+        return Stored(
+            table.filter(~F.col(flag)).drop(flag), table.filter(F.col(flag)).drop(flag), key, tuple(keys)
+        )
+
+    @property
+    def all_rows(self) -> DataFrame:
+        return self.cold.unionByName(self.hot) if self.keys else self.cold
+
+
+def join_stored(left: Stored, right: DataFrame) -> DataFrame:
+    """Left join to a frame that is unique on the key and stored in the same buckets.
+
+    Cold rows meet bucket by bucket. Hot rows take a broadcast of the right rows of the hot keys, at
+    most one for each; nothing moves by key.
+    """
+    cold = left.cold.join(right, left.key, "left")
+    if not left.keys:
+        return cold
+    few = right.filter(is_one_of(F.col(left.key), [v for v in left.keys if v is not None]))
+    return cold.unionByName(left.hot.join(F.broadcast(few), left.key, "left"))
+
+
 # ---------------------------------------------------------------- lookups
 
 

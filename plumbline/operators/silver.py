@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from plumbline.contracts import ORDERS, RETURNS, HealthContract
 from plumbline.functions.columns import code, to_cents
 from plumbline.operators import versions
-from plumbline.operators.joins import Lookup, join_unique, lookup
+from plumbline.operators.joins import Lookup, Stored, join_stored, join_unique, lookup
 
+# Status codes of returns; the quarantine reasons below are fixed as well.
 ACCEPTED = "ACCEPTED"
 ORPHAN = "ORPHAN"
 ORDER_EXCLUDED = "ORDER_EXCLUDED"
@@ -33,20 +34,9 @@ def _not_positive(amount: Column, floor: str = "0") -> Column:
 _ORDER_ORDER = (*ORDERS.newest_first, *ORDERS.tie_breakers)
 _RETURN_ORDER = (*RETURNS.newest_first, *RETURNS.tie_breakers)
 
-ORDER_VERSION_COLUMNS = (
-    "order_id",
-    "event_id",
-    "event_version",
-    "order_timestamp_utc",
-    "region_code",
-    "category_code",
-    "currency_code",
-    "gross_amount",
-    "customer_segment",
-    "source_updated_at",
-    "ingested_at",
-    "source_system",
-)
+# What the contract declares of a feed, and where it came from.
+ORDER_VERSION_COLUMNS = (*ORDERS.column_names, "source_system")
+RETURN_COLUMNS = (*RETURNS.column_names, "source_system")
 
 
 def normalise_orders(orders: DataFrame, contract: HealthContract) -> DataFrame:
@@ -83,46 +73,44 @@ def latest_orders_by_max(orders: DataFrame, contract: HealthContract) -> DataFra
 
 def governed_orders(latest: DataFrame) -> DataFrame:
     """Latest versions that no quarantine rule excludes, with the UTC order date."""
-    return latest.filter(F.col("quarantine_reason").isNull()).select(
-        "order_id",
-        "event_id",
-        "event_version",
-        "order_timestamp_utc",
-        F.to_date("order_timestamp_utc").alias("order_date"),
-        "region_code",
-        "category_code",
-        "currency_code",
-        "gross_amount",
-        "customer_segment",
-        "source_updated_at",
-        "ingested_at",
-        "source_system",
-    )
+    day = F.to_date("order_timestamp_utc").alias("order_date")
+    columns = [c for name in ORDER_VERSION_COLUMNS for c in ([name, day] if name == "order_timestamp_utc" else [name])]
+    return latest.filter(F.col("quarantine_reason").isNull()).select(*columns)
 
 
 # ---------------------------------------------------------------- returns
 
 
 def latest_returns(returns: DataFrame) -> DataFrame:
-    wanted = [*RETURNS.column_names, "source_system"]
-    return versions.latest(returns.select(*wanted), "return_id", _RETURN_ORDER)
+    return versions.latest(returns.select(*RETURN_COLUMNS), "return_id", _RETURN_ORDER)
 
 
 def reconcile_returns(
     returns: DataFrame, latest: DataFrame, hot_orders: Sequence[Any] = ()
 ) -> DataFrame:
-    """Latest returns with a reconciliation status against the latest order versions.
+    """Latest returns with a reconciliation status against the latest order versions."""
+    facts = _order_facts(latest)
+    return _judged(join_unique(latest_returns(returns), facts, "order_id", "left", hot_orders))
 
-    Status and reason are separate rules: a return of an excluded order can carry a reason
-    without being quarantined.
-    """
-    facts = latest.select(
+
+def reconcile_stored(returns: Stored, latest: DataFrame) -> DataFrame:
+    """The same from latest returns and latest orders that lie in the same buckets."""
+    return _judged(join_stored(returns, _order_facts(latest)))
+
+
+def _order_facts(latest: DataFrame) -> DataFrame:
+    return latest.select(
         "order_id",
         F.col("quarantine_reason").alias("_order_reason"),
         F.col("currency_code").alias("_order_currency"),
         F.lit(True).alias("_known"),
     )
-    matched = join_unique(latest_returns(returns), facts, "order_id", "left", hot_orders)
+
+
+def _judged(matched: DataFrame) -> DataFrame:
+    """Status and reason are separate rules: a return of an excluded order can carry a reason
+    without being quarantined.
+    """
     currency = code(F.col("currency_code"))
     unknown = F.col("_known").isNull()
     bad_amount = _not_positive(F.col("return_amount"))
@@ -138,15 +126,7 @@ def reconcile_returns(
     reasons = (("INVALID_RETURN_AMOUNT", bad_amount), ("RETURN_CURRENCY_MISMATCH", mismatch))
     reason = F.when(~unknown, first_match(reasons))
     return matched.select(
-        "return_id",
-        "order_id",
-        "return_timestamp_utc",
-        "return_amount",
-        currency.alias("currency_code"),
-        "return_reason",
-        "source_updated_at",
-        "ingested_at",
-        "source_system",
+        *[currency.alias(c) if c == "currency_code" else F.col(c) for c in RETURN_COLUMNS],
         status.alias("reconciliation_status"),
         reason.alias("quarantine_reason"),
     )
@@ -201,13 +181,35 @@ def price_sales(
     governed: DataFrame, reconciled: DataFrame, rates: Lookup, contract: HealthContract
 ) -> DataFrame:
     """One priced row per governed order; the rate of the exact order date or NULL."""
-    amounts = (
-        governed.join(accepted_returns(reconciled), "order_id", "left")
-        .withColumn(
-            "accepted_return_amount",
-            F.coalesce("accepted_return_amount", F.lit(0).cast("decimal(18,2)")),
+    return _priced(governed.join(accepted_returns(reconciled), "order_id", "left"), rates, contract)
+
+
+def price_stored(
+    governed: DataFrame, reconciled: Stored, rates: Lookup, contract: HealthContract
+) -> DataFrame:
+    """The same from tables in the same buckets: returns are added up and joined where they lie.
+
+    Returns of hot orders are added up across tasks; their few sums are broadcast.
+    """
+    amounts = governed.join(accepted_returns(reconciled.cold), "order_id", "left")
+    if reconciled.keys:
+        few = accepted_returns(reconciled.hot).select(
+            "order_id",
+            F.col("accepted_return_amount").alias("_hot_amount"),
+            F.col("return_count").alias("_hot_count"),
         )
-        .withColumn("return_count", F.coalesce("return_count", F.lit(0).cast("bigint")))
+        amounts = amounts.join(F.broadcast(few), "order_id", "left").select(
+            *governed.columns,
+            F.coalesce("_hot_amount", "accepted_return_amount").alias("accepted_return_amount"),
+            F.coalesce("_hot_count", "return_count").alias("return_count"),
+        )
+    return _priced(amounts, rates, contract)
+
+
+def _priced(amounts: DataFrame, rates: Lookup, contract: HealthContract) -> DataFrame:
+    none = {"accepted_return_amount": "decimal(18,2)", "return_count": "bigint"}
+    amounts = amounts.withColumns(
+        {name: F.coalesce(name, F.lit(0).cast(kind)) for name, kind in none.items()}
     )
     priced = lookup(
         amounts, rates.map(base_rates(rates.frame, contract)), ["currency_code", "order_date"]

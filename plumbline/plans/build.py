@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import partial
@@ -15,12 +16,12 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.contracts import HealthContract
+from plumbline.contracts import ORDERS, RETURNS, FeedContract, HealthContract
 from plumbline.functions.columns import utc
 from plumbline.operators import quality, silver, star
-from plumbline.operators.joins import Lookup, hot_keys
+from plumbline.operators.joins import Lookup, Stored, hot_keys, is_one_of
 from plumbline.sources.feeds import FeedSet
-from plumbline.sources.store import HEALTH, QUALITY_RESULTS, RUNS, TableStore
+from plumbline.sources.store import HEALTH, QUALITY_RESULTS, RUNS, TableStore, schema_of
 
 BATCHES = ("broken", "repaired")
 
@@ -64,9 +65,26 @@ def together(*steps: Callable[[], Any]) -> list[Any]:
 
 
 def land(store: TableStore, feeds: FeedSet, run_id: str) -> dict[str, DataFrame]:
-    """Bronze: every feed as received."""
-    writes = [partial(store.write, df, feed.table, run_id) for feed, df in feeds.items()]
+    """Bronze: every feed as received, counted while it is written.
+
+    Orders lie in a folder for each month, sorted by region, so a question about one reads no other.
+    """
+    arrivals = {
+        "rows": F.count(F.lit(1)),
+        "newest_micros": F.unix_micros(F.max("ingested_at")),
+    }
+
+    def save(feed: FeedContract, df: DataFrame) -> DataFrame:
+        if feed is ORDERS:
+            dated = df.withColumn("order_month", F.date_format("order_timestamp_utc", "yyyy-MM"))
+            stored = store.write(
+                dated, feed.table, run_id, ["order_month"], ["region_code"], measures=arrivals
+            )
+            return stored.drop("order_month")
+        return store.write(df, feed.table, run_id, measures=arrivals if feed is RETURNS else None)
+
     names = [feed.table for feed, _ in feeds.items()]
+    writes = [partial(save, feed, df) for feed, df in feeds.items()]
     return dict(zip(names, together(*writes), strict=True))
 
 
@@ -99,20 +117,40 @@ def refine(
     def save(name: str, df: DataFrame) -> Callable[[], DataFrame]:
         return partial(store.write, df, name, run_id)
 
-    versions = save(
-        "silver_order_versions", silver.order_versions(orders, contract, hot_events)
-    )()
-    latest = versions.filter(F.col("version_rank") == 1).drop("version_rank")
-    governed, reconciled = together(
-        save("silver_orders", silver.governed_orders(latest)),
-        save("silver_returns", silver.reconcile_returns(returns, latest, hot_returns)),
+    def co_located(name: str, df: DataFrame, **options: Any) -> Callable[[], DataFrame]:
+        return partial(store.write_bucketed, df, name, run_id, "order_id", **options)
+
+    ranked = silver.order_versions(orders, contract, hot_events)
+    current = silver.latest_returns(returns).withColumn(
+        "hot_order", is_one_of(F.col("order_id"), hot_returns)
+    )
+    # Everything that meets on the order id is stored in its buckets, so it is dealt out once.
+    versions, stored_returns = together(
+        co_located(
+            "silver_order_versions",
+            ranked.withColumn("is_latest", F.col("version_rank") == 1),
+            partition_by=["is_latest"],
+            measures={"latest": F.count_if("is_latest")},
+        ),
+        co_located("silver_latest_returns", current, partition_by=["hot_order"], spread=True),
+    )
+    latest = versions.filter("is_latest").drop("version_rank", "is_latest")
+    by_order = Stored.split(stored_returns, "hot_order", "order_id", hot_returns)
+    flagged = silver.reconcile_stored(by_order, latest).withColumn(
+        "hot_order", is_one_of(F.col("order_id"), hot_returns)
+    )
+    governed, judged = together(
+        co_located("silver_orders", silver.governed_orders(latest)),
+        co_located("silver_returns", flagged, partition_by=["hot_order"]),
     )
+    reconciled = Stored.split(judged, "hot_order", "order_id", hot_returns)
     sales, *_ = together(
-        save(
+        co_located(
             "silver_reconciled_sales",
-            silver.price_sales(governed, reconciled, refs["rates"], contract),
+            silver.price_stored(governed, reconciled, refs["rates"], contract),
+            measures={"rows": F.count(F.lit(1))},
         ),
-        save("silver_quarantine", silver.quarantine(latest, reconciled, run_id)),
+        save("silver_quarantine", silver.quarantine(latest, reconciled.all_rows, run_id)),
         save("gold_dim_date", star.dim_date(tables["ref_calendar"])),
         save("gold_dim_region", star.dim_region(tables["ref_regions"])),
         save("gold_dim_category", star.dim_category(tables["ref_categories"])),
@@ -121,7 +159,7 @@ def refine(
         "silver_order_versions": versions,
         "latest_orders": latest,
         "silver_orders": governed,
-        "silver_returns": reconciled,
+        "silver_returns": reconciled.all_rows,
         "silver_reconciled_sales": sales,
     }
     return {**tables, **silver_tables}, refs
@@ -149,18 +187,97 @@ def publish_facts(
     ]
 
 
-def row_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
-    """Rows per layer, from the parquet footers, in one job."""
-    names = {
+def layer_counts(store: TableStore, run_id: str) -> dict[str, int]:
+    """Rows per layer, as the writing tasks counted them."""
+    tables = {
         "bronze_order_rows": "bronze_orders",
         "bronze_return_rows": "bronze_returns",
         "silver_sales_rows": "silver_reconciled_sales",
     }
-    counts = None
-    for column, table in names.items():
-        one = tables[table].agg(F.count(F.lit(1)).alias("n")).select(F.lit(column).alias("c"), "n")
-        counts = one if counts is None else counts.unionByName(one)
-    return {r["c"]: r["n"] for r in counts.collect()}
+    return {column: store.measured(t, run_id)["rows"] for column, t in tables.items()}
+
+
+class RunRecorder:
+    """States of one run. What is known so far goes to the run and the health events, each taking
+    the columns that its table declares.
+    """
+
+    def __init__(
+        self, store: TableStore, history: str, clock: Callable[[], datetime], **known: Any
+    ) -> None:
+        self._store, self._history, self._clock = store, history, clock
+        self._timer, self.known = time.perf_counter(), known
+
+    def __call__(self, seq: int, **fields: Any) -> dict[str, Any]:
+        now = _naive(self._clock())
+        self.known.update(fields, evaluated_at_utc=now)
+        if fields["status"] == "READY":
+            self.known["last_successful_refresh_utc"] = now
+        if seq:
+            took = int((time.perf_counter() - self._timer) * 1000)
+            self.known.update(completed_at_utc=now, duration_ms=took)
+        rows = {
+            table: {name: self.known.get(name) for name in schema_of(table).names}
+            for table in (RUNS, HEALTH)
+        }
+        append = self._store.append_event
+        together(*[partial(append, t, row, self._history, seq, now) for t, row in rows.items()])
+        return rows[HEALTH]
+
+    @contextmanager
+    def recording_failure(self) -> Iterator[None]:
+        """A step that fails is on record as FAILED before its error is passed on."""
+        try:
+            yield
+        except Exception as exc:
+            # Fixed value: how a failed step is told.
+            reason = f"PIPELINE_ERROR: {type(exc).__name__}: {exc}"
+            self(1, status="FAILED", failure_reasons=reason, blocking_reasons=reason)
+            raise BuildFailed(reason) from exc
+
+
+def build_tables(
+    store: TableStore,
+    feeds: FeedSet,
+    contract: HealthContract,
+    as_of: datetime | str,
+    run_id: str,
+    evaluated_at: datetime,
+) -> dict[str, Any]:
+    """Write all tables of a run and return the roll-up of its checks with the rows per layer."""
+    tables, refs = refine(store, land(store, feeds, run_id), contract, run_id)
+    checked = quality.SilverTables(
+        bronze_orders=tables["bronze_orders"],
+        bronze_returns=tables["bronze_returns"],
+        latest_orders=tables["latest_orders"],
+        governed_orders=tables["silver_orders"],
+        returns=tables["silver_returns"],
+        sales=tables["silver_reconciled_sales"],
+        regions=refs["regions"],
+        categories=refs["categories"],
+    )
+    arrived = {t: store.measured(t, run_id) for t in ("bronze_orders", "bronze_returns")}
+    measured = quality.Measured(
+        newest_order=arrived["bronze_orders"]["newest_micros"],
+        newest_return=arrived["bronze_returns"]["newest_micros"],
+        order_events=arrived["bronze_orders"]["rows"],
+        latest_orders=store.measured("silver_order_versions", run_id)["latest"],
+    )
+    results = quality.run_checks(checked, contract, as_of, measured)
+    stored = store.write(
+        results.select(
+            F.lit(run_id).alias("pipeline_run_id"),
+            *results.columns,
+            utc(evaluated_at).alias("evaluated_at_utc"),
+        ),
+        QUALITY_RESULTS,
+        run_id,
+    )
+    summary = quality.summarise(stored).first().asDict()
+    together(
+        *publish_facts(store, tables, refs, contract, run_id, summary["status"] == "READY")
+    )
+    return {**summary, **layer_counts(store, run_id), "failure_reasons": summary["blocking_reasons"]}
 
 
 def run_build(
@@ -175,117 +292,45 @@ def run_build(
     run_id: str | None = None,
     clock: Callable[[], datetime] = wall_clock,
     raise_when_blocked: bool = False,
+    keep_runs: int | None = None,
 ) -> BuildResult:
     """Run the whole build once. ``as_of`` is the business clock, ``clock`` the wall clock.
 
     RUNNING is recorded before any work. A failing step is recorded as FAILED and raised. A new
-    ``history`` label starts a fresh run history.
+    ``history`` label starts a fresh run history. With ``keep_runs``, tables of older runs go.
     """
     if batch not in BATCHES:
         raise ValueError(f"batch must be one of {BATCHES}, not {batch!r}")
-    started, timer = clock(), time.perf_counter()
+    started = clock()
     run_id = run_id or new_run_id(started, batch)
     store.create_if_missing()
-    previous = store.last_success(history)
-    as_of_value = as_of if isinstance(as_of, datetime) else datetime.fromisoformat(as_of)
-    run = {
-        "pipeline_run_id": run_id,
-        "scenario_mode": batch,
-        "started_at_utc": _naive(started),
-        "status": "RUNNING",
-        "data_contract_version": contract.version,
-    }
-    health = {
-        "data_product": contract.data_product,
-        "status": "RUNNING",
-        "data_contract_version": contract.version,
-        "scenario_mode": batch,
-        "as_of_utc": _naive(as_of_value),
-        "freshness_sla_minutes": contract.returns_freshness_sla_minutes,
-        "pipeline_run_id": run_id,
-        "last_successful_refresh_utc": previous,
-        "evaluated_at_utc": _naive(started),
-    }
-
-    def record(seq: int, moment: datetime, run_fields: dict, health_fields: dict) -> dict:
-        now = _naive(moment)
-        took = int((time.perf_counter() - timer) * 1000)
-        if seq:
-            run_fields = {**run_fields, "completed_at_utc": now, "duration_ms": took}
-        health_row = {**health, **health_fields, "evaluated_at_utc": now}
-        run_row = {**run, **run_fields}
-        together(
-            lambda: store.append_event(RUNS, run_row, history, seq, now),
-            lambda: store.append_event(HEALTH, health_row, history, seq, now),
-        )
-        return health_row
-
-    record(0, started, {}, {})
-    try:
-        landed = land(store, load(), run_id)
-        tables, refs = refine(store, landed, contract, run_id)
-        checked = quality.SilverTables(
-            bronze_orders=tables["bronze_orders"],
-            bronze_returns=tables["bronze_returns"],
-            latest_orders=tables["latest_orders"],
-            governed_orders=tables["silver_orders"],
-            returns=tables["silver_returns"],
-            sales=tables["silver_reconciled_sales"],
-            regions=refs["regions"],
-            categories=refs["categories"],
-        )
-        results = quality.run_checks(checked, contract, as_of)
-        stored = store.write(
-            results.select(
-                F.lit(run_id).alias("pipeline_run_id"),
-                *results.columns,
-                utc(clock()).alias("evaluated_at_utc"),
-            ),
-            QUALITY_RESULTS,
-            run_id,
-        )
-        summary = quality.summarise(stored).first().asDict()
-        ready = summary["status"] == "READY"
-        *_, counts = together(
-            *publish_facts(store, tables, refs, contract, run_id, ready),
-            lambda: row_counts(tables),
-        )
-    except Exception as exc:
-        reason = f"PIPELINE_ERROR: {type(exc).__name__}: {exc}"
-        record(
-            1,
-            clock(),
-            {"status": "FAILED", "failure_reasons": reason},
-            {"status": "FAILED", "blocking_reasons": reason},
-        )
-        raise BuildFailed(reason) from exc
-
-    ages = [
-        minutes
-        for minutes in (summary["orders_freshness_minutes"], summary["returns_freshness_minutes"])
-        if minutes is not None
-    ]
-    shared = ("quarantined_rows", "duplicate_count", "missing_fx_count", "orphan_return_count")
-    completed = clock()
-    final = record(
-        1,
-        completed,
-        {
-            **counts,
-            **{name: summary[name] for name in shared},
-            "status": summary["status"],
-            "freshness_minutes": max(ages, default=None),
-            "failure_reasons": summary["blocking_reasons"],
-            "warning_reasons": summary["warning_reasons"],
-        },
-        {
-            **summary,
-            "last_successful_refresh_utc": _naive(completed) if ready else previous,
-        },
+    business = as_of if isinstance(as_of, datetime) else datetime.fromisoformat(as_of)
+    record = RunRecorder(
+        store,
+        history,
+        clock,
+        pipeline_run_id=run_id,
+        scenario_mode=batch,
+        started_at_utc=_naive(started),
+        as_of_utc=_naive(business),
+        data_product=contract.data_product,
+        data_contract_version=contract.version,
+        freshness_sla_minutes=contract.returns_freshness_sla_minutes,
+        last_successful_refresh_utc=store.last_success(history),
     )
-    if raise_when_blocked and not ready:
+    record(0, status="RUNNING")
+    with record.recording_failure():
+        outcome = build_tables(store, load(), contract, as_of, run_id, clock())
+        # From here on the run can be opened; the events decide whether it is.
+        store.commit(run_id, f"{_naive(started).isoformat()} {run_id}")
+    status = outcome["status"]
+    final = record(1, **outcome)
+    if keep_runs is not None:
+        under_way = store.current(RUNS, history).filter("status = 'RUNNING'").select("pipeline_run_id")
+        store.sweep(keep_runs, [r[0] for r in under_way.collect()])
+    if raise_when_blocked and status != "READY":
         raise ProductBlocked(
-            f"data product {contract.data_product} is {summary['status']} (run {run_id}): "
-            f"{summary['blocking_reasons']}"
+            f"data product {contract.data_product} is {status} (run {run_id}): "
+            f"{outcome['blocking_reasons']}"
         )
-    return BuildResult(run_id, summary["status"], final)
+    return BuildResult(run_id, status, final)

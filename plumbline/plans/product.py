@@ -70,6 +70,10 @@ def _landed(feed: FeedContract) -> str:
     return ", ".join(f"{c.name} {c.type}" for c in feed.columns) + extra
 
 
+# Landed orders lie in a folder for each month of their order time.
+LANDED_ORDERS = _landed(ORDERS) + ", order_month STRING"
+
+
 def open_product(
     store: TableStore, contract: HealthContract, history: str = "default"
 ) -> Product:
@@ -90,15 +94,17 @@ def open_product(
         # RUNNING or FAILED: landed data is that of the last finished run, as after a rollback.
         finished = runs.filter(F.col("status").isin("READY", "BLOCKED"))
         run_id = finished.agg(F.max_by("pipeline_run_id", "completed_at_utc")).first()[0]
+    if run_id is not None and store.manifest(run_id) is None:
+        run_id = None  # swept, or never completed
     published = run_id if status == "READY" else None
     return Product(
         name=contract.data_product,
         health=health,
         status=status,
         runs=runs,
-        quality_results=store.quality_results(),
+        quality_results=store.quality_results(None if row is None else row["pipeline_run_id"]),
         quarantine=store.read("silver_quarantine", run_id, QUARANTINE),
-        bronze_orders=store.read("bronze_orders", run_id, _landed(ORDERS)),
+        bronze_orders=store.read("bronze_orders", run_id, LANDED_ORDERS),
         bronze_targets=store.read("bronze_targets", run_id, _landed(TARGETS)),
         dim_date=store.read("gold_dim_date", run_id, CALENDAR.schema),
         dim_region=store.read("gold_dim_region", run_id, REGIONS.schema),

@@ -1,17 +1,25 @@
 """Run-partitioned parquet tables and append-only run and health events.
 
 Every build writes its tables under its own run id, so a rerun replaces only its own files and
-a half-written run is never visible: readers follow the latest health event. Records are never
-updated in place; the current state is the latest event per key.
+a half-written run is never visible: readers follow the latest health event to a run, and open it only
+if its manifest, put in place by one rename after all tables are complete, names it. Records are never
+updated in place; the current state is the latest event per key. Events are appended one file each and
+folded into a base from time to time; one pointer file says which base counts and what it covers.
+
+Tables that meet on one key are stored in buckets of that key, so later joins and groupings on it read
+them as they lie. The session's catalog knows them by a name derived from their path.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import json
+import uuid
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,10 +69,14 @@ def record_rows(spark: SparkSession, schema: T.StructType, records: list[dict])
 class TableStore:
     """Tables of one data product below ``root``.
 
-    The default root is a folder below ``spark.checkpoint.dir``, which all executors share.
+    The default root is a folder below ``spark.checkpoint.dir``, which all executors share; a product
+    that is to outlive a job names its own. ``buckets`` is by default the session's number of shuffle
+    partitions: a bucket should fit one task.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None) -> None:
+    def __init__(
+        self, spark: SparkSession, root: str | None = None, buckets: int | None = None
+    ) -> None:
         if root is None:
             shared = checkpoint_dir(spark)
             if not shared:
@@ -72,6 +84,8 @@ class TableStore:
             root = f"{shared.rstrip('/')}/plumbline"
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._layouts: dict[str, dict[str, dict[str, Any]]] = {}
 
     # ---------------------------------------------------------------- run tables
 
@@ -79,20 +93,180 @@ class TableStore:
         return f"{self.root}/runs/{run_id}/{table}"
 
     def write(
-        self, df: DataFrame, table: str, run_id: str, partition_by: Sequence[str] = ()
+        self,
+        df: DataFrame,
+        table: str,
+        run_id: str,
+        partition_by: Sequence[str] = (),
+        sort_by: Sequence[str] = (),
+        measures: Mapping[str, Column] | None = None,
     ) -> DataFrame:
         """Create or replace the table of one run and return it as stored.
 
         Partitioned tables are rebalanced first: even files, and a partition value with many
-        rows is split over several tasks.
+        rows is split over several tasks. ``measures`` are aggregates that the writing tasks take
+        along (``measured``); a task that is run again counts once.
         """
+        columns = df.columns
         if partition_by:
             df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+        if sort_by:
+            df = df.sortWithinPartitions(*partition_by, *sort_by)
+        df, observed = self._observed(df, measures)
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(table, run_id))
-        return self.spark.read.schema(df.schema).parquet(self.path(table, run_id))
+        self._note(run_id, table, df, observed, partition_by=list(partition_by))
+        return self.spark.read.schema(df.schema).parquet(self.path(table, run_id)).select(*columns)
+
+    def write_bucketed(
+        self,
+        df: DataFrame,
+        table: str,
+        run_id: str,
+        key: str,
+        partition_by: Sequence[str] = (),
+        spread: bool = False,
+        measures: Mapping[str, Column] | None = None,
+    ) -> DataFrame:
+        """Like ``write``, in buckets of ``key``: rows of one key value are in one bucket.
+
+        ``spread`` deals the rows out by the key first; a bucket that is much larger than others is
+        then written by several tasks. Without it the rows' own distribution is kept, which should
+        follow the key already, else every task writes a file for every bucket.
+        """
+        columns = df.columns
+        if spread:
+            df = df.hint("rebalance", F.col(key))
+        df, observed = self._observed(df, measures)
+        path = self.path(table, run_id)
+        writer = df.write.mode("overwrite").format("parquet").option("path", path)
+        writer = writer.bucketBy(self.buckets, key).sortBy(key)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        name = _catalog_name(path)
+        writer.saveAsTable(name)
+        self._note(run_id, table, df, observed, partition_by=list(partition_by), key=key)
+        return self.spark.table(name).select(*columns)
+
+    def read_bucketed(self, table: str, run_id: str) -> DataFrame:
+        """A bucketed table of a committed run, in any session: its layout stands in the manifest."""
+        layout = self.manifest(run_id)["tables"][table]
+        path, split = self.path(table, run_id), layout["partition_by"]
+        name = _catalog_name(path)
+        if not self.spark.catalog.tableExists(name):
+            parts = f"PARTITIONED BY ({', '.join(split)}) " if split else ""
+            self.spark.sql(
+                f"CREATE TABLE {name} ({layout['schema']}) USING parquet {parts}"
+                f"CLUSTERED BY ({layout['key']}) SORTED BY ({layout['key']}) "
+                f"INTO {layout['buckets']} BUCKETS LOCATION '{path}'"
+            )
+            if split:
+                self.spark.sql(f"MSCK REPAIR TABLE {name}")
+        return self.spark.table(name)
+
+    def _observed(
+        self, df: DataFrame, measures: Mapping[str, Column] | None
+    ) -> tuple[DataFrame, Observation | None]:
+        # The aggregates stand right below the write, in the stage whose tasks count once only.
+        if not measures:
+            return df, None
+        watch = Observation(uuid.uuid4().hex)
+        return df.observe(watch, *[c.alias(name) for name, c in measures.items()]), watch
+
+    def _note(
+        self, run_id: str, table: str, df: DataFrame, watch: Observation | None, **layout: Any
+    ) -> None:
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        measured = {} if watch is None else dict(watch.get)
+        key = {"buckets": self.buckets} if "key" in layout else {}
+        entry = {"schema": ddl, "measured": measured, **layout, **key}
+        self._layouts.setdefault(run_id, {})[table] = entry
+
+    def measured(self, table: str, run_id: str) -> dict[str, Any]:
+        """What the writing tasks measured of a table of this store's own run."""
+        return self._layouts[run_id][table]["measured"]
+
+    # ---------------------------------------------------------------- manifests and retention
+
+    def _files(self) -> tuple[Any, Any]:
+        """The store's file system and a maker of paths in it."""
+        make = self.spark._jvm.org.apache.hadoop.fs.Path
+        return make(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration()), make
+
+    def put_text(self, relative: str, text: str) -> None:
+        """A small file that appears complete or not at all: written beside, then renamed over."""
+        files, make = self._files()
+        target = make(f"{self.root}/{relative}")
+        made = make(f"{self.root}/{relative}.{uuid.uuid4().hex}.tmp")
+        out = files.create(made, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        jvm = self.spark._jvm
+        over = self.spark.sparkContext._gateway.new_array(
+            getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1
+        )
+        over[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            target.toUri() if target.isAbsolute() and target.toUri().getScheme() else files.getUri(),
+            self.spark._jsc.hadoopConfiguration(),
+        )
+        context.rename(made, target, over)
+
+    def get_text(self, relative: str) -> str | None:
+        files, make = self._files()
+        path = make(f"{self.root}/{relative}")
+        if not files.exists(path):
+            return None
+        stream = files.open(path)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def commit(self, run_id: str, seq: str) -> None:
+        """Name the run and its tables in a manifest. ``seq`` orders runs, the later the greater."""
+        manifest = {"run_id": run_id, "seq": seq, "tables": self._layouts.get(run_id, {})}
+        self.put_text(f"manifests/{run_id}.json", json.dumps(manifest, default=str))
+
+    def manifest(self, run_id: str) -> dict[str, Any] | None:
+        text = self.get_text(f"manifests/{run_id}.json")
+        return None if text is None else json.loads(text)
+
+    def committed(self) -> list[str]:
+        """Run ids that have a manifest, the newest first."""
+        files, make = self._files()
+        folder = make(f"{self.root}/manifests")
+        if not files.exists(folder):
+            return []
+        names = [str(x.getPath().getName()) for x in files.listStatus(folder)]
+        found = [self.manifest(n.removesuffix(".json")) for n in names if n.endswith(".json")]
+        return [m["run_id"] for m in sorted(found, key=lambda m: m["seq"], reverse=True)]
+
+    def sweep(self, keep: int, also: Sequence[str] = ()) -> list[str]:
+        """Remove all run folders but those of the ``keep`` newest manifests and of ``also``; returns what went.
+
+        ``also`` names runs that are under way. The manifest goes first, so a sweep that is interrupted
+        leaves an unnamed folder, never a named run without its files.
+        """
+        files, make = self._files()
+        marked = {*self.committed()[:keep], *also}
+        folder = make(f"{self.root}/runs")
+        if not files.exists(folder):
+            return []
+        gone = []
+        for run_id in sorted(str(x.getPath().getName()) for x in files.listStatus(folder)):
+            if run_id in marked:
+                continue
+            manifest = self.manifest(run_id) or {"tables": {}}
+            files.delete(make(f"{self.root}/manifests/{run_id}.json"), True)
+            for table, layout in manifest["tables"].items():
+                if "key" in layout:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {_catalog_name(self.path(table, run_id))}")
+            files.delete(make(f"{self.root}/runs/{run_id}"), True)
+            gone.append(run_id)
+        return gone
 
     def read(
         self, table: str, run_id: str | None, schema: T.StructType | str | None = None
@@ -109,18 +283,9 @@ class TableStore:
                 raise
             return empty
 
-    def quality_results(self) -> DataFrame:
-        """Check results of all runs."""
-        return self._read_or_empty(f"{self.root}/runs/*/{QUALITY_RESULTS}", QUALITY_RESULTS)
-
-    def _read_or_empty(self, path: str, table: str, extra: str = "") -> DataFrame:
-        schema = T.StructType.fromDDL(SCHEMAS[table] + extra)
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as exc:
-            if exc.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+    def quality_results(self, run_id: str | None) -> DataFrame:
+        """Check results of one run, from its own folder."""
+        return self.read(QUALITY_RESULTS, run_id, schema_of(QUALITY_RESULTS))
 
     # ---------------------------------------------------------------- events
 
@@ -141,11 +306,47 @@ class TableStore:
             f"{self.root}/events/{table}"
         )
 
+    def event_files(self, table: str) -> list[str]:
+        """The files that hold the events: those of the base, if any, and the tail behind it."""
+        files, make = self._files()
+        pointer = json.loads(self.get_text(f"events/{table}-base.json") or '{"base": null, "covers": []}')
+        covered = set(pointer["covers"])
+
+        def listed(path: str) -> list[str]:
+            folder = make(path)
+            found = files.listStatus(folder) if files.exists(folder) else []
+            names = [(str(x.getPath().getName()), x.getPath().toString()) for x in found]
+            return [full for name, full in sorted(names) if name.startswith("part-") and name not in covered]
+
+        base = [] if pointer["base"] is None else listed(f"{self.root}/{pointer['base']}")
+        return base + listed(f"{self.root}/events/{table}")
+
+    def compact_events(self, table: str) -> int:
+        """Fold all events into one base file; returns how many files it replaced.
+
+        The base is complete before the pointer names it, and readers skip what the pointer covers, so
+        no event is lost or read twice at any time; covered files are removed last. One writer at a time.
+        """
+        files, make = self._files()
+        old = self.event_files(table)
+        if len(old) < 2:
+            return 0
+        base = f"events/{table}-base-{uuid.uuid4().hex}"
+        schema = T.StructType.fromDDL(f"{SCHEMAS[table]}, {_EVENT_COLUMNS}")
+        events = self.spark.read.schema(schema).parquet(*old)
+        events.coalesce(1).write.parquet(f"{self.root}/{base}")
+        names = [path.rsplit("/", 1)[1] for path in old]
+        self.put_text(f"events/{table}-base.json", json.dumps({"base": base, "covers": names}))
+        for path in old:
+            files.delete(make(path), False)
+        return len(old)
+
     def events(self, table: str, history: str) -> DataFrame:
-        path = f"{self.root}/events/{table}"
-        return self._read_or_empty(path, table, f", {_EVENT_COLUMNS}").filter(
-            F.col("history") == history
-        )
+        schema = T.StructType.fromDDL(f"{SCHEMAS[table]}, {_EVENT_COLUMNS}")
+        found = self.event_files(table)
+        if not found:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*found).filter(F.col("history") == history)
 
     def current(self, table: str, history: str) -> DataFrame:
         """Latest event per key with the declared columns only."""
@@ -162,6 +363,10 @@ class TableStore:
         return runs.agg(F.max("completed_at_utc")).first()[0]
 
 
+def _catalog_name(path: str) -> str:
+    return f"plumbline_{hashlib.md5(path.encode()).hexdigest()}"
+
+
 def latest_events(
     events: DataFrame, key: str, columns: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
