@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import sys
 import types
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import shipped
 
-#: Distinct chunks that a worker remembers; beyond them it starts anew.
-TABLE_CHUNKS = 500_000
+#: Distinct chunks in a worker's table. A full table is put aside, and what is met again is taken over from it.
+TABLE_CHUNKS = 300_000
 #: Bytes of text that are cut and joined at once, one text at least.
 SLICE_BYTES = 4 << 20
 MARKER = "▁"
@@ -69,19 +70,22 @@ class Segmenter:
         self._most = most
         self._single = np.array([self.library.piece_to_id(MARKER)], "<i4").tobytes()
         self.table: dict[bytes, bytes] = {b" ": self._single}
+        self._aside: dict[bytes, bytes] = {}
         self.segmented = 0
 
     def _learn(self, chunks: set[bytes]) -> None:
-        """Segments those of ``chunks`` that the table lacks, each once; the library itself puts a marker in front."""
+        """Segments those of ``chunks`` that are not known, each once; the library itself puts a marker in front."""
         new = chunks - self.table.keys()
         if new and len(self.table) + len(new) > self._most:
-            self.table = {b" ": self._single}
+            self._aside, self.table = self.table, {b" ": self._single}
             new = chunks - self.table.keys()
-        if not new:
-            return
-        self.segmented += len(new)
-        for chunk, ids in zip(new, self.library.encode([c[1:] for c in new], num_threads=1), strict=True):
-            self.table[chunk] = np.array(ids, "<i4").tobytes()
+        met = new & self._aside.keys()
+        self.table.update((c, self._aside[c]) for c in met)
+        unknown = list(new - met)
+        if unknown:
+            self.segmented += len(unknown)
+            for chunk, ids in zip(unknown, self.library.encode([c[1:] for c in unknown], num_threads=1), strict=True):
+                self.table[chunk] = array("i", ids).tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""

@@ -46,12 +46,14 @@ def test_each_distinct_chunk_is_segmented_once():
     assert segmenter.segmented == len(set(text.split()) | set(text[::-1].split()))
 
 
-def test_a_full_table_starts_anew():
+def test_a_full_table_is_put_aside():
     segmenter = pieces.Segmenter(MODEL, most=50)
+    often = "often " * 3
     for seed in range(30):
-        text = prose(seed, 40)
+        text = often + prose(seed, 40)
         assert by_table(segmenter, [text, "  " + text]) == LIBRARY.encode([text, "  " + text])
-        assert len(segmenter.table) <= 50 + 2 * 41
+        assert len(segmenter.table) <= 50 + 2 * 42
+    assert segmenter.segmented <= 30 * 41 + 2  # the frequent word is never segmented again
 
 
 def test_models_that_cannot_be_cut_take_whole_texts():
