@@ -6,7 +6,7 @@ feeds; serving queries read a published build of the same directory.
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
@@ -125,12 +125,15 @@ _PUBLISHED: dict[tuple[str, str, str], TableStore] = {}
 
 
 def build(
-    spark: SparkSession, directory: str, variant: str
+    spark: SparkSession, directory: str, variant: str, purpose: str
 ) -> tuple[TableStore, BuildResult]:
-    """One complete build into a new folder below the shared checkpoint folder."""
+    """One complete build into the product folder of a directory, variant and purpose.
+
+    The folder is named, not new each time: a later build replaces the run, and older runs go.
+    """
     prepare(spark)
-    base = TableStore(spark).root
-    store = TableStore(spark, f"{base}/{uuid.uuid4().hex}")
+    mark = hashlib.md5(directory.encode()).hexdigest()[:12]
+    store = TableStore(spark, f"{TableStore(spark).root}-products/{purpose}-{variant}-{mark}")
     result = run_build(
         spark,
         trade(spark, directory, variant).feeds.feed_set,
@@ -140,6 +143,7 @@ def build(
         AS_OF,
         run_id=run_id(variant),
         clock=lambda: datetime.fromisoformat(AS_OF),
+        keep_runs=2,
     )
     return store, result
 
@@ -149,7 +153,7 @@ def published(spark: SparkSession, directory: str, variant: str = "repaired") ->
     prepare(spark)
     key = (spark.sparkContext.applicationId, directory, variant)
     if key not in _PUBLISHED:
-        _PUBLISHED[key] = build(spark, directory, variant)[0]
+        _PUBLISHED[key] = build(spark, directory, variant, "served")[0]
     return open_product(_PUBLISHED[key], CONTRACT)
 
 
@@ -338,7 +342,7 @@ def pipeline_evidence(product: Product) -> DataFrame:
 
 def pipeline_build(spark: SparkSession, directory: str) -> DataFrame:
     """A complete new build; its run record without the measured duration."""
-    store, _ = build(spark, directory, "repaired")
+    store, _ = build(spark, directory, "repaired", "rebuilt")
     return open_product(store, CONTRACT).runs.drop("duration_ms")
 
 
