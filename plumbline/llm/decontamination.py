@@ -41,43 +41,55 @@ UNITS = (
     "weeks week months month years year kmh mph hz khz mhz ghz w kw mw kwh j kj cal kcal v a k c f percent degrees degree "
     "dollars dollar usd euros euro eur cents pounds kb mb gb tb bytes bits"
 ).split()
-#: Signs of names within sentences, numbers, units, and capitalised words that may be names at the start of a sentence.
+#: Placeholders. Before a token stands NAME if it is a name within a sentence, START if it is another
+#: capitalised word or a number.
 NAME, NUMBER, UNIT, START = "\u0001", "\u0002", "\u0003", "\u0004"
 _SIGNS = NAME + NUMBER + UNIT + START
 #: Kinds of windows.
 _PLAIN, _TEMPLATE = 0, 1
 
 
-def values_text(text: Column) -> Column:
-    """Tokens in lower case separated by single blanks; names, numbers and capitalised words carry a sign in front.
+def signed_tokens(text: Column) -> Column:
+    """Tokens in lower case; names, numbers and other capitalised words carry a sign in front.
 
     A name is a capitalised word after a lower-case letter, digit or comma and a blank, that is, not
-    at the start of a sentence. A number may hold points and commas between its digits.
+    at the start of a sentence. A number may hold points and commas between its digits. Patterns begin with
+    what is rare, so that most characters are passed over at the first look.
     """
-    out = F.translate(F.coalesce(text, F.lit("")), _SIGNS, " " * len(_SIGNS))
-    out = F.regexp_replace(out, r"(?<=[\p{Ll}\p{N},;)][ \t\n])(?=\p{Lu}\p{Ll})", NAME)
-    out = F.regexp_replace(out, rf"(?<![\p{{L}}\p{{M}}\p{{N}}{NAME}])(?=\p{{Lu}}\p{{Ll}})", START)
-    out = F.regexp_replace(out, r"(?<![\p{L}\p{M}\p{N}.,])(?=[0-9])", NUMBER)
-    out = F.regexp_replace(out, rf"[.,](?![0-9])|(?<![0-9])[.,]|[^\p{{L}}\p{{M}}\p{{N}}{NAME}{NUMBER}{START}.,]+", " ")
-    return F.trim(F.regexp_replace(F.lower(out), " {2,}", " "))
+    out = F.coalesce(text, F.lit(""))
+    foreign = out.contains(_SIGNS[0]) | out.contains(_SIGNS[1]) | out.contains(_SIGNS[2]) | out.contains(_SIGNS[3])
+    out = F.when(foreign, F.translate(out, _SIGNS, " " * len(_SIGNS))).otherwise(out)
+    capital, number = r"(?=\p{Lu})(?<![\p{L}\p{M}\p{N}])(?=\p{Lu}\p{Ll})", r"(?=[0-9])(?<![\p{L}\p{M}\p{N}.,])"
+    out = F.regexp_replace(out, f"{capital}|{number}", START)
+    out = F.regexp_replace(out, rf"{START}(?=\p{{Lu}})(?<=[\p{{Ll}}\p{{N}},;)][ \t\n]{START})", NAME)
+    word = r"[\p{L}\p{M}\p{N}]++"
+    return F.regexp_extract_all(F.lower(out), F.lit(f"[{NAME}{START}]?{word}(?:(?<=[0-9])[.,](?=[0-9]){word})*+"), F.lit(0))
 
 
-def plain_text(values: Column) -> Column:
-    return F.translate(values, _SIGNS, "")
+def _plain(token: Column) -> Column:
+    return F.when(token < "\u0005", F.substring(token, 2, 1 << 30)).otherwise(token)
 
 
-def template_texts(values: Column) -> tuple[Column, Column]:
-    """The same tokens, one for one, with placeholders for names, numbers and units after numbers.
+def _is_number(token: Column) -> Column:
+    return token.between(START + "0", START + ":")
 
-    In the second form every capitalised word is a name.
-    """
-    out = F.regexp_replace(values, f"({NUMBER}[^ ]+) (?:{'|'.join(UNITS)})(?= |$)", f"$1 {UNIT}")
-    out = F.regexp_replace(out, f"([{NAME}{NUMBER}])[^ ]+", "$1")
-    return F.translate(out, START, ""), F.regexp_replace(out, f"{START}[^ ]+", NAME)
+
+def _template(tokens: str, i: Column, token: Column, everywhere: bool) -> Column:
+    """The token's placeholder, or the token; ``everywhere``: every capitalised word is a name."""
+    before = F.get(tokens, i - 1)
+    unit = token.isin(*UNITS) & F.coalesce(_is_number(before), F.lit(False))
+    signed = F.when(_is_number(token), NUMBER)
+    signed = signed.otherwise(F.lit(NAME) if everywhere else F.when(token < "\u0002", NAME).otherwise(F.substring(token, 2, 1 << 30)))
+    return F.when(token < "\u0005", signed).when(unit, UNIT).otherwise(token)
 
 
-def _tokens(text: Column) -> Column:
-    return F.array_remove(F.split(text, " "), "")
+def _forms(of: str) -> list[Column]:
+    """Plain tokens and the two template forms of the signed tokens ``of``, one for one."""
+    return [
+        F.transform(of, _plain),
+        F.transform(of, lambda x, i: _template(of, i, x, False)),
+        F.transform(of, lambda x, i: _template(of, i, x, True)),
+    ]
 
 
 def _literal(token: Column) -> Column:
@@ -85,17 +97,9 @@ def _literal(token: Column) -> Column:
 
 
 def _parsed(rows: DataFrame, text: str) -> DataFrame:
-    """Adds ``w`` (plain tokens), ``t`` and ``t2`` (template tokens), one for one. Forms that say no more than others are empty."""
-    rows = rows.withColumn("_vt", values_text(F.col(text)))
-    first, second = template_texts(F.col("_vt"))
-    rows = rows.withColumn("_w", plain_text(F.col("_vt"))).withColumn("_t", first).withColumn("_t2", second)
-    none = F.array().cast("array<string>")
-    return (
-        rows.withColumn("w", _tokens(F.col("_w")))
-        .withColumn("t", F.when(F.col("_t") != F.col("_w"), _tokens(F.col("_t"))).otherwise(none))
-        .withColumn("t2", F.when(F.col("_t2") != F.col("_t"), _tokens(F.col("_t2"))).otherwise(none))
-        .drop("_vt", "_w", "_t", "_t2")
-    )
+    """Adds ``w`` (plain tokens), ``t`` and ``t2`` (template tokens), one for one."""
+    signed = rows.withColumn("_v", signed_tokens(F.col(text)))
+    return signed.withColumns(dict(zip(("w", "t", "t2"), _forms("_v"), strict=True))).drop("_v")
 
 
 def _starts(tokens: str, n: int) -> Column:
@@ -120,19 +124,16 @@ def _window_hashes(n: int) -> list[Column]:
 def _window_rows(rows: DataFrame, n: int) -> DataFrame:
     """A row for each window of ``n`` tokens: kind, ``pos``, ``m`` (tokens to match) and ``v`` (plain tokens)."""
 
-    def of(form: int, tokens: str, kind: int) -> Column:
-        return F.transform(_starts(tokens, n), lambda i: F.struct(F.lit(form).alias("form"), F.lit(kind).alias("kind"), i.alias("pos")))
+    def of(tokens: str, kind: int) -> Column:
+        def one(i: Column) -> Column:
+            return F.struct(F.lit(kind).alias("kind"), i.alias("pos"), F.slice(tokens, i + 1, n).alias("m"), F.slice("w", i + 1, n).alias("v"))
+
+        return F.transform(_starts(tokens, n), one)
 
-    at = rows.withColumn("_at", F.explode(F.concat(of(0, "w", _PLAIN), of(1, "t", _TEMPLATE), of(2, "t2", _TEMPLATE))))
-    chosen = F.when(F.col("_at.form") == 0, F.col("w")).when(F.col("_at.form") == 1, F.col("t")).otherwise(F.col("t2"))
-    cut = at.select(
-        *[c for c in rows.columns if c not in ("w", "t", "t2")],
-        F.col("_at.kind").alias("kind"),
-        F.col("_at.pos").alias("pos"),
-        F.slice(chosen, F.col("_at.pos") + 1, n).alias("m"),
-        F.slice("w", F.col("_at.pos") + 1, n).alias("v"),
-    )
-    return cut
+    # Windows are cut inside their row: an exploded row holds a window, never the whole text again.
+    kept = [c for c in rows.columns if c not in ("w", "t", "t2")]
+    windows = rows.select(*kept, F.concat(of("w", _PLAIN), of("t", _TEMPLATE), of("t2", _TEMPLATE)).alias("_windows"))
+    return windows.select(*kept, F.inline_outer("_windows")).filter("pos is not null")
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -158,12 +159,12 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 def short_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(body, item, coverage): items of one or two tokens in texts that hold them as a whole line or sentence."""
     given = benchmark.select(F.col("text").cast("string").alias("text")).distinct()
-    form = F.array_join(_tokens(plain_text(values_text(F.col("text")))), " ")
+    form = F.array_join(F.transform(signed_tokens(F.col("text")), _plain), " ")
     few = given.withColumn("form", form).filter((F.size(F.split("form", " ")) < MIN_TOKENS) & (F.col("form") != ""))
     items = written(few.select("form", F.md5("text").alias("item")), "short-items")
     if not items.limit(1).count():
         return items.select(F.col("item").alias("body"), "item", F.lit(1.0).alias("coverage"))
-    lines = docs.select(F.md5("text").alias("body"), F.explode(F.split("text", r"[\n\r]+|[.!?;:]+(?=\s|$)")).alias("text"))
+    lines = docs.select(F.md5("text").alias("body"), F.explode_outer(F.split("text", r"[\n\r]+|[.!?;:]+(?=\s|$)")).alias("text"))
     said = lines.select("body", form.alias("form"))
     return joined_small(said, items, "form", "inner", small(items, "form")).select("body", "item", F.lit(1.0).alias("coverage")).distinct()
 
@@ -187,9 +188,17 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: flo
 
 def _candidates(texts: DataFrame, items: DataFrame, lengths: list[int], cover: float) -> DataFrame:
     """(key, item): texts, by hash, that share enough windows with an item."""
-    hashed = _parsed(texts.select(F.xxhash64("text").alias("key"), "text"), "text")
-    hashed = hashed.select("key", *[F.transform(c, lambda x: F.xxhash64(x)).alias(f"h{c}") for c in ("w", "t", "t2")])
-    windows = hashed.select("key", F.explode(F.concat(*[h for n in lengths for h in _window_hashes(n)])).alias("h"))
+    signed = texts.select(F.xxhash64("text").alias("key"), signed_tokens(F.col("text")).alias("v"))
+    hashed = signed.select("key", *[
+        F.transform("v", f).alias(name)
+        for name, f in (
+            ("hw", lambda x: F.xxhash64(_plain(x))),
+            ("ht", lambda x, i: F.xxhash64(_template("v", i, x, False))),
+            ("ht2", lambda x, i: F.xxhash64(_template("v", i, x, True))),
+        )
+    ])
+    # The outer form: for the inner one the optimizer filters empty arrays first, by computing them a second time.
+    windows = hashed.select("key", F.explode_outer(F.concat(*[h for n in lengths for h in _window_hashes(n)])).alias("h"))
     wanted = items.select("h").distinct()
     hit = joined_small(windows, wanted, "h", "left_semi", small(wanted, limit=HASH_BYTES)).distinct()
     own = items.select("h", "item", "ipos", "n", "length")
@@ -200,24 +209,23 @@ def _candidates(texts: DataFrame, items: DataFrame, lengths: list[int], cover: f
 
 
 def _matches(texts: DataFrame, items: DataFrame, enough: DataFrame, lengths: list[int]) -> DataFrame:
-    """(body, item, length, n, kind, dpos, ipos, slots): equal windows of candidates, token for token.
+    """(key, item, length, n, kind, dpos, ipos, slots): equal windows of candidates, token for token.
 
     ``slots`` names for each placeholder the benchmark's value and the document's.
     """
     few = enough.select("key").distinct()
     keyed = texts.select(F.xxhash64("text").alias("key"), "text")
     # Copies are verified once.
-    bodies = joined_small(keyed, few, "key", "left_semi", small(few)).distinct().withColumn("body", F.md5("text"))
-    bodies = _parsed(bodies, "text").drop("text")
+    bodies = _parsed(joined_small(keyed, few, "key", "left_semi", small(few)).distinct(), "text").drop("text")
     fits, pairs_fit = small(items, "m", "v", "item", limit=HASH_BYTES), small(enough, "item")
     slots = F.filter(F.arrays_zip("m", "v", "dv"), lambda s: ~_literal(s["m"]))
     slots = F.transform(slots, lambda s: F.struct(F.concat(s["m"], s["v"]).alias("slot"), s["dv"].alias("value")))
     out = None
     for n in lengths:
-        places = _window_rows(bodies, n).select("key", "body", "kind", F.col("pos").alias("dpos"), "m", F.col("v").alias("dv"))
+        places = _window_rows(bodies, n).select("key", "kind", F.col("pos").alias("dpos"), "m", F.col("v").alias("dv"))
         own = items.filter(F.col("n") == n).drop("h")
         placed = joined_small(joined_small(places, own, ["kind", "m"], "inner", fits), enough, ["key", "item"], "left_semi", pairs_fit)
-        rows = placed.select("body", "item", "length", "n", "kind", "dpos", "ipos", slots.alias("slots"))
+        rows = placed.select("key", "item", "length", "n", "kind", "dpos", "ipos", slots.alias("slots")).dropDuplicates(["key", "item", "kind", "dpos", "ipos", "slots"])
         out = rows if out is None else out.unionByName(rows)
     return written(out, "matches")
 
@@ -228,33 +236,38 @@ def _occurrences(texts: DataFrame, items: DataFrame, lengths: list[int], cover:
     Three views of what belongs to one occurrence: a band of shifts (inserted or left-out tokens, other
     matches beside it), an island of matches (any number of inserted runs), and, for plain windows, the text.
     """
-    matched = _matches(texts, items, _candidates(texts, items, lengths, cover), lengths)
-    inside = Window.partitionBy("body", "item").orderBy("dpos", "ipos")
+    enough = _candidates(texts, items, lengths, cover)
+    matched = _matches(texts, items, enough, lengths)
+    inside = Window.partitionBy("key", "item").orderBy("dpos", "ipos")
     apart = F.coalesce(F.col("dpos") - F.lag("dpos").over(inside) > GAP_LENGTHS * F.col("length"), F.lit(False))
     islands = matched.withColumn("_new", apart.cast("int")).withColumn("island", F.sum("_new").over(inside))
     shift = F.col("dpos") - F.col("ipos")
-
-    def view(scope: str, number: Column) -> Column:
-        return F.struct(F.lit(scope).alias("scope"), number.cast("bigint").alias("number"))
-
-    views = [view("band", F.floor((shift + half * BAND / 2) / BAND) * 2 + half) for half in (0, 1)]
-    views += [view("island", F.col("island")), F.when(F.col("kind") == _PLAIN, view("text", F.lit(0)))]
-    spread = islands.withColumn("seen", F.explode(F.array_compact(F.array(*views)))).drop("_new", "island")
+    # A view and its number in one integer: bands by shift, islands, and the text for plain windows.
+    views = [(F.floor((shift + half * BAND / 2) / BAND) * 2 + half) * 4 for half in (0, 1)]
+    views += [F.col("island") * 4 + 1, F.when(F.col("kind") == _PLAIN, F.lit(2))]
+    seen = F.array_compact(F.array(*[v.cast("bigint") for v in views]))
+    spread = islands.withColumn("seen", F.explode(seen)).select("key", "item", "seen", "length", "n", "dpos", "ipos", "slots")
 
     # Slots: what each benchmark value stands for, by majority within the occurrence.
-    occurrence = ["body", "item", "seen"]
-    filled = spread.filter(F.size("slots") > 0).select(*occurrence, "dpos", "ipos", F.explode("slots").alias("s")).select(*occurrence, "dpos", "ipos", "s.slot", "s.value")
+    occurrence = ["key", "item", "seen"]
+    open_rows = spread.filter(F.size("slots") > 0)
+    filled = open_rows.select(*occurrence, "dpos", "ipos", F.inline("slots"))
     votes = filled.groupBy(*occurrence, "slot", "value").agg(F.count(F.lit(1)).alias("n"))
     chosen = votes.groupBy(*occurrence, "slot").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("choice"))
     broken = filled.join(chosen, [*occurrence, "slot"]).filter("value != choice").select(*occurrence, "dpos", "ipos").distinct()
-    sound = spread.filter(F.size("slots") == 0).select(*occurrence, "length", "n", "ipos").unionByName(
-        spread.filter(F.size("slots") > 0).join(broken, [*occurrence, "dpos", "ipos"], "left_anti").select(*occurrence, "length", "n", "ipos")
-    )
-
-    # Coverage of the item by sound windows of one occurrence.
-    covered = sound.distinct().select(*occurrence, "length", F.explode(F.sequence(F.col("ipos"), F.col("ipos") + F.col("n") - 1)).alias("token"))
-    shares = covered.groupBy(*occurrence).agg((F.countDistinct("token") / F.min("length")).alias("coverage"))
-    return shares.filter(F.col("coverage") >= cover).select("body", "item", "coverage")
+    columns = [*occurrence, "length", "n", "ipos"]
+    sound = spread.filter(F.size("slots") == 0).select(columns).unionByName(open_rows.join(broken, [*occurrence, "dpos", "ipos"], "left_anti").select(columns))
+
+    # Coverage of the item by sound windows of one occurrence; an item's length bounds its positions.
+    places = sound.groupBy(*occurrence).agg(F.array_sort(F.collect_set("ipos")).alias("at"), F.min("length").alias("length"), F.min("n").alias("n"))
+    steps = F.transform("at", lambda p, k: F.least(F.col("n"), F.coalesce(F.get("at", k + 1) - p, F.col("n"))))
+    coverage = F.aggregate(steps, F.lit(0), lambda total, x: total + x) / F.col("length")
+    shares = places.select("key", "item", coverage.alias("coverage")).filter(F.col("coverage") >= cover)
+    best = shares.groupBy("key", "item").agg(F.max("coverage").alias("coverage"))
+    # Back from the hash to the texts, once each.
+    held = texts.select(F.xxhash64("text").alias("key"), F.md5("text").alias("body"))
+    named = joined_small(held, best, "key", "inner", small(best, "item"))
+    return named.select("body", "item", "coverage").distinct()
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: float = COVER) -> DataFrame:
