@@ -214,6 +214,29 @@ def rate_gaps(transactions: DataFrame, rates: DataFrame, contract: HealthContrac
     return used.join(known, ["order_date", "currency_code"], "left_anti")
 
 
+def rate_gap_ranges(transactions: DataFrame, rates: DataFrame, contract: HealthContract) -> DataFrame:
+    """Runs of consecutive days that need a rate and have none: one row for each run and currency.
+
+    Days are numbered after they were added up to one row a day, so a run's size does not depend on
+    how many transactions it has.
+    """
+    days = rate_gaps(transactions, rates, contract)
+    number = F.row_number().over(Window.partitionBy("currency_code").orderBy("order_date"))
+    # Within a run the date moves with the number, so their difference names the run.
+    run = F.date_sub(F.col("order_date"), number)
+    return (
+        days.withColumn("_run", run)
+        .groupBy("currency_code", "_run")
+        .agg(
+            F.min("order_date").alias("first_day"),
+            F.max("order_date").alias("last_day"),
+            F.count(F.lit(1)).alias("days"),
+            F.sum("transactions").alias("transactions"),
+        )
+        .drop("_run")
+    )
+
+
 def batch_invariants(
     orders: DataFrame,
     returns: DataFrame,

@@ -6,6 +6,8 @@ correlated tests instead of joins, and so on.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from plumbline.operators.audits import HASH_DIGITS
 from plumbline.operators.scans import SECRET_PATTERNS
 from plumbline.queries import (
@@ -487,12 +489,13 @@ def _refusal() -> str:
     )
 
 
+_SHARE = "CAST(round((coalesce(net, 0) - coalesce(target, 0)) / nullif(target, 0), 6) AS DECIMAL(18,6))"
 _MEASURES = (
     f"CAST(gross AS {D18}) AS gross_revenue_cad, CAST(returned AS {D18}) AS returns_cad, "
     f"CAST(net AS {D18}) AS net_revenue_cad, CAST(target AS {D18}) AS revenue_target_cad, "
     f"CAST(coalesce(net, 0) - coalesce(target, 0) AS {D18}) AS variance_to_target_cad, "
-    "CAST(round((coalesce(net, 0) - coalesce(target, 0)) / nullif(target, 0), 6) "
-    "AS DECIMAL(18,6)) AS variance_to_target_pct, "
+    + _SHARE
+    + " AS variance_to_target_pct, "
 )
 
 
@@ -527,8 +530,26 @@ def _measures(
     )
 
 
+def _cube() -> str:
+    """Every grain asked on its own. Among thousands of cells some shares end in an exact half of the last
+    digit, which a division of doubles rounds either way, so the share is rounded half up in whole numbers."""
+    gap, goal = "CAST(100 * (coalesce(net, 0) - coalesce(target, 0)) AS HUGEINT)", "CAST(100 * nullif(target, 0) AS HUGEINT)"
+    millionths = f"(2000000 * abs({gap}) + abs({goal})) // (2 * abs({goal}))"
+    exact = f"CAST(sign({gap}) * sign({goal}) * ({millionths}) AS DECIMAL(24,0)) * 0.000001::DECIMAL(7,6)"
+    exact = f"CAST({exact} AS DECIMAL(18,6))"
+    columns = {"region_code": ("region_code",) * 2, "year_month": ("year_month", "target_month"), "category_code": ("category_code",) * 2}
+    parts = []
+    for size in range(len(columns) + 1):
+        for chosen in combinations(columns, size):
+            rolled = "".join(f"CAST(NULL AS VARCHAR) AS {c}, " for c in columns if c not in chosen)
+            one = _measures({c: columns[c] for c in chosen}, "").replace(_SHARE, exact)
+            parts.append(f"SELECT '{','.join(chosen)}' AS grain, {rolled} * FROM ({one})")
+    return " UNION ALL BY NAME ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     sql = _written()
+    sql["measures_cube"] = _cube()
     # The split paths must give what the plain ones give.
     for name in ("order_versions", "returns_reconciled_b"):
         sql[name.removesuffix("_b") + "_split"] = sql[name]
@@ -545,6 +566,9 @@ def _written() -> dict[str, str]:
     def bad(*names: str) -> str:
         return _cte(*names, variant="broken")
 
+    def lines(column: str) -> str:
+        return f"array_to_string(string_split({column}, ' | '), chr(10)) AS {column}"
+
     check = "SELECT check_name, CAST(n AS BIGINT) AS observed_value FROM obs WHERE check_name IN "
     gov_columns = (
         "order_id, event_id, event_version, order_timestamp_utc, order_date, region_code, "
@@ -648,6 +672,22 @@ def _written() -> dict[str, str]:
         + "SELECT order_date, currency_code, count(*) AS transactions FROM gov "
         "WHERE currency_code = 'USD' AND order_date NOT IN (SELECT rate_date FROM fx) "
         "GROUP BY ALL",
+        "fx_gap_ranges_b": bad("gov", "fx")
+        + ", gap AS (SELECT order_date, currency_code, count(*) AS n FROM gov WHERE currency_code = 'USD' "
+        "AND order_date NOT IN (SELECT rate_date FROM fx) GROUP BY ALL), "
+        "heads AS (SELECT *, coalesce(lag(order_date) OVER w < order_date - 1, true) AS head FROM gap "
+        "WINDOW w AS (PARTITION BY currency_code ORDER BY order_date)), "
+        "runs AS (SELECT *, sum(CAST(head AS INT)) OVER (PARTITION BY currency_code ORDER BY order_date) AS run FROM heads) "
+        "SELECT currency_code, min(order_date) AS first_day, max(order_date) AS last_day, count(*) AS days, "
+        "CAST(sum(n) AS BIGINT) AS transactions FROM runs GROUP BY currency_code, run",
+        "facts_json": good("rawa", "rawq")
+        + "SELECT rawa.revenue, rawa.variance_pct, rawa.latest_orders_ingested_at_utc, driver_code, driver_variance_cad, "
+        "category_code, category_name, rawq.revenue AS actual_cad, rawq.target_cad, "
+        f"CAST(rawq.revenue - rawq.target_cad AS {D18}) AS variance_cad FROM rawq CROSS JOIN rawa",
+        "health_report_b": bad("hea")
+        + f"SELECT * REPLACE ({lines('blocking_reasons')}, {lines('warning_reasons')}) FROM hea",
+        "run_list_b": bad("hea", "fo", "fr", "sales")
+        + f"SELECT * REPLACE ({lines('failure_reasons')}, {lines('warning_reasons')}) FROM ({run_counts})",
         "check_freshness_b": bad("obs") + check + "('ORDERS_FRESHNESS', 'RETURNS_FRESHNESS')",
         "check_duplicate_keys": good("obs") + check + "('DUPLICATE_BUSINESS_KEYS')",
         "check_missing_fx_b": bad("obs") + check + "('MISSING_FX')",

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import money
@@ -146,3 +146,53 @@ def measures(
             "net_revenue_cad_trusted"
         ),
     )
+
+
+CUBE_GRAINS = ("region", "month", "category")
+
+
+def measure_cube(product: Product) -> DataFrame:
+    """All measures at every grain of region, month and category, from one pass over each fact.
+
+    Both facts are added up once at the finest grain and meet there; all coarser grains, the total
+    included, are grouping sets of those cells. ``grain`` names the columns that a row stands for;
+    rolled up columns are NULL. The worst category of a group is found among the group's own
+    category rows of the same result.
+    """
+    keys = [GRAINS[name][2] for name in CUBE_GRAINS]
+    figures = ("gross_revenue_cad", "returns_cad", "net_revenue_cad", "revenue_target_cad")
+    cells = _by_grain(product, CUBE_GRAINS, {})
+    rolled = {k: F.col(f"_rolled_{k}") for k in keys}
+    sums = cells.cube(*keys).agg(
+        *[money(F.sum(c)).alias(c) for c in figures],
+        *[F.grouping(k).cast("int").alias(f"_rolled_{k}") for k in keys],
+    )
+    names = product.dim_category.select("category_code", "category_name")
+    scored = sums.join(names, "category_code", "left").withColumn("_gap", variance())
+    category = rolled["category_code"] == 0
+    below = category & (F.col("_gap") < 0)
+    group = [c for k in keys if k != "category_code" for c in (rolled[k], F.col(k))]
+    worst = F.max_by(
+        F.when(below, F.col("category_name")),
+        F.when(below, F.struct(-F.col("_gap"), F.col("category_name"))),
+    ).over(Window.partitionBy(*group))
+    own = F.when(below, F.col("category_name"))
+    scored = scored.withColumn("_worst", worst).crossJoin(
+        F.broadcast(status_measures(product))  # a global aggregate: exactly one row
+    )
+    share = F.col("_gap") / F.nullif(F.col("revenue_target_cad"), F.lit(0).cast("decimal(18,2)"))
+    shown = F.array_compact(F.array(*[F.when(rolled[k] == 0, F.lit(k)) for k in keys]))
+    return scored.select(
+        F.array_join(shown, ",").alias("grain"),
+        *keys,
+        *figures,
+        F.col("_gap").alias("variance_to_target_cad"),
+        share.cast("decimal(18,6)").alias("variance_to_target_pct"),
+        F.when(category, own).otherwise(F.col("_worst")).alias("largest_negative_category"),
+        "latest_refresh_utc",
+        "data_product_status",
+        "data_is_trusted",
+        F.when(F.col("data_is_trusted"), F.col("net_revenue_cad")).alias(
+            "net_revenue_cad_trusted"
+        ),
+    )

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions.columns import cad, format_utc, pct
 from plumbline.plans.product import Question
@@ -93,18 +96,43 @@ def narrate_refusal(refusal: DataFrame) -> DataFrame:
     )
 
 
+def _told(column: Column, kind: T.DataType) -> Column:
+    """A value as it stands in JSON: decimals as text, times in ISO form, structures field by field."""
+    if isinstance(kind, T.StructType):
+        return F.struct(*[_told(column[f.name], f.dataType).alias(f.name) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda x: _told(x, kind.elementType))
+    if isinstance(kind, T.DecimalType):
+        return column.cast("string")
+    if isinstance(kind, T.TimestampType):
+        return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    return column
+
+
 def facts_json(facts: DataFrame, path: str) -> DataFrame:
-    """Every fact of a row as JSON text: decimals as text, times in ISO form, empty ones kept."""
-    shown = []
-    for column in facts.schema:
-        value = F.col(column.name)
-        kind = column.dataType.typeName()
-        if kind.startswith("decimal"):
-            value = value.cast("string")
-        elif kind.startswith("timestamp"):
-            value = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
-        shown.append(value.alias(column.name))
+    """Every fact of a row as JSON text: nested ones nested, empty ones kept."""
+    shown = [_told(F.col(f.name), f.dataType).alias(f.name) for f in facts.schema]
     shown.append(F.lit(path).alias("answer_path"))
     return facts.select(
         F.to_json(F.struct(*shown), {"ignoreNullFields": "false"}).alias("facts")
     )
+
+
+def with_categories(facts: DataFrame, categories: DataFrame, driver: Sequence[str]) -> DataFrame:
+    """The facts' one row with its categories as an array and its driver as a structure.
+
+    ``driver`` names the facts' columns that move into the structure. A question has at most one row
+    for each category of the dimension.
+    """
+    row = F.struct(*categories.columns)
+    listed = categories.agg(F.array_sort(F.collect_list(row)).alias("categories"))
+    rest = [c for c in facts.columns if c not in driver]
+    nested = facts.select(*rest, F.struct(*driver).alias("driver"))
+    return nested.crossJoin(F.broadcast(listed))  # one row beside one row
+
+
+def read_facts(told: DataFrame, schema: T.StructType) -> DataFrame:
+    """JSON facts back as typed columns, nested ones included."""
+    return told.select(F.from_json("facts", schema).alias("f")).select("f.*")
+
+

@@ -532,6 +532,37 @@ def fx_gap_days(t: Trade) -> DataFrame:
     return audits.rate_gaps(t.governed, t.references["rates"].frame, CONTRACT)
 
 
+def fx_gap_ranges(t: Trade) -> DataFrame:
+    return audits.rate_gap_ranges(t.governed, t.references["rates"].frame, CONTRACT)
+
+
+def facts_json(product: Product) -> DataFrame:
+    """The raw facts with categories and driver, through JSON text and back, a row for each category."""
+    raw = serving.raw_answer(product, QUESTION)
+    driver = ["driver_code", "driver_name", "driver_variance_cad"]
+    facts = narration.with_categories(serving.raw_facts(raw), serving.raw_categories(raw), driver)
+    read = narration.read_facts(narration.facts_json(facts, "raw"), facts.schema)
+    return read.select(
+        "revenue",
+        "variance_pct",
+        "latest_orders_ingested_at_utc",
+        F.col("driver.driver_code").alias("driver_code"),
+        F.col("driver.driver_variance_cad").alias("driver_variance_cad"),
+        F.inline("categories"),
+    )
+
+
+def health_report(product: Product) -> DataFrame:
+    """The typed health report; reasons one below the other."""
+    report = serving.health_report(product)
+    return report.withColumns({c: F.array_join(c, "\n") for c in ("blocking_reasons", "warning_reasons")})
+
+
+def run_list(product: Product) -> DataFrame:
+    runs = serving.run_list(product).drop("duration_ms")
+    return runs.withColumns({c: F.array_join(c, "\n") for c in ("failure_reasons", "warning_reasons")})
+
+
 def conformance(t: Trade) -> DataFrame:
     return audits.contract_conformance(ORDERS, t.orders, t.references, CONTRACT).unionByName(
         audits.unknown_dates(t.governed, t.references["dates"])
@@ -600,6 +631,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "measures_one_month": _served(measures_one_month),
         "fact_targets": _repaired(fact_targets),
         "fx_gap_days_b": _broken(fx_gap_days),
+        "fx_gap_ranges_b": _broken(fx_gap_ranges),
+        "facts_json": _served(facts_json),
+        "health_report_b": _served(health_report, "broken"),
+        "run_list_b": _served(run_list, "broken"),
+        "measures_cube": _served(m.measure_cube),
         "check_freshness_b": _broken(check_freshness),
         "check_duplicate_keys": _repaired(check_duplicate_keys),
         "check_missing_fx_b": _broken(check_missing_fx),
