@@ -550,6 +550,7 @@ def _cube() -> str:
 def oracle_sql() -> dict[str, str]:
     sql = _written()
     sql["measures_cube"] = _cube()
+    sql["pipeline_build_csv"] = sql["pipeline_build"]
     # The split paths must give what the plain ones give.
     for name in ("order_versions", "returns_reconciled_b"):
         sql[name.removesuffix("_b") + "_split"] = sql[name]

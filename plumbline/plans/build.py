@@ -24,6 +24,8 @@ from plumbline.sources.feeds import FeedSet
 from plumbline.sources.store import HEALTH, QUALITY_RESULTS, RUNS, TableStore, schema_of
 
 BATCHES = ("broken", "repaired")
+# Records of extracts that do not fit their contract; written only for reads that keep them.
+REJECTS = "bronze_rejects"
 
 
 class BuildFailed(RuntimeError):
@@ -85,6 +87,10 @@ def land(store: TableStore, feeds: FeedSet, run_id: str) -> dict[str, DataFrame]
 
     names = [feed.table for feed, _ in feeds.items()]
     writes = [partial(save, feed, df) for feed, df in feeds.items()]
+    if feeds.rejects is not None:
+        names.append(REJECTS)
+        rows = {"rows": F.count(F.lit(1))}
+        writes.append(partial(store.write, feeds.rejects, REJECTS, run_id, measures=rows))
     return dict(zip(names, together(*writes), strict=True))
 
 

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.contracts import FEEDS, FeedContract
 from plumbline.functions.columns import utc
@@ -28,6 +29,8 @@ class FeedSet:
     regions: DataFrame
     categories: DataFrame
     calendar: DataFrame
+    #: Records of the extracts that do not fit their declared types: feed, record, source_file.
+    rejects: DataFrame | None = None
 
     def items(self) -> list[tuple[FeedContract, DataFrame]]:
         return [(feed, getattr(self, feed.name)) for feed in FEEDS]
@@ -41,6 +44,29 @@ def stamp_lineage(df: DataFrame, feed: FeedContract, source_file: str | None = N
     return df.withColumn("source_file", name)
 
 
+_REJECTED = "_rejected_record"
+
+
+def _scan_extract(
+    spark: SparkSession, feed: FeedContract, root: str, relative: str, keep_rejects: bool
+) -> DataFrame:
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    schema = feed.schema
+    if keep_rejects:
+        # Every column is parsed whatever is selected, so a record is judged as a whole.
+        reader = reader.option("mode", "PERMISSIVE").option("columnPruning", False)
+        reader = reader.option("columnNameOfCorruptRecord", _REJECTED)
+        schema = T.StructType([*schema.fields, T.StructField(_REJECTED, T.StringType())])
+    else:
+        reader = reader.option("mode", "FAILFAST")
+    try:
+        return reader.schema(schema).csv(f"{root.rstrip('/')}/{relative}")
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise MissingExtract(f"missing source extract {root}/{relative}") from exc
+
+
 def read_extract(spark: SparkSession, feed: FeedContract, root: str, batch: str = "") -> DataFrame:
     """Typed scan of one CSV extract.
 
@@ -48,23 +74,40 @@ def read_extract(spark: SparkSession, feed: FeedContract, root: str, batch: str
     ``MissingExtract``.
     """
     relative = feed.path.format(batch=batch)
-    try:
-        df = (
-            spark.read.schema(feed.schema)
-            .option("header", True)
-            .option("mode", "FAILFAST")
-            .option("enforceSchema", False)
-            .csv(f"{root.rstrip('/')}/{relative}")
+    return stamp_lineage(_scan_extract(spark, feed, root, relative, False), feed, relative)
+
+
+def read_extracts(
+    spark: SparkSession, root: str, batch: str, keep_rejects: bool = False
+) -> FeedSet:
+    """All extracts of a batch. ``keep_rejects``: malformed records become rows of ``rejects``
+    instead of failing the read; all other records go on.
+    """
+    if not keep_rejects:
+        return FeedSet(**{feed.name: read_extract(spark, feed, root, batch) for feed in FEEDS})
+    good, bad = {}, None
+    for feed in FEEDS:
+        relative = feed.path.format(batch=batch)
+        scanned = _scan_extract(spark, feed, root, relative, True)
+        accepted = scanned.filter(F.col(_REJECTED).isNull()).drop(_REJECTED)
+        good[feed.name] = stamp_lineage(accepted, feed, relative)
+        # All columns are named, so that a reader cannot leave the parsing out.
+        width = F.size(F.array(*[F.col(c).cast("string") for c in feed.column_names]))
+        rejected = scanned.filter(F.col(_REJECTED).isNotNull() & (width > 0)).select(
+            F.lit(feed.name).alias("feed"),
+            F.col(_REJECTED).alias("record"),
+            F.lit(relative).alias("source_file"),
         )
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        raise MissingExtract(f"missing source extract {root}/{relative}") from exc
-    return stamp_lineage(df, feed, relative)
+        bad = rejected if bad is None else bad.unionByName(rejected)
+    return FeedSet(**good, rejects=bad)
 
 
-def read_extracts(spark: SparkSession, root: str, batch: str) -> FeedSet:
-    return FeedSet(**{feed.name: read_extract(spark, feed, root, batch) for feed in FEEDS})
+def write_extracts(feeds: FeedSet, root: str, batch: str) -> None:
+    """The feeds as CSV extracts below ``root``, in as many files as tasks hold rows."""
+    for feed, df in feeds.items():
+        # A feed may carry its lineage as declared columns; other lineage is stamped when read.
+        path = f"{root.rstrip('/')}/{feed.path.format(batch=batch)}"
+        df.select(*feed.column_names).write.mode("overwrite").option("header", True).csv(path)
 
 
 def snapshot_at(feed: DataFrame, watermark: datetime | str) -> DataFrame:

@@ -292,3 +292,64 @@ def test_facts_are_partitioned_and_pruned_by_month(built):
     plan = serving._sales_cells(product, QUESTION)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(sales_month" in plan
     assert multiset(product.fact_sales.select("sales_month").distinct())
+
+
+@pytest.mark.parametrize("by", [[], ["region"], ["region", "month"], ["month", "category"], ["category"], ["region", "month", "category"]])
+def test_cube_holds_every_grain(built, by):
+    product = open_product(built[0], CONTRACT)
+    one = measures.measures(product, by)
+    grain = ",".join(measures.GRAINS[name][2] for name in by)
+    cells = measures.measure_cube(product).filter(F.col("grain") == grain)
+    assert multiset(cells, sorted(one.columns)) == multiset(one)
+
+
+def test_cube_reads_each_fact_once(built):
+    cube = measures.measure_cube(open_product(built[0], CONTRACT))
+    plan = cube._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet [^\n]*gold_fact_sales", plan)) == 1
+    assert len(re.findall(r"FileScan parquet [^\n]*gold_fact_targets", plan)) == 1
+
+
+def test_nested_facts_are_read_back_and_ground_the_text(built):
+    from plumbline.operators.scans import ungrounded_numbers
+
+    product = open_product(built[0], CONTRACT)
+    raw = serving.raw_answer(product, QUESTION)
+    facts, categories = serving.raw_facts(raw), serving.raw_categories(raw)
+    driver = ["driver_code", "driver_name", "driver_variance_cad"]
+    nested = narration.with_categories(facts, categories, driver).withColumn("month", F.lit(MONTH))
+    told = narration.facts_json(nested, "raw")
+    read = narration.read_facts(told, nested.schema)
+    assert read.schema.simpleString() == nested.schema.simpleString()
+    assert read.first() == nested.first()
+    assert len(read.first()["categories"]) == categories.count()
+    text = narration.narrate_raw(facts, QUESTION, "America").select("text")
+    checked = ungrounded_numbers(text.crossJoin(told), "text", "facts").first()
+    assert checked["ungrounded"] == []
+    forged = text.crossJoin(told).withColumn("text", F.concat("text", F.lit(" Also 987654.32.")))
+    assert ungrounded_numbers(forged, "text", "facts").first()["ungrounded"] == ["987654.32"]
+
+
+def test_build_from_extracts_keeps_rejects_apart(spark, trade_dir, built, tmp_path, clock):
+    from plumbline.sources.feeds import read_extracts, write_extracts
+
+    root = str(tmp_path / "extracts")
+    write_extracts(TradeFeeds(spark, trade_dir, "repaired").feed_set(), root, "repaired")
+    import glob
+
+    file = sorted(glob.glob(f"{root}/azure-sql/orders.csv/part-*.csv"))[0]
+    with open(file, "a", encoding="utf-8") as out:
+        out.write("9,E,not-a-number,2001-01-01,ON,DEV,CAD,1.00,Consumer,2001-01-01,2001-01-01\nonly,three,fields\n")
+    store = TableStore(spark, str(tmp_path / "product"))
+    load = lambda keep: read_extracts(spark, root, "repaired", keep_rejects=keep)
+    result = run_build(spark, lambda: load(True), store, CONTRACT, "repaired", AS_OF, clock=clock)
+    assert result.status == "READY"
+    rejects = store.read("bronze_rejects", result.run_id)
+    assert sorted(r["record"].split(",")[0] for r in rejects.collect()) == ["9", "only"]
+    assert {r["feed"] for r in rejects.collect()} == {"orders"}
+    assert store.measured("bronze_rejects", result.run_id)["rows"] == 2
+    for table in ("gold_fact_sales", "silver_quarantine"):
+        assert same_rows(store.read(table, result.run_id), built[0].read(table, built[2].run_id), ["pipeline_run_id"]), table
+    # Without the choice to keep them, malformed records still fail the build.
+    with pytest.raises(BuildFailed):
+        run_build(spark, lambda: load(False), store, CONTRACT, "repaired", AS_OF, history="strict", clock=clock)
