@@ -306,8 +306,9 @@ def test_cube_holds_every_grain(built, by):
 def test_cube_reads_each_fact_once(built):
     cube = measures.measure_cube(open_product(built[0], CONTRACT))
     plan = cube._jdf.queryExecution().executedPlan().toString()
-    assert len(re.findall(r"FileScan parquet [^\n]*gold_fact_sales", plan)) == 1
-    assert len(re.findall(r"FileScan parquet [^\n]*gold_fact_targets", plan)) == 1
+    scans = re.findall(r"FileScan parquet \[[^\]]*\]", plan)
+    assert sum("gross_revenue_cad#" in s for s in scans) == 1
+    assert sum("target_cad#" in s for s in scans) == 1
 
 
 def test_nested_facts_are_read_back_and_ground_the_text(built):
@@ -335,10 +336,10 @@ def test_build_from_extracts_keeps_rejects_apart(spark, trade_dir, built, tmp_pa
 
     root = str(tmp_path / "extracts")
     write_extracts(TradeFeeds(spark, trade_dir, "repaired").feed_set(), root, "repaired")
-    import glob
+    from plumbline.contracts import ORDERS
 
-    file = sorted(glob.glob(f"{root}/azure-sql/orders.csv/part-*.csv"))[0]
-    with open(file, "a", encoding="utf-8") as out:
+    with open(f"{root}/azure-sql/orders.csv/part-more.csv", "w", encoding="utf-8") as out:
+        out.write(",".join(ORDERS.column_names) + "\n")
         out.write("9,E,not-a-number,2001-01-01,ON,DEV,CAD,1.00,Consumer,2001-01-01,2001-01-01\nonly,three,fields\n")
     store = TableStore(spark, str(tmp_path / "product"))
     load = lambda keep: read_extracts(spark, root, "repaired", keep_rejects=keep)
