@@ -15,6 +15,8 @@ before anything is shuffled. Only matches, narrow rows, are grouped.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,22 +76,33 @@ def _is_number(token: Column) -> Column:
     return token.between(START + "0", START + ":")
 
 
-def _template(tokens: str, i: Column, token: Column, everywhere: bool) -> Column:
-    """The token's placeholder, or the token; ``everywhere``: every capitalised word is a name."""
-    before = F.get(tokens, i - 1)
-    unit = token.isin(*UNITS) & F.coalesce(_is_number(before), F.lit(False))
-    signed = F.when(_is_number(token), NUMBER)
-    signed = signed.otherwise(F.lit(NAME) if everywhere else F.when(token < "\u0002", NAME).otherwise(F.substring(token, 2, 1 << 30)))
-    return F.when(token < "\u0005", signed).when(unit, UNIT).otherwise(token)
+def _forms(of: str, value: Callable[[Column], Column]) -> dict[str, Callable[[], Column]]:
+    """The plain form w of the signed tokens ``of`` and the template forms t and t2, one for one, each from
+    the one before it. ``value`` is taken of every token: the token itself or its hash. In t2 every capitalised
+    word is a name.
+    """
+
+    def unit(x: Column, i: Column) -> Column:
+        return F.coalesce(_is_number(F.get(of, i - 1)), F.lit(False)) & x.isin(*UNITS)
+
+    def first(x: Column, i: Column) -> Column:
+        name = F.when(x < "\u0002", value(F.lit(NAME))).when(_is_number(x), value(F.lit(NUMBER)))
+        return F.when(x < "\u0005", name.otherwise(F.get("w", i))).when(unit(x, i), value(F.lit(UNIT))).otherwise(F.get("w", i))
+
+    def second(x: Column, i: Column) -> Column:
+        return F.when((x < "\u0005") & ~_is_number(x), value(F.lit(NAME))).otherwise(F.get("t", i))
+
+    return {
+        "w": lambda: F.transform(of, lambda x: value(_plain(x))),
+        "t": lambda: F.transform(of, first),
+        "t2": lambda: F.transform(of, second),
+    }
 
 
-def _forms(of: str) -> list[Column]:
-    """Plain tokens and the two template forms of the signed tokens ``of``, one for one."""
-    return [
-        F.transform(of, _plain),
-        F.transform(of, lambda x, i: _template(of, i, x, False)),
-        F.transform(of, lambda x, i: _template(of, i, x, True)),
-    ]
+def _with_forms(rows: DataFrame, of: str, value: Callable[[Column], Column]) -> DataFrame:
+    for name, form in _forms(of, value).items():
+        rows = rows.withColumn(name, form())
+    return rows
 
 
 def _literal(token: Column) -> Column:
@@ -98,8 +111,7 @@ def _literal(token: Column) -> Column:
 
 def _parsed(rows: DataFrame, text: str) -> DataFrame:
     """Adds ``w`` (plain tokens), ``t`` and ``t2`` (template tokens), one for one."""
-    signed = rows.withColumn("_v", signed_tokens(F.col(text)))
-    return signed.withColumns(dict(zip(("w", "t", "t2"), _forms("_v"), strict=True))).drop("_v")
+    return _with_forms(rows.withColumn("_v", signed_tokens(F.col(text))), "_v", lambda x: x).drop("_v")
 
 
 def _starts(tokens: str, n: int) -> Column:
@@ -113,12 +125,12 @@ def _combined(kind: Column, hashes: list[Column]) -> Column:
 
 
 def _window_hashes(n: int) -> list[Column]:
-    """Arrays of the hashes of all windows of ``n`` tokens, from the token hashes hw, ht and ht2."""
+    """Arrays of the hashes of all windows of ``n`` tokens, from the token hashes w, t and t2."""
 
     def of(hashes: str, kind: int) -> Column:
         return F.transform(_starts(hashes, n), lambda i: _combined(F.lit(kind), [F.get(hashes, i + k) for k in range(n)]))
 
-    return [of("hw", _PLAIN), of("ht", _TEMPLATE), of("ht2", _TEMPLATE)]
+    return [of("w", _PLAIN), of("t", _TEMPLATE), of("t2", _TEMPLATE)]
 
 
 def _window_rows(rows: DataFrame, n: int) -> DataFrame:
@@ -189,14 +201,7 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: flo
 def _candidates(texts: DataFrame, items: DataFrame, lengths: list[int], cover: float) -> DataFrame:
     """(key, item): texts, by hash, that share enough windows with an item."""
     signed = texts.select(F.xxhash64("text").alias("key"), signed_tokens(F.col("text")).alias("v"))
-    hashed = signed.select("key", *[
-        F.transform("v", f).alias(name)
-        for name, f in (
-            ("hw", lambda x: F.xxhash64(_plain(x))),
-            ("ht", lambda x, i: F.xxhash64(_template("v", i, x, False))),
-            ("ht2", lambda x, i: F.xxhash64(_template("v", i, x, True))),
-        )
-    ])
+    hashed = _with_forms(signed, "v", F.xxhash64)
     # The outer form: for the inner one the optimizer filters empty arrays first, by computing them a second time.
     windows = hashed.select("key", F.explode_outer(F.concat(*[h for n in lengths for h in _window_hashes(n)])).alias("h"))
     wanted = items.select("h").distinct()
