@@ -7,7 +7,9 @@ Reading: a record is accepted only after its checks (gzip sums, version line, he
 and payload digest). After a failed check the reader searches for the next gzip member or version
 line, accepts it only if a whole valid record starts there, and logs the bytes between as a
 quarantined gap. Of a member with several records the valid ones are accepted, and the member is logged as
-a gap as well. Files are read through a window; one member or plain record is in memory at a time, of any size.
+a gap as well. A member that is cut off or fails its own sums gives what could be unpacked of it: records
+whose length holds and whose block digest is recorded and right. Their bytes belong to the gap, so their own
+length is 0. Files are read through a window; one member or plain record is in memory at a time, of any size.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 #: Bytes read at once, and fed to the decompressor at once.
 WINDOW = 1 << 20
 STEP = 1 << 14
+#: Archives are read by as many tasks as there are files, up to this; then a task reads several.
+MOST_TASKS = 20_000
 
 
 # ---------------------------------------------------------------- records
@@ -87,7 +91,11 @@ def page_record(page_id: object, url: str | None, payload: bytes, digest: str, r
 
 
 class Damaged(Exception):
-    """A check that failed."""
+    """A check that failed; ``data`` is what could be unpacked of a member before it did."""
+
+    def __init__(self, reason: str, data: bytes = b""):
+        super().__init__(reason)
+        self.data = data
 
 
 @dataclass
@@ -153,17 +161,32 @@ def payload_of(block: bytes) -> bytes:
     return block[at + 4 :] if at >= 0 else b""
 
 
+def _until_error(window: Window, at: int, pos: int) -> bytes:
+    """What the piece at ``pos`` still gives before the member at ``at`` fails in it, byte by byte."""
+    packer = zlib.decompressobj(31)
+    for known in range(at, pos, STEP):
+        packer.decompress(window.get(known, STEP))
+    out = []
+    try:
+        for byte in bytes(window.get(pos, STEP)):
+            out.append(packer.decompress(bytes([byte])))
+    except zlib.error:
+        pass
+    return b"".join(out)
+
+
 def _unpacked(window: Window, at: int) -> tuple[bytes, int]:
     """The content of the gzip member at ``at``, its sums checked, and where it ends."""
     packer, out, pos = zlib.decompressobj(31), [], at
     while not packer.eof:
         piece = window.get(pos, STEP)
         if not len(piece):
-            raise Damaged("member is cut off")
+            raise Damaged("member is cut off", b"".join(out))
         try:
             data = packer.decompress(piece)
         except zlib.error as error:
-            raise Damaged("gzip: " + str(error).rpartition(": ")[2]) from None
+            out.append(_until_error(window, at, pos))
+            raise Damaged("gzip: " + str(error).rpartition(": ")[2], b"".join(out)) from None
         out.append(data)
         pos += len(piece)
     return b"".join(out), pos - len(packer.unused_data)
@@ -197,15 +220,8 @@ def _plain(window: Window, at: int) -> tuple[bytes, int]:
     return bytes(window.get(at, size)), at + size
 
 
-def _at(window: Window, at: int) -> tuple[list[Found], int]:
-    """The valid records of the member or plain record at ``at``, a gap if it has others as well, and where it ends."""
-    start = bytes(window.get(at, 16))
-    if start.startswith(GZIP):
-        data, end = _unpacked(window, at)
-    elif _VERSION_LINE.match(start):
-        data, end = _plain(window, at)
-    else:
-        raise Damaged("no member or version line")
+def _records(data: bytes) -> tuple[list[tuple[dict[str, str], bytes]], Damaged | None]:
+    """Headers and blocks of the valid records of ``data``, and the first check that failed."""
     found, pos, damage = [], 0, None
     while pos < len(data):
         try:
@@ -215,9 +231,28 @@ def _at(window: Window, at: int) -> tuple[list[Found], int]:
             following = _VERSION_LINE.search(data, pos + 1)
             pos = following.start() if following else len(data)
             continue
-        found.append(Found(at, end - at, "", headers, block))
-    if damage and not found:
+        found.append((headers, block))
+    return found, damage
+
+
+def _proved(data: bytes) -> list[tuple[dict[str, str], bytes]]:
+    """Records of a damaged member whose own digest vouches for them."""
+    return [(h, block) for h, block in _records(data)[0] if h.get("warc-block-digest", "").lower().startswith("sha1:")]
+
+
+def _at(window: Window, at: int) -> tuple[list[Found], int]:
+    """The valid records of the member or plain record at ``at``, a gap if it has others as well, and where it ends."""
+    start = bytes(window.get(at, 16))
+    if start.startswith(GZIP):
+        data, end = _unpacked(window, at)
+    elif _VERSION_LINE.match(start):
+        data, end = _plain(window, at)
+    else:
+        raise Damaged("no member or version line")
+    records, damage = _records(data)
+    if damage and not records:
         raise damage
+    found = [Found(at, end - at, "", headers, block) for headers, block in records]
     return [*found, *([Found(at, end - at, str(damage))] if damage else [])], end
 
 
@@ -233,7 +268,10 @@ def _next_start(window: Window, at: int) -> int:
 
 
 def salvage(file) -> Iterator[Found]:
-    """All valid records of a file in order, and the gaps between them."""
+    """All valid records of a file in order, and the gaps between them.
+
+    What a damaged member still gives comes before its gap, at the gap's offset and with length 0.
+    """
     window = Window(file)
     at, gap, reason = 0, None, ""
     while at < window.size:
@@ -242,6 +280,8 @@ def salvage(file) -> Iterator[Found]:
         except Damaged as damage:
             if gap is None:
                 gap, reason = at, str(damage)
+            for headers, block in _proved(damage.data):
+                yield Found(gap, 0, "", headers, block)
             at = _next_start(window, at + 1)
             continue
         if gap is not None:
@@ -257,7 +297,7 @@ def salvage(file) -> Iterator[Found]:
 
 RECORDS = (
     "file string, offset bigint, length bigint, gap string, record_type string, target_uri string, page_id string, "
-    "payload_bytes bigint, payload_digest string, refers_to string, payload binary"
+    "payload_bytes bigint, payload_digest string, refers_to string, record_id string, refers_to_id string, payload binary"
 )
 
 
@@ -271,7 +311,7 @@ def read(files: DataFrame, payloads: bool = False) -> DataFrame:
 
     def row(name: str, f: Found) -> tuple:
         if f.reason:
-            return (name, f.offset, f.length, f.reason, *[None] * 7)
+            return (name, f.offset, f.length, f.reason, *[None] * 9)
         kind = f.headers["warc-type"]
         if kind == "response":
             body = payload_of(f.block)
@@ -283,7 +323,8 @@ def read(files: DataFrame, payloads: bool = False) -> DataFrame:
             size = int(length[1]) if length else None
         return (
             name, f.offset, f.length, None, kind, f.headers.get("warc-target-uri"), f.headers.get("x-page-id"),
-            size, digest, f.headers.get("x-refers-to-page-id"), body if payloads else None,
+            size, digest, f.headers.get("x-refers-to-page-id"),
+            f.headers.get("warc-record-id"), f.headers.get("warc-refers-to"), body if payloads else None,
         )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,7 +349,27 @@ def read(files: DataFrame, payloads: bool = False) -> DataFrame:
                     yield packed(held)
 
     names = files.select("file")
-    return names.repartition(max(1, names.count())).mapInArrow(rows, RECORDS)
+    return names.repartition(min(max(1, names.count()), MOST_TASKS)).mapInArrow(rows, RECORDS)
+
+
+def resolved(records: DataFrame) -> DataFrame:
+    """``records`` of ``read`` with ``response_found``: for revisits, whether the response they name was read too.
+
+    NULL for all other records and gaps; a revisit that names no response is not resolved. Only the ids
+    that are named are looked for, each once; revisits of one response may be any share of the rows.
+    """
+    revisit = F.col("record_type") == "revisit"
+    named = records.filter(revisit).select(F.col("refers_to_id").alias("record_id")).distinct()
+    found = records.filter("record_type = 'response'").select("record_id").join(named, "record_id", "left_semi").distinct()
+    found = written(found.select(F.col("record_id").alias("_found")), "responses")
+    fits = small(found, "_found")
+    # Without a small right side, revisits of one response are told apart by salts.
+    salts = 1 if fits else 32
+    right = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    right = F.broadcast(right) if fits else right
+    left = records.withColumn("_key", F.when(revisit, F.col("refers_to_id"))).withColumn("_salt", F.spark_partition_id() % salts)
+    joined = left.join(right, (F.col("_key") == F.col("_found")) & (left["_salt"] == right["_salt"]), "left")
+    return joined.select(*records.columns, F.when(revisit, F.col("_found").isNotNull()).alias("response_found"))
 
 
 def with_roles(pages: DataFrame) -> DataFrame:

@@ -130,3 +130,38 @@ def test_good_records_of_a_member_outlive_a_bad_one():
     found = list(warc.salvage(pa.BufferReader(warc.member(b"".join(parts)))))
     assert [f.headers["x-page-id"] for f in found if not f.reason] == ["0", "2", "3"]
     assert [f.reason for f in found if f.reason] == ["wrong block digest"]
+
+
+def test_sound_records_of_a_damaged_member():
+    """One gzip member of 20 records, as of a whole file: a flipped byte or a lost end costs what it hits."""
+    bodies = [hashlib.sha256(b"%d" % i).hexdigest().encode() * 40 for i in range(20)]
+    plain = [warc.page_record(i, "http://m/", b, hashlib.sha1(b).hexdigest(), None) for i, b in enumerate(bodies)]
+    packed = warc.member(b"".join(plain))
+    late = warc.member(warc.page_record(99, "http://late/", b"x", hashlib.sha1(b"x").hexdigest(), None))
+
+    def ids(data):
+        found = list(warc.salvage(pa.BufferReader(data)))
+        return [int(f.headers["x-page-id"]) for f in found if not f.reason], [(f.offset, f.length) for f in found if f.reason], found
+
+    hurt = bytearray(packed)
+    hurt[len(hurt) // 2] ^= 0xFF
+    got, gaps, found = ids(bytes(hurt) + late)
+    assert got[-1] == 99 and set(range(8)) <= set(got) and got == sorted(got)
+    assert gaps == [(0, len(packed))] and all(f.length == 0 for f in found[: len(got) - 1])
+    assert all(warc.payload_of(f.block) == bodies[int(f.headers["x-page-id"])] for f in found[: len(got) - 1])
+    got, gaps, _ = ids(packed[:-10])
+    assert got[:19] == list(range(19)) and gaps == [(0, len(packed) - 10)]
+    wrong_sum = packed[:-8] + b"\0\0\0\0" + packed[-4:]
+    got, gaps, _ = ids(wrong_sum + late)
+    assert got == [*range(20), 99] and gaps == [(0, len(packed))]
+    unsigned = [p.replace(b"WARC-Block-Digest", b"X-Block-Digest") for p in plain]
+    assert ids(warc.member(b"".join(unsigned))[:-10])[0] == []  # nothing vouches for them
+
+
+def test_revisits_are_resolved(spark, tmp_path):
+    digest = hashlib.sha1(BIG.encode()).hexdigest()
+    response = warc.member(warc.page_record(9, "http://a/", BIG.encode(), digest, None))
+    revisits = [warc.member(warc.page_record(i, "http://b/", BIG.encode(), digest, r)) for i, r in ((1, 9), (2, 9), (3, 8))]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join([response, *revisits]))
+    got = warc.resolved(warc.read(spark.createDataFrame([(f"file://{tmp_path}/a.warc.gz",)], "file string")))
+    assert {int(r.page_id): r.response_found for r in got.collect()} == {9: None, 1: True, 2: True, 3: False}
