@@ -323,13 +323,15 @@ def contract_conformance(
     df: DataFrame,
     references: Mapping[str, Lookup],
     contract: HealthContract,
+    parents: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Violations per rule of a feed contract, all from one pass plus one key count.
+    """Violations per rule of a feed contract, all from one pass plus one count for each large key.
 
     Rules: required columns present, declared types, known references, accepted currencies, and
-    (for feeds with one row per key) a unique business key.
+    (for feeds with one row per key) a unique business key. ``parents`` are feeds too large for a
+    lookup; references to them are counted by ``unknown_keys``.
     """
-    flagged, rules = df, {}
+    flagged, rules, parents, large = df, {}, parents or {}, []
     for column in feed.columns:
         if column.required:
             rules[f"required.{column.name}"] = F.col(column.name).isNull()
@@ -339,6 +341,11 @@ def contract_conformance(
             rules[f"type.{column.name}"] = F.lit(True)
         if column.references:
             name, target = column.references.split(".")
+            if name in parents:
+                lost = unknown_keys(df, column.name, parents[name], target)
+                lost = lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("violations"))
+                large.append(lost.select(F.lit(f"reference.{column.name}").alias("rule"), "violations"))
+                continue
             mark = f"_known_{column.name}"
             known = references[name].frame.select(
                 F.col(target).alias(column.name), F.lit(True).alias(mark)
@@ -357,6 +364,7 @@ def contract_conformance(
         for name in rules
     ]
     found = flagged.agg(*counts).select(F.inline(F.array(*pairs)))
+    found = reduce(DataFrame.unionByName, large, found)
     if not feed.newest_first and feed.business_key:
         per_key = df.groupBy(*feed.business_key).agg(F.count(F.lit(1)).alias("n"))
         unique = per_key.agg(F.count_if(F.col("n") > 1).alias("violations"))
@@ -364,6 +372,17 @@ def contract_conformance(
     return found.select(F.lit(feed.name).alias("feed"), "rule", "violations")
 
 
+def unknown_keys(child: DataFrame, key: str, parent: DataFrame, target: str) -> DataFrame:
+    """(key, rows): keys of ``child`` that ``parent`` does not hold, with their rows; NULL is no key.
+
+    Both sides shrink to one row per key in the tasks that read them, so a key with any share of the
+    rows, known or not, moves as one row a task; what is left for the anti join is keys only.
+    """
+    counted = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    known = parent.filter(F.col(target).isNotNull()).select(F.col(target).alias(key)).distinct()
+    return counted.join(known, key, "left_anti")
+
+
 def unknown_dates(governed: DataFrame, calendar: Lookup) -> DataFrame:
     """Governed orders outside the calendar, which the sales fact leaves out."""
     days = calendar.frame.select(

@@ -60,8 +60,18 @@ def _cte(*names: str, variant: str) -> str:
     """WITH clause of the named steps and everything they need, in order."""
     third, age, gap = {
         "broken": ("EUR", 3600, "WHERE day(d) NOT IN (20, 21)"),
+        "malformed": ("USD", 45, ""),
         "repaired": ("USD", 45, ""),
     }[variant]
+    order_id, region, rates = "CAST(l_orderkey AS VARCHAR)", "r_name", "days"
+    rate, rated = "(SELECT rate FROM fx WHERE rate_date = order_date)", "gov"
+    if variant == "malformed":
+        order_id = f"CASE WHEN l_linenumber <> 1 OR l_orderkey % 50 <> 0 THEN {order_id} END"
+        region = "if(c_nationkey = 7, 'ATLANTIS', r_name)"
+        rates = "(SELECT d, 0 AS more FROM days UNION ALL SELECT d, 10 FROM days WHERE day(d) = 10)"
+        # Two rates for a day repeat its orders.
+        rate = "fx.rate"
+        rated = "gov LEFT JOIN fx ON gov.currency_code = 'USD' AND rate_date = order_date"
     known = (
         "AND l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag <> 'R')"
         if variant == "repaired"
@@ -92,8 +102,8 @@ def _cte(*names: str, variant: str) -> str:
             (),
         ),
         "fx": (
-            "SELECT d AS rate_date, CAST(1.30 + ((dayofyear(d) * 13) % 80) / 1000 "
-            f"AS DECIMAL(10,6)) AS rate FROM days {gap}",
+            f"SELECT d AS rate_date, CAST(1.30 + ((dayofyear(d) * 13) % 80{' + more' if variant == 'malformed' else ''}) / 1000 "
+            f"AS DECIMAL(10,6)) AS rate FROM {rates} {gap}",
             ("days",),
         ),
         "ft": (
@@ -104,10 +114,10 @@ def _cte(*names: str, variant: str) -> str:
             ("cal", "reg", "cat"),
         ),
         "fo": (
-            "SELECT CAST(l_orderkey AS VARCHAR) AS order_id, "
+            f"SELECT {order_id} AS order_id, "
             "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || "
             "l_linestatus AS event_id, l_linenumber AS event_version, "
-            "o_orderdate AS order_timestamp_utc, r_name AS region_code, p_type AS category_code, "
+            f"o_orderdate AS order_timestamp_utc, {region} AS region_code, p_type AS category_code, "
             f"{currency.format('c_nationkey')} AS currency_code, "
             "CAST(l_extendedprice AS DECIMAL(12,2)) AS gross_amount, "
             "c_mktsegment AS customer_segment, l_shipdate AS source_updated_at, "
@@ -173,10 +183,10 @@ def _cte(*names: str, variant: str) -> str:
             f"CAST(round(accepted_return_amount * fx_rate_to_cad, 2) AS {D18}) AS returns_cad, "
             "source_updated_at FROM (SELECT gov.*, "
             "CASE WHEN currency_code = 'CAD' THEN CAST(1 AS DECIMAL(10,6)) "
-            "WHEN currency_code = 'USD' THEN (SELECT rate FROM fx WHERE rate_date = order_date) "
+            f"WHEN currency_code = 'USD' THEN {rate} "
             "END AS fx_rate_to_cad, "
             f"CAST(coalesce(a.amount, 0) AS {D18}) AS accepted_return_amount, "
-            "coalesce(a.n, 0) AS return_count FROM gov LEFT JOIN "
+            f"coalesce(a.n, 0) AS return_count FROM {rated} LEFT JOIN "
             "(SELECT order_id, sum(return_amount) AS amount, count(*) AS n FROM rec "
             "WHERE reconciliation_status = 'ACCEPTED' GROUP BY order_id) a USING (order_id))",
             ("gov", "rec", "fx"),
@@ -216,7 +226,7 @@ def _cte(*names: str, variant: str) -> str:
             "(SELECT currency_code FROM lat UNION ALL SELECT currency_code FROM rec) "
             "WHERE coalesce(currency_code, '') NOT IN ('CAD', 'USD')) "
             "UNION ALL SELECT 8, 'DUPLICATES_RESOLVED', 'WARNING', 0, "
-            "(SELECT count(*) - count(DISTINCT order_id) FROM fo) "
+            "(SELECT count(*) FROM fo) - (SELECT count(*) FROM lat) "
             "UNION ALL SELECT 9, 'QUARANTINED_ROWS', 'WARNING', 0, (SELECT count(*) FROM quar) "
             "UNION ALL SELECT 10, 'HIGH_RETURN_RATE', 'WARNING', 25, (SELECT coalesce(max(pct), 0)"
             " FROM (SELECT CAST(round(100 * sum(returns_cad) / nullif(sum(gross_revenue_cad), 0), "
@@ -567,9 +577,38 @@ def _written() -> dict[str, str]:
     def bad(*names: str) -> str:
         return _cte(*names, variant="broken")
 
+    def odd(*names: str) -> str:
+        return _cte(*names, variant="malformed")
+
     def lines(column: str) -> str:
         return f"array_to_string(string_split({column}, ' | '), chr(10)) AS {column}"
 
+    conformance = (
+        "SELECT 'orders' AS feed, rule, violations FROM ("
+        + " UNION ALL ".join(
+            f"SELECT 'required.{c}' AS rule, count(*) FILTER (WHERE {c} IS NULL) AS violations "
+            "FROM fo"
+            for c in (
+                "order_id",
+                "event_id",
+                "event_version",
+                "order_timestamp_utc",
+                "region_code",
+                "category_code",
+                "currency_code",
+                "gross_amount",
+                "customer_segment",
+                "source_updated_at",
+                "ingested_at",
+            )
+        )
+        + " UNION ALL SELECT 'reference.region_code', count(*) FILTER (WHERE region_code NOT IN "
+        "(SELECT r_name FROM region)) FROM fo UNION ALL SELECT 'reference.category_code', "
+        "count(*) FILTER (WHERE category_code NOT IN (SELECT p_type FROM part)) FROM fo "
+        "UNION ALL SELECT 'accepted.currency_code', count(*) FILTER (WHERE currency_code NOT IN "
+        "('CAD', 'USD')) FROM fo UNION ALL SELECT 'UNKNOWN_DATE', count(*) FILTER "
+        "(WHERE order_date NOT IN (SELECT calendar_date FROM cal)) FROM gov)"
+    )
     check = "SELECT check_name, CAST(n AS BIGINT) AS observed_value FROM obs WHERE check_name IN "
     gov_columns = (
         "order_id, event_id, event_version, order_timestamp_utc, order_date, region_code, "
@@ -890,31 +929,41 @@ def _written() -> dict[str, str]:
         f"SELECT 'naive_above_target', naive > target, CAST(naive - target AS {D18}) FROM s "
         f"UNION ALL SELECT 'target_above_governed', target > net, CAST(target - net AS {D18}) "
         "FROM s",
-        "conformance_b": bad("fo", "gov", "cal")
-        + "SELECT 'orders' AS feed, rule, violations FROM ("
+        "conformance_b": bad("fo", "gov", "cal") + conformance,
+        "conformance_c": odd("fo", "gov", "cal") + conformance,
+        "conformance_returns_b": bad("fo", "fr")
+        + "SELECT 'returns' AS feed, rule, violations FROM ("
         + " UNION ALL ".join(
-            f"SELECT 'required.{c}' AS rule, count(*) FILTER (WHERE {c} IS NULL) AS violations "
-            "FROM fo"
-            for c in (
-                "order_id",
-                "event_id",
-                "event_version",
-                "order_timestamp_utc",
-                "region_code",
-                "category_code",
-                "currency_code",
-                "gross_amount",
-                "customer_segment",
-                "source_updated_at",
-                "ingested_at",
+            f"SELECT 'required.{name}' AS rule, count(*) FILTER (WHERE {value} IS NULL) AS violations FROM fr"
+            for name, value in (
+                ("return_id", "return_id"),
+                ("order_id", "order_id"),
+                ("return_timestamp_utc", "return_timestamp_utc"),
+                ("return_amount", "return_amount"),
+                ("currency_code", "currency_code"),
+                ("return_reason", "coalesce(l_partkey, l_suppkey)"),
+                ("source_updated_at", "source_updated_at"),
+                ("ingested_at", "ingested_at"),
             )
         )
-        + " UNION ALL SELECT 'reference.region_code', count(*) FILTER (WHERE region_code NOT IN "
-        "(SELECT r_name FROM region)) FROM fo UNION ALL SELECT 'reference.category_code', "
-        "count(*) FILTER (WHERE category_code NOT IN (SELECT p_type FROM part)) FROM fo "
-        "UNION ALL SELECT 'accepted.currency_code', count(*) FILTER (WHERE currency_code NOT IN "
-        "('CAD', 'USD')) FROM fo UNION ALL SELECT 'UNKNOWN_DATE', count(*) FILTER "
-        "(WHERE order_date NOT IN (SELECT calendar_date FROM cal)) FROM gov)",
+        + " UNION ALL SELECT 'accepted.currency_code', count(*) FILTER (WHERE currency_code NOT IN ('CAD', 'USD')) FROM fr "
+        "UNION ALL SELECT 'reference.order_id', count(*) FROM fr WHERE NOT EXISTS "
+        "(SELECT 1 FROM fo WHERE fo.order_id = fr.order_id))",
+        "conformance_rates_c": odd("fx")
+        + "SELECT 'fx_rates' AS feed, rule, violations FROM ("
+        + " UNION ALL ".join(
+            f"SELECT 'required.{c}' AS rule, CAST(0 AS BIGINT) AS violations"
+            for c in ("from_currency", "to_currency", "published_at_utc", "ingested_at")
+        )
+        + " UNION ALL SELECT 'required.rate_date', count(*) FILTER (WHERE rate_date IS NULL) FROM fx "
+        "UNION ALL SELECT 'required.rate', count(*) FILTER (WHERE rate IS NULL) FROM fx "
+        "UNION ALL SELECT 'unique_key', count(*) FROM (SELECT 1 FROM fx GROUP BY rate_date HAVING count(*) > 1))",
+        "unknown_order_ids_b": bad("fo", "fr")
+        + "SELECT order_id, count(*) AS rows FROM fr WHERE order_id NOT IN (SELECT order_id FROM fo) GROUP BY order_id",
+        "check_duplicate_keys_c": odd("obs") + check + "('DUPLICATE_BUSINESS_KEYS')",
+        "check_missing_keys_c": odd("obs") + check + "('MISSING_REQUIRED_KEYS')",
+        "quality_evaluated_c": odd("res")
+        + "SELECT check_name, severity, observed_value, threshold, status, detail FROM res",
         "target_allocation": good("sales")
         + f", a AS ({cells.format(net_cad, 'sales')}), g AS (SELECT region_code, "
         f"CAST(round(CAST(sum(net_cad) AS {D18}) * CAST({ALLOCATION_FACTOR} AS DECIMAL(6,3)) "

@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.contracts import ORDERS, MetricContract
+from plumbline.contracts import FX_RATES, ORDERS, RETURNS, MetricContract
 from plumbline.functions.columns import cad, money, pct
 from plumbline.operators import audits, quality, scans, silver, star
 from plumbline.operators.joins import Lookup, busiest_keys
@@ -172,6 +172,10 @@ def _broken(fn: Callable[[Trade], DataFrame]) -> Callable[[SparkSession, str], D
     return lambda spark, directory: fn(trade(spark, directory, "broken"))
 
 
+def _malformed(fn: Callable[[Trade], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, directory: fn(trade(spark, directory, "malformed"))
+
+
 def _served(
     fn: Callable[[Product], DataFrame], variant: str = "repaired"
 ) -> Callable[[SparkSession, str], DataFrame]:
@@ -325,6 +329,22 @@ def daily_volumes(t: Trade) -> DataFrame:
     )
 
 
+def quality_evaluated(t: Trade) -> DataFrame:
+    """All checks observed in one plan and judged by the contract."""
+    tables = quality.SilverTables(
+        bronze_orders=t.orders,
+        bronze_returns=t.returns,
+        latest_orders=t.latest,
+        governed_orders=t.governed,
+        returns=t.reconciled,
+        sales=t.sales,
+        regions=t.references["regions"],
+        categories=t.references["categories"],
+    )
+    judged = quality.evaluate(quality.observe(tables, CONTRACT, AS_OF), CONTRACT)
+    return judged.select("check_name", "severity", "observed_value", "threshold", "status", "detail")
+
+
 def quality_strict(spark: SparkSession, directory: str) -> DataFrame:
     """The stored observations judged again under stricter limits, without a new scan."""
     product = published(spark, directory, "repaired")
@@ -589,6 +609,20 @@ def conformance(t: Trade) -> DataFrame:
     )
 
 
+def conformance_returns(t: Trade) -> DataFrame:
+    return audits.contract_conformance(
+        RETURNS, t.returns, t.references, CONTRACT, {"orders": t.orders}
+    )
+
+
+def conformance_rates(t: Trade) -> DataFrame:
+    return audits.contract_conformance(FX_RATES, t.feeds.fx_rates(), t.references, CONTRACT)
+
+
+def unknown_order_ids(t: Trade) -> DataFrame:
+    return audits.unknown_keys(t.returns, "order_id", t.orders, "order_id")
+
+
 def target_allocation(t: Trade) -> DataFrame:
     net = t.sales.groupBy("region_code", "category_code").agg(
         money(F.sum(F.col("gross_revenue_cad") - F.col("returns_cad"))).alias("net_cad")
@@ -716,6 +750,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "naive_totals": _repaired(naive_totals),
         "batch_invariants_b": _broken(batch_invariants),
         "conformance_b": _broken(conformance),
+        "conformance_c": _malformed(conformance),
+        "conformance_returns_b": _broken(conformance_returns),
+        "conformance_rates_c": _malformed(conformance_rates),
+        "unknown_order_ids_b": _broken(unknown_order_ids),
+        "check_duplicate_keys_c": _malformed(check_duplicate_keys),
+        "check_missing_keys_c": _malformed(check_missing_keys),
+        "quality_evaluated_c": _malformed(quality_evaluated),
         "target_allocation": _repaired(target_allocation),
         "feed_at_watermark": _repaired(feed_at_watermark),
     }

@@ -1,8 +1,9 @@
 """The product's feeds as views over a trade schema (lineitem, orders, customer, part, ...).
 
 Lines that were not returned are order events (one order is replayed once per line), returned
-lines are the returns feed. Two variants exist: ``broken`` (stale returns, rate gaps, an
-unaccepted currency, orphan returns) and ``repaired``.
+lines are the returns feed. Three variants exist: ``broken`` (stale returns, rate gaps, an
+unaccepted currency, orphan returns), ``malformed`` (events without an order id, a region that no
+reference knows, days with two rates, orphan returns) and ``repaired``.
 """
 
 from __future__ import annotations
@@ -39,8 +40,13 @@ AS_OF = "2001-11-05 00:00:00"
 REGION = "AMERICA"
 MONTH = "1998-05"
 ORDERS_AGE_MINUTES = 30
-RETURNS_AGE_MINUTES = {"broken": 3600, "repaired": 45}
+RETURNS_AGE_MINUTES = {"broken": 3600, "malformed": 45, "repaired": 45}
 MISSING_RATE_DAYS = (20, 21)
+# Of the malformed variant: a day of every month with two rates, a nation whose region is unknown, and
+# which order ids are lost on their first lines.
+TWICE_RATED_DAY = 10
+UNKNOWN_REGION, UNKNOWN_NATION = "ATLANTIS", 7
+LOST_ID_EVERY = 50
 
 # Contract values of the trade variant; all other values are the defaults.
 CONTRACT = HealthContract(test_segment="MACHINERY", invalid_amount_at_or_below="1000")
@@ -66,7 +72,7 @@ def _money(column: str) -> Column:
 class TradeFeeds:
     def __init__(self, spark: SparkSession, directory: str, variant: str = "repaired") -> None:
         if variant not in RETURNS_AGE_MINUTES:
-            raise ValueError(f"variant must be broken or repaired, not {variant!r}")
+            raise ValueError(f"variant must be broken, malformed or repaired, not {variant!r}")
         self.spark = spark
         self.directory = directory.rstrip("/")
         self.variant = variant
@@ -97,7 +103,9 @@ class TradeFeeds:
 
     def hot_order_ids(self) -> list[str | None]:
         """The same keys in the order_id form of the feeds."""
-        return [None if v is None else str(v) for v in self.hot("l_orderkey")]
+        keys = [None if v is None else str(v) for v in self.hot("l_orderkey")]
+        # Lost ids are one key, whatever the order keys are.
+        return [*keys, None] if self.variant == "malformed" and None not in keys else keys
 
     # ---------------------------------------------------------------- reference data
 
@@ -161,6 +169,10 @@ class TradeFeeds:
         if self.variant == "broken":
             days = days.filter(~F.col("day_of_month").isin(*MISSING_RATE_DAYS))
         step = (F.dayofyear("calendar_date") * 13) % 80
+        if self.variant == "malformed":
+            twice = F.when(F.col("day_of_month") == TWICE_RATED_DAY, F.array(F.lit(0), F.lit(10)))
+            days = days.withColumn("_more", F.explode(F.coalesce(twice, F.array(F.lit(0)))))
+            step = step + F.col("_more")
         rates = days.select(
             F.col("calendar_date").alias("rate_date"),
             F.lit("USD").alias("from_currency"),
@@ -233,14 +245,19 @@ class TradeFeeds:
         parts = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
         events = join_unique(lines, headers, "l_orderkey", "inner", self.hot("l_orderkey"))
         events = join_unique(events, parts, "l_partkey", "inner", self.hot("l_partkey"))
+        order_id, region = F.col("l_orderkey").cast("string"), F.col("region_code")
+        if self.variant == "malformed":
+            lost = (F.col("l_linenumber") == 1) & (F.col("l_orderkey") % LOST_ID_EVERY == 0)
+            order_id = F.when(~lost, order_id)
+            region = F.when(F.col("c_nationkey") == UNKNOWN_NATION, UNKNOWN_REGION).otherwise(region)
         feed = events.select(
-            F.col("l_orderkey").cast("string").alias("order_id"),
+            order_id.alias("order_id"),
             F.concat_ws(
                 "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus"
             ).alias("event_id"),
             F.col("l_linenumber").alias("event_version"),
             F.col("o_orderdate").cast("timestamp").alias("order_timestamp_utc"),
-            "region_code",
+            region.alias("region_code"),
             F.col("p_type").alias("category_code"),
             _currency(F.col("c_nationkey"), self.variant).alias("currency_code"),
             _money("l_extendedprice").alias("gross_amount"),

@@ -43,6 +43,26 @@ def test_query_equals_sql(spark, trade_dir, con, name):
     assert got == want
 
 
+@pytest.mark.parametrize(
+    "name", ["check_duplicate_keys_c", "check_missing_keys_c", "check_orphans_b", "check_missing_fx_b"]
+)
+def test_checks_find_something(con, name):
+    """Checks are compared with SQL where they fail, too: no value above is a zero."""
+    names = [d[0] for d in con.execute(SQL[name]).description]
+    assert all(dict(zip(names, r, strict=True))["observed_value"] > 0 for r in con.fetchall())
+
+
+def test_conformance_finds_something(con):
+    for name, rules in {
+        "conformance_c": {"required.order_id", "reference.region_code"},
+        "conformance_returns_b": {"reference.order_id", "accepted.currency_code"},
+        "conformance_rates_c": {"unique_key"},
+    }.items():
+        names = [d[0] for d in con.execute(SQL[name]).description]
+        found = [dict(zip(names, r, strict=True)) for r in con.fetchall()]
+        assert rules <= {r["rule"] for r in found if r["violations"] > 0}
+
+
 def test_flagship_query(spark, trade_dir):
     df = entry.entry(spark)
     assert df.columns == [

@@ -154,6 +154,27 @@ def test_conformance(spark):
     }
 
 
+def test_unknown_keys_of_a_large_parent(spark):
+    """A hot unknown key and a hot known one move as one row a task; NULL is no key and finds none."""
+    child = spark.createDataFrame([("ghost",)] * 500 + [("a",)] * 500 + [(None,)] * 3 + [("lone",)], "order_id STRING")
+    parent = spark.createDataFrame([("a",)] * 400 + [("b",), (None,)], "id STRING")
+    found = audits.unknown_keys(child.repartition(4), "order_id", parent.repartition(4), "id")
+    assert {r["order_id"]: r["rows"] for r in found.collect()} == {"ghost": 500, "lone": 1}
+    empty = parent.limit(0)
+    assert audits.unknown_keys(child, "order_id", empty, "id").count() == 3
+    assert audits.unknown_keys(child.limit(0), "order_id", parent, "id").count() == 0
+
+
+def test_conformance_with_a_large_parent(spark):
+    feed = FeedContract(
+        "f", "t", "p", "s", (Column("id", "STRING"), Column("order_id", "STRING", references="orders.id")), business_key=("id",)
+    )
+    df = spark.createDataFrame([("1", "a"), ("2", "x"), ("3", "x"), ("4", None)], "id STRING, order_id STRING")
+    parents = {"orders": spark.createDataFrame([("a",), ("b",)], "id STRING")}
+    got = {r["rule"]: r["violations"] for r in audits.contract_conformance(feed, df, {}, HealthContract(), parents).collect()}
+    assert got == {"required.id": 0, "required.order_id": 1, "reference.order_id": 2, "unique_key": 0}
+
+
 def test_allocation_adds_up(spark):
     net = spark.createDataFrame(
         [("ON", "ACC", dec("1234.56")), ("ON", "DEV", dec("5000.10")), ("ON", "SVC", dec("777.77")), ("QC", "ACC", dec("10.00"))],
