@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,23 +25,61 @@ SECRET_PATTERNS = {
 }
 
 
+# What a match of each secret pattern cannot do without: one of these, none of them across a line end.
+SECRET_LITERALS = {
+    "private key": ("PRIVATE KEY-----",),
+    "password assignment": ("password", "passwd", "pwd"),
+    "storage account key": ("AccountKey=",),
+    "SAS signature": ("?sig=", "&sig="),
+    "AWS access key": ("AKIA",),
+    "GitHub token": tuple(f"gh{c}_" for c in "pousr"),
+    "OpenAI-style key": ("sk-",),
+    "Slack token": tuple(f"xox{c}-" for c in "baprs"),
+    "client secret": ("client_secret",),
+}
+
+
 # Everything that ends a line; a carriage return before a line feed is part of one end.
 LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
 
 
+def may_match(text: Column, pattern: str, literals: tuple[str, ...]) -> Column:
+    """Whether the whole text holds one of the literals; case is ignored where the pattern ignores it."""
+    if pattern.startswith("(?i)"):
+        return text.rlike("(?i)" + "|".join(rf"\Q{x}\E" for x in literals))
+    return reduce(or_, [text.contains(x) for x in literals])
+
+
 def scan_patterns(
-    df: DataFrame, key: str, text: str, patterns: Mapping[str, str] = SECRET_PATTERNS
+    df: DataFrame,
+    key: str,
+    text: str,
+    patterns: Mapping[str, str] = SECRET_PATTERNS,
+    literals: Mapping[str, tuple[str, ...]] = SECRET_LITERALS,
 ) -> DataFrame:
     """One row per (key, line, pattern) hit; lines count from 1.
 
-    Row-local: lines are split and matched where the document is, only hits leave the scan.
+    Row-local: lines are split and matched where the document is, only hits leave the scan. A text
+    without any literal of ``literals`` is never split, and a line is searched only for patterns whose
+    literals its text holds; patterns without an entry are searched for in every line.
     """
-    line = F.col("_line")
+    body, line = F.col(text), F.col("_line")
+    # An entry belongs to its pattern, not to the name alone.
+    given = {n: literals[n] for n in patterns if n in literals and (n not in SECRET_PATTERNS or patterns[n] == SECRET_PATTERNS[n])}
+    flags = {n: may_match(body, patterns[n], given[n]) for n in given}
     hits = F.array_compact(
-        F.array(*[F.when(line.rlike(p), F.lit(name)) for name, p in patterns.items()])
+        F.array(
+            *[
+                F.when((F.col(f"_may{i}") & line.rlike(p)) if name in flags else line.rlike(p), F.lit(name))
+                for i, (name, p) in enumerate(patterns.items())
+            ]
+        )
     )
-    lines = df.select(
-        key, F.posexplode(F.split(F.col(text), LINE_END)).alias("_position", "_line")
+    found = df.filter(reduce(or_, flags.values())) if len(flags) == len(patterns) else df
+    marks = [flags[name].alias(f"_may{i}") for i, name in enumerate(patterns) if name in flags]
+    lines = found.select(key, body, *marks).select(
+        key, *[f"_may{i}" for i, name in enumerate(patterns) if name in flags],
+        F.posexplode(F.split(body, LINE_END)).alias("_position", "_line"),
     )
     return lines.select(
         key,

@@ -48,11 +48,21 @@ CALLER_PATTERNS = {
     "mail address": r"[0-9A-Za-z_.]+@[0-9A-Za-z_.]+\.[0-9A-Za-z_]+",
     "ip address": r"(^|[^0-9A-Za-z])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+($|[^0-9A-Za-z])",
 }
+CALLER_LITERALS = {
+    "hex token": ("token",),
+    "mail address": ("@",),
+    "ip address": tuple(f".{digit}" for digit in range(10)),
+}
 MARKUP_PATTERNS = {
     "script": r"(?i)<script[^>]*>",
     "tracking call": r"track\([0-9]+\)",
     "query link": r"href=\"[^\"]*\?[^\"]*\"",
 }
+MARKUP_LITERALS = {
+    "script": ("<script",),
+    "tracking call": ("track(",),
+    "query link": ('href="',),
+}
 
 
 def run_id(variant: str) -> str:
@@ -475,13 +485,17 @@ def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 def secret_scan(spark: SparkSession, directory: str) -> DataFrame:
     documents = _table(spark, directory, "documents")
     return scans.scan_patterns(
-        documents, "doc_id", "text", {**scans.SECRET_PATTERNS, **CALLER_PATTERNS}
+        documents,
+        "doc_id",
+        "text",
+        {**scans.SECRET_PATTERNS, **CALLER_PATTERNS},
+        {**scans.SECRET_LITERALS, **CALLER_LITERALS},
     )
 
 
 def pattern_scan(spark: SparkSession, directory: str) -> DataFrame:
     pages = _table(spark, directory, "pages")
-    return scans.scan_patterns(pages, "page_id", "html", MARKUP_PATTERNS)
+    return scans.scan_patterns(pages, "page_id", "html", MARKUP_PATTERNS, MARKUP_LITERALS)
 
 
 def grounded_numbers(spark: SparkSession, directory: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
-from conftest import dec, rows, ts
+from conftest import dec, multiset, rows, ts
 from pyspark.sql import functions as F
 
 from plumbline.contracts import FX_RATES, ORDERS, FeedContract, Column, HealthContract
@@ -154,6 +154,25 @@ def test_conformance(spark):
     }
 
 
+def test_literals_change_no_hit(spark):
+    """The same hits with and without literals, over texts that just hold or just miss them."""
+    body = [
+        "-----BEGIN RSA PRIVATE KEY-----\nPassWord = 'abcdef'\nPRIVATE KEY-----",
+        "pwd\n=abcdef\rPWD:abcdef\u2028AccountKey=" + "a" * 20, "AKIA" + "Z" * 16 + "\nakia" + "Z" * 16,
+        "x?sig=" + "b" * 25 + "\n&sig=" + "c" * 19, "ghp_" + "d" * 30 + " ghx_" + "d" * 30, "sk-ant-" + "e" * 20,
+        "xoxb-" + "1" * 10, "CLIENT_SECRET: abcdefgh", "nothing here", "", None, "Password=\u212Aelvin", "password",
+    ]
+    df = spark.createDataFrame(list(enumerate(body)), "id INT, text STRING")
+    plain = multiset(scans.scan_patterns(df, "id", "text", scans.SECRET_PATTERNS, {}))
+    assert multiset(scans.scan_patterns(df, "id", "text")) == plain and len(plain) >= 9
+    assert set(scans.SECRET_LITERALS) == set(scans.SECRET_PATTERNS)
+    own = {"password assignment": "secret"}  # another pattern under a known name keeps every hit
+    one = spark.createDataFrame([(1, "a secret")], "id INT, text STRING")
+    assert scans.scan_patterns(one, "id", "text", own).count() == 1
+    plan = scans.scan_patterns(df, "id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Filter")  # texts are dropped before they are split
+
+
 def test_unknown_keys_of_a_large_parent(spark):
     """A hot unknown key and a hot known one move as one row a task; NULL is no key and finds none."""
     child = spark.createDataFrame([("ghost",)] * 500 + [("a",)] * 500 + [(None,)] * 3 + [("lone",)], "order_id STRING")
