@@ -9,7 +9,7 @@ import pytest
 from conftest import multiset
 from pyspark.sql import functions as F
 
-from plumbline.operators import silver
+from plumbline.operators import silver, star
 from plumbline.operators.audits import same_rows
 from plumbline.operators.joins import Stored, busiest_keys
 from plumbline.plans import build, serving
@@ -166,3 +166,40 @@ def test_an_interrupted_compaction_neither_loses_nor_repeats(spark, tmp_path, mo
     with pytest.raises(OSError):
         store.compact_events(RUNS)
     assert calls and store.events(RUNS, "h").count() == 3
+
+
+def test_dealt_orders_are_ranked_without_an_exchange(spark, trade_dir, built, no_broadcast):
+    feeds = TradeFeeds(spark, trade_dir)
+    parts = feeds.parts_by_id()
+    assert parts and built[0].buckets % parts == 0
+    assert built[0].manifest("first")["tables"]["bronze_orders"]["buckets"] == parts
+    # The last join keeps the parts, so landing is no shuffle of its own.
+    orders = feeds.orders(parts)
+    assert "hashpartitioning(order_id#" in plan(orders) and orders.rdd.getNumPartitions() == parts
+    assert same_rows(orders, feeds.orders())
+    landed = TableStore(spark, built[0].root).read_bucketed("bronze_orders", "first")
+    ranked = silver.order_versions(landed, CONTRACT)
+    assert "Exchange" not in plan(ranked) and "Bucketed: true" in plan(ranked)
+    assert same_rows(ranked, silver.order_versions(feeds.orders(), CONTRACT))
+
+
+def test_orders_with_a_busy_id_are_not_dealt_out(spark, trade_dir, tmp_path, monkeypatch):
+    feeds = TradeFeeds(spark, trade_dir)
+    monkeypatch.setattr(feeds, "hot_order_ids", lambda: ["7"])
+    assert feeds.parts_by_id() is None and feeds.feed_set().dealt is None
+    assert TradeFeeds(spark, trade_dir, "malformed").parts_by_id() is None
+    store = TableStore(spark, str(tmp_path))
+    build.run_build(spark, feeds.feed_set, store, CONTRACT, "repaired", AS_OF, run_id="first")
+    assert "key" not in store.manifest("first")["tables"]["bronze_orders"]
+
+
+def test_texts_of_the_fact_are_made_behind_its_shuffle(spark, trade_dir, built):
+    fact = built[0].read("gold_fact_sales", "first")
+    sales = TableStore(spark, built[0].root).read_bucketed("silver_reconciled_sales", "first")
+    refs = TradeFeeds(spark, trade_dir).references
+    dims = (refs["dates"], refs["regions"], refs["categories"])
+    assert "pipeline_run_id" not in star.keyed_sales(sales, *dims).columns
+    assert same_rows(fact, star.fact_sales(sales, *dims, CONTRACT, "first"))
+    # The codec of every stored table.
+    names = {f.rsplit("/", 1)[1] for f in fact.inputFiles()}
+    assert names and all(n.endswith(".zstd.parquet") for n in names)
