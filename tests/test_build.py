@@ -354,3 +354,16 @@ def test_build_from_extracts_keeps_rejects_apart(spark, trade_dir, built, tmp_pa
     # Without the choice to keep them, malformed records still fail the build.
     with pytest.raises(BuildFailed):
         run_build(spark, lambda: load(False), store, CONTRACT, "repaired", AS_OF, history="strict", clock=clock)
+
+
+def test_extracts_are_written_compressed_and_read_back_whole(spark, trade_dir, tmp_path):
+    from plumbline.sources.feeds import read_extracts, write_extracts
+
+    feeds = TradeFeeds(spark, trade_dir, "repaired").feed_set()
+    write_extracts(feeds, str(tmp_path), "repaired")
+    read = read_extracts(spark, str(tmp_path), "repaired", keep_rejects=True)
+    assert read.rejects.count() == 0
+    for name in ("orders", "returns"):
+        written, back = getattr(feeds, name), getattr(read, name)
+        assert all(f.endswith(".csv.gz") for f in back.inputFiles()), name
+        assert same_rows(written, back, ["source_system", "source_file"]), name
