@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import glob
 import os
 from datetime import datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import multiset
 from pyspark.sql import functions as F
@@ -203,3 +205,37 @@ def test_texts_of_the_fact_are_made_behind_its_shuffle(spark, trade_dir, built):
     # The codec of every stored table.
     names = {f.rsplit("/", 1)[1] for f in fact.inputFiles()}
     assert names and all(n.endswith(".zstd.parquet") for n in names)
+
+
+def test_a_build_writes_no_dictionaries_of_nearly_unique_columns(spark, trade_dir, built):
+    before = spark.conf.get("spark.sql.parquet.outputTimestampType")
+    for table, unique, time in (
+        ("bronze_orders", "event_id", "order_timestamp_utc"),
+        ("silver_order_versions", "order_id", "source_updated_at"),
+        ("gold_fact_sales", "order_key", "order_source_updated_at"),
+    ):
+        found = glob.glob(f"{built[0].path(table, 'first')}/**/*.parquet", recursive=True)
+        group = pq.ParquetFile(found[0]).metadata.row_group(0)
+        columns = {group.column(k).path_in_schema: group.column(k) for k in range(group.num_columns)}
+        assert not [e for e in columns[unique].encodings if "DICTIONARY" in e]
+        assert [e for e in columns["source_system" if "source_system" in columns else "original_currency"].encodings if "DICTIONARY" in e]
+        assert columns[time].physical_type == "INT64"
+    # The session's own setting is back.
+    assert before == spark.conf.get("spark.sql.parquet.outputTimestampType") == "INT96"
+
+
+def test_joins_of_small_buckets_sort_neither_side(spark, trade_dir, built, no_broadcast, monkeypatch):
+    feeds = TradeFeeds(spark, trade_dir)
+    hashed = feeds.orders(feeds.parts_by_id())
+    assert "ShuffledHashJoin" in plan(hashed)
+    monkeypatch.setattr("plumbline.sources.trade.HASHED_ROWS", 1)
+    sorted_ = feeds.orders(feeds.parts_by_id())
+    assert "ShuffledHashJoin" not in plan(sorted_) and same_rows(hashed, sorted_)
+    store = TableStore(spark, built[0].root)
+    returns = store.read_bucketed("silver_latest_returns", "first")
+    latest = store.read_bucketed("silver_order_versions", "first").filter("is_latest")
+    both = [
+        silver.reconcile_stored(Stored.split(returns, "hot_order", "order_id", [], h), latest)
+        for h in (True, False)
+    ]
+    assert "Sort" not in plan(both[0]) and "SortMergeJoin" in plan(both[1]) and same_rows(*both)
