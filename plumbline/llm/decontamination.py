@@ -16,6 +16,8 @@ before anything is shuffled. Only matches, narrow rows, are grouped.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,13 +126,28 @@ def _combined(kind: Column, hashes: list[Column]) -> Column:
     return F.xxhash64(kind, *hashes)
 
 
-def _window_hashes(n: int) -> list[Column]:
-    """Arrays of the hashes of all windows of ``n`` tokens, from the token hashes w, t and t2."""
+def _window_hashes(hashed: DataFrame, lengths: list[int]) -> DataFrame:
+    """(key, h): the hashes of all windows of each length, from the token hashes w, t and t2.
 
-    def of(hashes: str, kind: int) -> Column:
-        return F.transform(_starts(hashes, n), lambda i: _combined(F.lit(kind), [F.get(hashes, i + k) for k in range(n)]))
+    A row for each position first: higher-order functions over whole texts are interpreted, plain expressions
+    of a row are compiled. Template windows that equal the plain one hold no placeholder, and no item has such a
+    window; those of t2 that equal that of t are the same window.
+    """
+    # The outer form: for the inner one the optimizer filters empty arrays first, by computing them a second time.
+    rows = hashed.select("key", "w", "t", "t2", F.posexplode_outer("w").alias("_i", "_w0"))
+    ahead = range(max(lengths))
+    seen = [F.get(form, F.col("_i") + k).alias(f"_{form}_{k}") for form in ("w", "t", "t2") for k in ahead]
+    rows = rows.select("key", *seen)
 
-    return [of("w", _PLAIN), of("t", _TEMPLATE), of("t2", _TEMPLATE)]
+    def window(form: str, kind: int, n: int, other: str | None = None) -> Column:
+        whole = F.col(f"_w_{n - 1}").isNotNull()
+        if other:
+            whole &= reduce(or_, [F.col(f"_{form}_{k}") != F.col(f"_{other}_{k}") for k in range(n)])
+        return F.when(whole, _combined(F.lit(kind), [F.col(f"_{form}_{k}") for k in range(n)]))
+
+    forms = [("w", _PLAIN, None), ("t", _TEMPLATE, "w"), ("t2", _TEMPLATE, "t")]
+    hashes = [window(form, kind, n, other) for n in lengths for form, kind, other in forms]
+    return rows.select("key", F.explode_outer(F.array(*hashes)).alias("h"))
 
 
 def _window_rows(rows: DataFrame, n: int) -> DataFrame:
@@ -202,8 +219,7 @@ def _candidates(texts: DataFrame, items: DataFrame, lengths: list[int], cover: f
     """(key, item): texts, by hash, that share enough windows with an item."""
     signed = texts.select(F.xxhash64("text").alias("key"), signed_tokens(F.col("text")).alias("v"))
     hashed = _with_forms(signed, "v", F.xxhash64)
-    # The outer form: for the inner one the optimizer filters empty arrays first, by computing them a second time.
-    windows = hashed.select("key", F.explode_outer(F.concat(*[h for n in lengths for h in _window_hashes(n)])).alias("h"))
+    windows = _window_hashes(hashed, lengths)
     wanted = items.select("h").distinct()
     hit = joined_small(windows, wanted, "h", "left_semi", small(wanted, limit=HASH_BYTES)).distinct()
     own = items.select("h", "item", "ipos", "n", "length")

@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import regex
+from pyspark.sql import functions as F
 from tests.llm.support import AWKWARD, documents, prose
 
 from plumbline.llm import decontamination as dc
@@ -213,3 +214,22 @@ def test_random_edits_insertions_and_values_against_brute_force(spark):
     got = {i: found for i, (_, found) in marked(spark, docs, items).items()}
     assert got == want
     assert 60 < sum(bool(v) for v in want.values()) < 280
+
+
+def test_window_hashes_are_compiled_and_complete(spark):
+    text = f"{QUESTION}. {OTHER} 1 2 3 4 5 6 a b"
+    given = documents(spark, [(1, text, None), (2, "a b", None), (3, "", None), (4, None, None)])
+    signed = given.select(given["doc_id"].alias("key"), dc.signed_tokens(given["text"]).alias("v"))
+    found = dc._window_hashes(dc._with_forms(signed, "v", F.xxhash64), [3, 5])
+    generates = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Generate " in line]
+    assert generates and all("*(" in line for line in generates)
+    forms = dc._with_forms(signed, "v", lambda x: x).filter("key = 1").first()
+    expected = set()
+    for n in (3, 5):
+        for k in range(len(forms.w) - n + 1):
+            plain, template, capitals = (tuple(f[k : k + n]) for f in (forms.w, forms.t, forms.t2))
+            expected |= {(dc._PLAIN, plain)} | {(dc._TEMPLATE, m) for m in (template, capitals) if m != plain}
+    rows = spark.createDataFrame(list(expected), "kind int, m array<string>").withColumn("n", F.size("m"))
+    hashes = rows.withColumn("h", F.when(F.col("n") == 3, dc._combined(F.col("kind"), [F.xxhash64(F.get("m", F.lit(k))) for k in range(3)])).otherwise(
+        dc._combined(F.col("kind"), [F.xxhash64(F.get("m", F.lit(k))) for k in range(5)])))
+    assert {(r.key, r.h) for r in found.filter("h is not null").collect()} == {(1, r.h) for r in hashes.collect()}
