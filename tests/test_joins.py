@@ -6,6 +6,7 @@ import pytest
 from conftest import multiset
 from pyspark.sql import functions as F
 
+from plumbline.operators import joins
 from plumbline.operators.joins import (
     LOOKUP_BYTE_LIMIT,
     Lookup,
@@ -92,3 +93,13 @@ def test_wide_lookups_do_not_fit(spark):
     wide = spark.range(3).selectExpr("id", f"repeat('x', {LOOKUP_BYTE_LIMIT // 2}) as text")
     assert not Lookup.checked({"wide": wide})["wide"].fits
     assert Lookup.checked({"small": spark.range(3)})["small"].fits
+
+
+@pytest.mark.parametrize("cells", [1, 7])
+def test_hot_keys_are_counted_exactly_whatever_shares_their_cell(sides, monkeypatch, cells):
+    # Cells of many keys each: a hot cell alone makes no key hot.
+    monkeypatch.setattr(joins, "_CELLS", cells)
+    monkeypatch.setattr(joins, "_CELLS_PER_HOT_KEY", 0)
+    left = sides[0].withColumn("all", F.lit(1))
+    assert hot_keys(left, "k", "id", "all", share=0.05) == {"k": ["hot", None], "id": [], "all": [1]}
+    assert hot_keys(left.limit(0), "k", "id") == {"k": [], "id": []}
