@@ -239,3 +239,33 @@ def test_joins_of_small_buckets_sort_neither_side(spark, trade_dir, built, no_br
         for h in (True, False)
     ]
     assert "Sort" not in plan(both[0]) and "SortMergeJoin" in plan(both[1]) and same_rows(*both)
+
+
+def test_only_keys_that_were_not_dealt_out_are_counted_in_a_build(spark, trade_dir, built, tmp_path, monkeypatch):
+    counted = []
+
+    def no_hot(df, *columns):
+        counted.append((columns, "event_id" in df.columns))
+        return {c: [] for c in columns}
+
+    monkeypatch.setattr(build, "hot_keys", no_hot)
+    run(spark, trade_dir, TableStore(spark, f"{tmp_path}/dealt"), run_id="first")
+    assert counted == [(("order_id",), False)]
+    feeds = TradeFeeds(spark, trade_dir)
+    monkeypatch.setattr(feeds, "hot_order_ids", lambda: ["7"])
+    store = TableStore(spark, f"{tmp_path}/not")
+    build.run_build(spark, feeds.feed_set, store, CONTRACT, "repaired", AS_OF, run_id="first")
+    assert sorted(counted[1:]) == [(("order_id",), False), (("order_id",), True)]
+    assert same_rows(built[0].read("gold_fact_sales", "first"), store.read("gold_fact_sales", "first"))
+
+
+def test_a_build_keeps_statistics_only_where_they_can_skip_a_file(built):
+    for table, without, kept in (
+        ("bronze_orders", {"order_id", "event_id", "source_system"}, "region_code"),
+        ("gold_fact_sales", {"order_key", "pipeline_run_id"}, "date_key"),
+    ):
+        found = glob.glob(f"{built[0].path(table, 'first')}/**/*.parquet", recursive=True)
+        group = pq.ParquetFile(found[0]).metadata.row_group(0)
+        columns = {group.column(k).path_in_schema: group.column(k) for k in range(group.num_columns)}
+        assert not [c for c in without if columns[c].statistics and columns[c].statistics.has_min_max]
+        assert columns[kept].statistics.has_min_max
